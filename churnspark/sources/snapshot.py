@@ -90,7 +90,7 @@ def build_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ratio(F.col("rev_recent"), F.col("rev_prior")).alias("perc_change_revenues"),
         F.coalesce("qty_all", zero).alias("monthly_minutes"),
         F.coalesce("qty_over", zero).alias("overage_minutes"),
-        F.round(F.col("rev_all") / F.col("n_history"), 4).alias("total_recurring_charge"),
+        (F.col("rev_all") / F.col("n_history")).alias("total_recurring_charge"),
         _ratio(F.col("qty_recent"), F.col("qty_prior")).alias("perc_change_minutes"),
         F.coalesce("returned", F.lit(0)).cast("double").alias("dropped_blocked_calls"),
         F.col("care").cast("double").alias("customer_care_calls"),
