@@ -115,7 +115,12 @@ def risk_band(p: Column | str) -> Column:
 
 
 def round_half_even(c: Column | str, digits: int = 4) -> Column:
-    return F.bround(_col(c), digits)
+    """Half-even on the scaled double, as array libraries round.
+
+    ``bround`` works on the decimal text instead and differs at some halves.
+    """
+    scale = F.lit(10.0 ** digits)
+    return F.rint(_col(c) * scale) / scale
 
 
 def hash_order(seed: int | str, key: Column | str) -> Column:

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark import keyword_only
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
@@ -32,7 +33,11 @@ FOREST = "Random Forest"
 BOOSTING = "HistGradientBoosting"
 MODEL_NAMES = (DUMMY, LOGISTIC, TREE, FOREST, BOOSTING)
 
-EARLY_STOP_ABOVE = 10_000  # fixed value: boosting stops early above this many Train rows
+# Boosting stops early above this many Train rows, once this many
+# rounds in a row have not improved the hold-out loss by more than the tolerance.
+EARLY_STOP_ABOVE = 10_000
+PATIENCE = 10
+TOLERANCE = 1e-7
 
 
 @dataclass(frozen=True)
@@ -107,6 +112,46 @@ class Assemble(Transformer, _Columns, DefaultParamsReadable, DefaultParamsWritab
         return VectorAssembler(inputCols=cols + flags, outputCol="features").transform(dataset)
 
 
+def boosting(label: str, rounds: int, settings: ModelSettings) -> GBTClassifier:
+    return GBTClassifier(
+        stepSize=settings.boosting_rate, maxIter=rounds, maxDepth=settings.boosting_depth,
+        weightCol="boost_weight", seed=settings.seed, featuresCol="features", labelCol=label)
+
+
+def stopping_round(losses: Sequence[float], patience: int = PATIENCE,
+                   tolerance: float = TOLERANCE) -> int | None:
+    """First round whose last ``patience`` losses all fail to beat the one before them."""
+    for end in range(patience + 1, len(losses) + 1):
+        reference = losses[end - patience - 1] - tolerance
+        if not any(loss < reference for loss in losses[end - patience:end]):
+            return end
+    return None
+
+
+def fit_boosting_early(weighted: DataFrame, label: str, settings: ModelSettings):
+    """Boosting with a hold-out and patience, over assembled ``features``.
+
+    Spark ML stops at the first worse round, so rounds are tried in doubling
+    batches instead; equal seeds and rows give equal leading trees, and the
+    last fit has exactly the rounds up to the stop.
+    """
+    holdout = weighted.where("holdout").persist()
+    rest = weighted.where("NOT holdout").persist()
+    try:
+        rounds = min(2 * PATIENCE, settings.boosting_rounds)
+        while True:
+            model = boosting(label, rounds, settings).fit(rest)
+            stop = stopping_round(model.evaluateEachIteration(holdout))
+            if stop is not None and stop < rounds:
+                return boosting(label, stop, settings).fit(rest)
+            if stop is not None or rounds >= settings.boosting_rounds:
+                return model
+            rounds = min(2 * rounds, settings.boosting_rounds)
+    finally:
+        holdout.unpersist()
+        rest.unpersist()
+
+
 def build_model(name: str, features: Sequence[str], label: str, train_rows: int,
                 settings: ModelSettings = ModelSettings()) -> Pipeline:
     s = settings
@@ -131,14 +176,7 @@ def build_model(name: str, features: Sequence[str], label: str, train_rows: int,
             minInstancesPerNode=s.forest_leaf, maxDepth=s.forest_depth,
             weightCol="balanced_weight", seed=s.seed, **common)
     elif name == BOOSTING:
-        stop = s.early_stopping
-        if stop is None:
-            stop = train_rows > EARLY_STOP_ABOVE
-        # tolerance 0: go on while the hold-out loss does not get worse
-        early = {"validationIndicatorCol": "holdout", "validationTol": 0.0} if stop else {}
-        core = GBTClassifier(
-            stepSize=s.boosting_rate, maxIter=s.boosting_rounds, maxDepth=s.boosting_depth,
-            weightCol="boost_weight", seed=s.seed, **early, **common)
+        core = boosting(label, s.boosting_rounds, s)
     else:
         raise ValueError(f"unknown model: {name}")
     return Pipeline(stages=[*fill, Assemble(inputCols=cols), core])
@@ -150,7 +188,31 @@ def fit_model(name: str, train: DataFrame, features: Sequence[str], label: str,
     if name == DUMMY:
         return MostFrequent.fit(train, label)
     weighted = with_weights(train.select(key, label, *features), label, key, settings)
-    return build_model(name, features, label, train.count(), settings).fit(weighted)
+    rows = train.count()
+    pipeline = build_model(name, features, label, rows, settings)
+    early = settings.early_stopping
+    if early is None:
+        early = rows > EARLY_STOP_ABOVE
+    if name != BOOSTING or not early:
+        return pipeline.fit(weighted)
+    filled = Pipeline(stages=pipeline.getStages()[:-1]).fit(weighted)
+    vectors = filled.transform(weighted).select("features", label, "boost_weight", "holdout")
+    return PipelineModel(stages=[*filled.stages, fit_boosting_early(vectors, label, settings)])
+
+
+def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str], label: str,
+               key: str, settings: ModelSettings = ModelSettings(),
+               parallelism: int = 4) -> dict[str, object]:
+    """Fit several models on one persisted Train; independent fits run side by side."""
+    names = list(names)
+    train = train.persist()
+    try:
+        with ThreadPool(min(parallelism, len(names))) as pool:
+            done = pool.map(
+                lambda name: fit_model(name, train, features, label, key, settings), names)
+    finally:
+        train.unpersist()
+    return dict(zip(names, done))
 
 
 def score(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -162,25 +224,19 @@ def score(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 def compare_models(train: DataFrame, validation: DataFrame,
                    feature_sets: dict[str, Sequence[str]], label: str, key: str,
-                   names: Iterable[str] = MODEL_NAMES, threshold: float = 0.5,
+                   names: Sequence[str] = MODEL_NAMES, threshold: float = 0.5,
                    settings: ModelSettings = ModelSettings()) -> tuple[DataFrame, dict]:
     """Fit every model on every feature set; one metric row per pair.
 
     Validation scores of all pairs are stacked and evaluated as groups, so
     there is one ranking job instead of one per model.
     """
-    train = train.persist()
     stacked, fitted = None, {}
-    try:
-        for feature_set, features in feature_sets.items():
-            for name in names:
-                model = fit_model(name, train, features, label, key, settings)
-                fitted[(feature_set, name)] = model
-                scored = score(model, validation, [label]).select(
-                    F.lit(feature_set).alias("feature_set"), F.lit(name).alias("model"),
-                    label, "p")
-                stacked = scored if stacked is None else stacked.unionByName(scored)
-    finally:
-        train.unpersist()
+    for feature_set, features in feature_sets.items():
+        models = fit_models(names, train, features, label, key, settings)
+        for name, model in models.items():
+            fitted[(feature_set, name)] = model
+            scored = score(model, validation, [label]).select(
+                F.lit(feature_set).alias("feature_set"), F.lit(name).alias("model"), label, "p")
+            stacked = scored if stacked is None else stacked.unionByName(scored)
     return evaluate(stacked, "p", label, threshold, ["feature_set", "model"]), fitted
-

@@ -711,8 +711,8 @@ def model_metrics(spark, sf):
     stacked = None
     for variant in VARIANTS:
         val = W.prepared(spark, sf, variant).part("val")
-        for name in models.MODEL_NAMES:
-            scored = models.score(W.fitted(spark, sf, name, variant), val, [LABEL]).select(
+        for name, model in W.fitted_all(spark, sf, variant).items():
+            scored = models.score(model, val, [LABEL]).select(
                 F.lit(variant).alias("feature_set"), F.lit(name).alias("model"), LABEL, "p")
             stacked = scored if stacked is None else stacked.unionByName(scored)
     return evaluation.evaluate(stacked, "p", LABEL, W.THRESHOLD, ["feature_set", "model"])

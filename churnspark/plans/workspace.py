@@ -101,6 +101,20 @@ def fitted(spark: SparkSession, sf_dir: str, name: str,
     return _once(spark, sf_dir, f"model/{variant}/{name}", make)
 
 
+def fitted_all(spark: SparkSession, sf_dir: str, variant: str) -> dict[str, object]:
+    """Every compared model; those fitted before are reused."""
+    def key(name: str) -> tuple:
+        return (spark.sparkContext.applicationId, sf_dir, f"model/{variant}/{name}")
+
+    done = prepared(spark, sf_dir, variant)
+    absent = [n for n in models.MODEL_NAMES if key(n) not in _built]
+    if absent:
+        found = models.fit_models(absent, done.part("train"), done.features, LABEL, ROLES.id,
+                                  SETTINGS)
+        _built.update({key(n): m for n, m in found.items()})
+    return {n: _built[key(n)] for n in models.MODEL_NAMES}
+
+
 def bundle(spark: SparkSession, sf_dir: str) -> Bundle:
     """The model chosen for production: boosting without the leak suspects."""
     done = prepared(spark, sf_dir)
