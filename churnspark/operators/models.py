@@ -52,6 +52,7 @@ class ModelSettings:
     forest_trees: int = 350
     forest_leaf: int = 8
     forest_depth: int = 30  # the limit of Spark ML; the compared forest has none
+    forest_memory_mb: int = 1024  # per task, for split statistics of deep trees
     boosting_rate: float = 0.06
     boosting_rounds: int = 300
     boosting_depth: int = 5  # level-wise stand-in for 31 leaves
@@ -174,7 +175,8 @@ def build_model(name: str, features: Sequence[str], label: str, train_rows: int,
         core = RandomForestClassifier(
             numTrees=s.forest_trees, featureSubsetStrategy="sqrt",
             minInstancesPerNode=s.forest_leaf, maxDepth=s.forest_depth,
-            weightCol="balanced_weight", seed=s.seed, **common)
+            weightCol="balanced_weight", seed=s.seed, maxMemoryInMB=s.forest_memory_mb,
+            cacheNodeIds=True, **common)
     elif name == BOOSTING:
         core = boosting(label, s.boosting_rounds, s)
     else:

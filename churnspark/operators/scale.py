@@ -133,7 +133,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     ``percentile``, whose buffer is then bounded; larger ones are bracketed.
     """
     columns, probs = list(columns), list(probs)
-    sizes = df.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first().asDict()
+    rows = df.count()  # no column holds more values than this
+    sizes = dict.fromkeys(columns, rows)
+    if rows > small_column:
+        sizes = df.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first().asDict()
     small = [c for c in columns if sizes[c] <= small_column]
     large = [c for c in columns if sizes[c] > small_column]
     result: dict[str, list[float | None]] = {}

@@ -16,6 +16,9 @@ from churnspark.functions.columns import nan_to_null
 NA_TOKENS = ("", "#N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
+# Encodings Spark reads without further settings.
+SPARK_CHARSETS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -42,6 +45,8 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     before the cast; a text that is no number fails the read instead of
     turning into NULL silently.
     """
+    if encoding.lower() not in SPARK_CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # e.g. cp949, euc-kr
     reader = spark.read.option("header", True).option("encoding", encoding).option("sep", sep)
     raw = reader.csv(path if isinstance(path, str) else list(path))
     if schema is None:
