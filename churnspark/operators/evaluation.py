@@ -240,3 +240,22 @@ def numbered_top(df: DataFrame, by: str, name: str, top: int = 10) -> DataFrame:
         F.struct((-F.col(by)).alias("o"), F.col(name), F.col(by)))).alias("rows"))
     return numbered.select(F.posexplode("rows").alias("i", "r")).select(
         (F.col("i") + 1).alias("rank"), F.col(f"r.{name}").alias(name), F.col(f"r.{by}").alias(by))
+
+
+def gain_summary(df: DataFrame, score: str, label: str, key: str, threshold: float = 0.5,
+                 shares: Sequence[float] = (0.1, 0.2, 0.3, 0.5), digits: int = 4) -> DataFrame:
+    """One row: size, ranking metrics, contact volume and the gains as a struct."""
+    volume = df.agg(
+        F.count("*").alias("test_n"), F.sum(F.col(label).cast("bigint")).alias("test_pos"))
+    ranking = evaluate(df, score, label, threshold, digits=digits) \
+        .select(F.struct("roc_auc", "pr_auc")).scalar()
+    contact = contact_volume(df, score, threshold).select(F.struct("*")).scalar()
+    gains = gain_at(df, score, label, key, shares).agg(F.struct(*[
+        F.round(F.max(F.when(F.col("share") == q, F.col("gain"))), digits)
+        .alias(f"top{round(q * 100)}pct") for q in shares])).scalar()
+    return volume.select(
+        "test_n", "test_pos", ranking["roc_auc"].alias("roc_auc"),
+        ranking["pr_auc"].alias("pr_auc"), F.lit(threshold).alias("threshold"),
+        contact["contacted_at_threshold"].alias("contacted_at_threshold"),
+        F.round(contact["contacted_share"], digits).alias("contacted_pct"),
+        gains.alias("cumulative_gain"))

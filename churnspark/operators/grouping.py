@@ -105,18 +105,21 @@ def correlation_with_target(df: DataFrame, columns: Sequence[str], label: str,
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairs in long form from one pass, pairwise complete."""
-    pairs = {}
-    for i, a in enumerate(columns):
-        for b in columns[i:]:
-            pairs[(a, b)] = F.round(F.corr(F.col(a).cast("double"), F.col(b).cast("double")), 6)
-    flat = df.agg(*[expr.alias(f"r{k}") for k, expr in enumerate(pairs.values())])
-    rows = []
-    for k, (a, b) in enumerate(pairs):
-        for left, right in {(a, b), (b, a)}:
-            rows.append(F.struct(F.lit(left).alias("column_a"), F.lit(right).alias("column_b"),
-                                 F.col(f"r{k}").alias("correlation")))
-    return flat.select(F.inline(F.array(*rows)))
+    """All pairs in long form from one pass, pairwise complete.
+
+    Rows are stacked per pair and reduced map-side: the generated code stays
+    small however many columns there are, and each task ships one row per pair.
+    """
+    cells = F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"),
+                 F.col(b).cast("double").alias("y"))
+        for i, a in enumerate(columns) for b in columns[i:]])
+    half = df.select(F.inline(cells)).groupBy("a", "b").agg(F.round(F.corr("x", "y"), 6).alias("r"))
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return half.select("r", F.explode(both).alias("p")).select(
+        F.col("p.a").alias("column_a"), F.col("p.b").alias("column_b"),
+        F.col("r").alias("correlation"))
 
 
 def scaling_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -218,15 +218,18 @@ def silhouette(df: DataFrame, features: Sequence[str], key: str, sample_size: in
         all_points, all_labels, k = shipped.value
         sizes = np.bincount(all_labels, minlength=k)
         member = np.eye(k)[all_labels]
+        norms = (all_points ** 2).sum(axis=1)
         for batch in batches:
             rows = batch["row"].to_numpy()
             out = np.zeros(len(rows))
-            for start in range(0, len(rows), 64):
-                part = rows[start:start + 64]
-                diff = all_points[part][:, None, :] - all_points[None, :, :]
-                sums = np.sqrt((diff ** 2).sum(axis=2)) @ member
+            for start in range(0, len(rows), 256):
+                part = rows[start:start + 256]
                 own = all_labels[part]
                 at = np.arange(len(part))
+                squared = (norms[part][:, None] + norms[None, :]
+                           - 2 * all_points[part] @ all_points.T)
+                squared[at, part] = 0.0
+                sums = np.sqrt(np.maximum(squared, 0.0)) @ member
                 alone = sizes[own] == 1
                 a = sums[at, own] / np.maximum(sizes[own] - 1, 1)
                 means = sums / sizes
@@ -234,7 +237,7 @@ def silhouette(df: DataFrame, features: Sequence[str], key: str, sample_size: in
                 b = means.min(axis=1)
                 top = np.maximum(a, b)
                 s = np.divide(b - a, top, out=np.zeros(len(part)), where=top > 0)
-                out[start:start + 64] = np.where(alone, 0.0, s)
+                out[start:start + 256] = np.where(alone, 0.0, s)
             yield pd.DataFrame({"s": out})
 
     slices = df.sparkSession.sparkContext.defaultParallelism

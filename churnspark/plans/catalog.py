@@ -537,6 +537,12 @@ def gain_at_pct(spark, sf):
     return evaluation.gain_at(W.formula_scores(spark, sf), "p", "y", ID)
 
 
+@query
+def gain_summary(spark, sf):
+    out = evaluation.gain_summary(W.formula_scores(spark, sf), "p", "y", ID, W.THRESHOLD, digits=6)
+    return out.select(*[c for c in out.columns if c != "cumulative_gain"], "cumulative_gain.*")
+
+
 @query
 def contact_volume(spark, sf):
     return evaluation.contact_volume(W.formula_scores(spark, sf), "p", W.THRESHOLD)
@@ -590,8 +596,8 @@ def threshold_sweep(spark, sf):
 
 @query
 def live_metrics(spark, sf):
-    val = W.split_table(spark, sf).where(F.col("split") == "val").select(ID)
-    return evaluation.evaluate(W.formula_scores(spark, sf).join(val, ID), "p", "y", W.THRESHOLD)
+    val = W.split_table(spark, sf).where(F.col("split") == "val")
+    return evaluation.evaluate(W.equipment_scores(val), "p", "y", W.THRESHOLD)
 
 
 # ---- preparation ----------------------------------------------------------------------

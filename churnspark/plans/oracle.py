@@ -504,6 +504,15 @@ q(share) AS (VALUES (0.1::DOUBLE), (0.2::DOUBLE), (0.3::DOUBLE), (0.5::DOUBLE))
 SELECT share, position, round(CAST(cp AS DOUBLE) / (SELECT sum(y) FROM sc), 6) AS gain,
        round(CAST(cp AS DOUBLE) / (SELECT sum(y) FROM sc) / share, 6) AS lift
 FROM q JOIN g ON position = CAST(floor(share * (SELECT count(*) FROM sc)) AS BIGINT)""",
+        "gain_summary": f"""WITH {SCORE}, {_metrics()}, g AS (SELECT row_number() OVER w AS position, sum(y) OVER w AS cp FROM sc
+  WINDOW w AS (ORDER BY p DESC, customer_id ROWS UNBOUNDED PRECEDING)),
+k AS (SELECT count(*) AS test_n, CAST(sum(y) AS BIGINT) AS test_pos,
+  count(*) FILTER (WHERE p >= 0.5::DOUBLE) AS contacted_at_threshold,
+  round(avg(CAST(p >= 0.5::DOUBLE AS INTEGER)), 6) AS contacted_pct FROM sc)
+SELECT test_n, test_pos, roc_auc, pr_auc, 0.5::DOUBLE AS threshold, contacted_at_threshold, contacted_pct, {_cols(
+            f"(SELECT round(CAST(cp AS DOUBLE) / (SELECT sum(y) FROM sc), 6) FROM g WHERE position = "
+            f"CAST(floor({q}::DOUBLE * (SELECT count(*) FROM sc)) AS BIGINT)) AS top{round(q * 100)}pct"
+            for q in (0.1, 0.2, 0.3, 0.5))} FROM k, met""",
         "contact_volume": f"""WITH {SCORE} SELECT count(*) FILTER (WHERE p >= 0.5::DOUBLE) AS contacted_at_threshold,
 round(avg(CAST(p >= 0.5::DOUBLE AS INTEGER)), 6) AS contacted_share FROM sc""",
         "seeded_sample": f"""WITH {SNAP} SELECT customer_id, churn FROM snap

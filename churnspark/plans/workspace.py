@@ -139,12 +139,15 @@ def _sigmoid(x):
     return F.round(1 / (1 + F.exp(-x)), 6)
 
 
-def formula_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def equipment_scores(df: DataFrame) -> DataFrame:
     days, tenure = F.col("current_equipment_days"), F.col("months_in_service")
     x = (F.lit(-0.4) + F.lit(0.004) * (days - 240) - F.lit(0.02) * (tenure - 64)
          + F.lit(0.1) * (F.col("customer_care_calls") - 3))
-    return snapshot(spark, sf_dir).select(
-        ROLES.id, encode_label(ROLES.target).alias("y"), _sigmoid(x).alias("p"))
+    return df.select(ROLES.id, encode_label(ROLES.target).alias("y"), _sigmoid(x).alias("p"))
+
+
+def formula_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return equipment_scores(snapshot(spark, sf_dir))
 
 
 def formula_score_table(spark: SparkSession, sf_dir: str) -> DataFrame:

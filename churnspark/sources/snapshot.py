@@ -2,8 +2,9 @@
 
 One row per customer with order history before the cut-off date. Lines are
 pre-aggregated per order before the join and orders per customer after it,
-so a hot order or customer is reduced map-side. Money and quantities are
-summed as decimals, which makes the result independent of task order.
+so a hot order or customer is reduced map-side. Money and quantities have two
+decimals and are summed as whole hundredths, which keeps the sums exact and
+independent of task order.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _hundredths(c: str) -> Column:
+    return F.rint(F.col(c) * 100).cast("bigint")
+
+
 def _ratio(recent: Column, prior: Column) -> Column:
     return F.round((recent - prior) / F.nullif(prior, F.lit(0.0)), 6)
 
@@ -31,9 +36,9 @@ def build_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
-        F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        _hundredths("o_totalprice").alias("price"),
         F.col("o_orderdate").cast("date").alias("day"))
-    qty = F.col("l_quantity").cast("decimal(18,2)")
+    qty = _hundredths("l_quantity")
     lines = (
         read_table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
@@ -50,7 +55,7 @@ def build_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
               & (F.col("o_orderpriority") == "1-URGENT"))
 
     def total(measure: str, where: Column) -> Column:
-        return F.sum(F.when(where, F.col(measure))).cast("double")
+        return F.sum(F.when(where, F.col(measure))) / 100.0
 
     activity = (
         orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")

@@ -15,6 +15,7 @@ from churnspark.operators import evaluation, importance, models, segments
 from churnspark.plans import serve
 from churnspark.plans import workspace as W
 from churnspark.plans.prepare import LABEL
+from churnspark.plans.train import train_and_select
 from churnspark.streaming import scoring
 
 KEY = SNAPSHOT.id
@@ -156,6 +157,21 @@ def test_final_evaluation_runs_once(done, bundle, tmp_path):
         serve.evaluate_once(done.part("test"), bundle, LABEL, path, "logistic")
 
 
+def test_whole_training_job(spark, sf, tmp_path):
+    pair = {v: W.prepared(spark, sf, v) for v in ("with_retention", "without_retention")}
+    made = train_and_select(pair, str(tmp_path), names=(models.DUMMY, models.LOGISTIC, models.TREE),
+                            settings=QUICK, repeats=1)
+    assert made.features == pair["without_retention"].features
+    assert spark.read.parquet(str(tmp_path / "model_metrics")).count() == 6
+    assert spark.read.parquet(str(tmp_path / "threshold_sweep")).count() == 5
+    assert spark.read.parquet(str(tmp_path / "test_metrics")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "permutation_importance")).count() == \
+        len(made.features)
+    summary = spark.read.json(str(tmp_path / "gain_summary")).first()
+    assert summary.test_n == pair["without_retention"].part("test").count()
+    assert 0 <= summary.cumulative_gain.top10pct <= summary.cumulative_gain.top50pct <= 1
+
+
 # ---- segments ------------------------------------------------------------------------
 
 def test_greedy_names(spark):
