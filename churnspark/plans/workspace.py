@@ -54,25 +54,32 @@ def folder(spark: SparkSession, sf_dir: str) -> str:
     return f"{shared_folder(spark)}/churnspark/{spark.sparkContext.applicationId}/{tag}"
 
 
+def _stored(spark: SparkSession, df: DataFrame, path: str, by_split: bool = False) -> tuple:
+    """Write a table; path and schema are kept, so later reads infer nothing."""
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy("split") if by_split else writer).parquet(path)
+    return path, spark.read.parquet(path).schema
+
+
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def make() -> str:
-        path = f"{folder(spark, sf_dir)}/snapshot"
-        build_snapshot(spark, sf_dir).write.mode("overwrite").parquet(path)
-        return path
-    return spark.read.parquet(_once(spark, sf_dir, "snapshot", make))
+    path, schema = _once(spark, sf_dir, "snapshot", lambda: _stored(
+        spark, build_snapshot(spark, sf_dir), f"{folder(spark, sf_dir)}/snapshot"))
+    return spark.read.schema(schema).parquet(path)
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple:
+    return _once(spark, sf_dir, "split", lambda: _stored(
+        spark, split_snapshot(snapshot(spark, sf_dir), ROLES), f"{folder(spark, sf_dir)}/split",
+        by_split=True))
 
 
 def split_path(spark: SparkSession, sf_dir: str) -> str:
-    def make() -> str:
-        path = f"{folder(spark, sf_dir)}/split"
-        split_snapshot(snapshot(spark, sf_dir), ROLES).write.mode("overwrite") \
-            .partitionBy("split").parquet(path)
-        return path
-    return _once(spark, sf_dir, "split", make)
+    return _split(spark, sf_dir)[0]
 
 
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(split_path(spark, sf_dir))
+    path, schema = _split(spark, sf_dir)
+    return spark.read.schema(schema).parquet(path)
 
 
 def train_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +89,9 @@ def train_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prepared(spark: SparkSession, sf_dir: str, variant: str = "without_retention") -> Prepared:
     def make() -> Prepared:
         done = prepare_variant(split_table(spark, sf_dir), ROLES, variant, RARE_MIN)
-        path = f"{folder(spark, sf_dir)}/prepared/{variant}"
-        done.table.write.mode("overwrite").partitionBy("split").parquet(path)
-        done.table = spark.read.parquet(path)
+        path, schema = _stored(spark, done.table,
+                               f"{folder(spark, sf_dir)}/prepared/{variant}", by_split=True)
+        done.table = spark.read.schema(schema).parquet(path)
         return done
     return _once(spark, sf_dir, f"prepared/{variant}", make)
 
