@@ -130,27 +130,22 @@ def stopping_round(losses: Sequence[float], patience: int = PATIENCE,
 
 
 def fit_boosting_early(weighted: DataFrame, label: str, settings: ModelSettings):
-    """Boosting with a hold-out and patience, over assembled ``features``.
+    """Boosting with a hold-out and patience, over persisted ``features``.
 
     Spark ML stops at the first worse round, so rounds are tried in doubling
     batches instead; equal seeds and rows give equal leading trees, and the
     last fit has exactly the rounds up to the stop.
     """
-    holdout = weighted.where("holdout").persist()
-    rest = weighted.where("NOT holdout").persist()
-    try:
-        rounds = min(2 * PATIENCE, settings.boosting_rounds)
-        while True:
-            model = boosting(label, rounds, settings).fit(rest)
-            stop = stopping_round(model.evaluateEachIteration(holdout))
-            if stop is not None and stop < rounds:
-                return boosting(label, stop, settings).fit(rest)
-            if stop is not None or rounds >= settings.boosting_rounds:
-                return model
-            rounds = min(2 * rounds, settings.boosting_rounds)
-    finally:
-        holdout.unpersist()
-        rest.unpersist()
+    holdout, rest = weighted.where("holdout"), weighted.where("NOT holdout")
+    rounds = min(2 * PATIENCE, settings.boosting_rounds)
+    while True:
+        model = boosting(label, rounds, settings).fit(rest)
+        stop = stopping_round(model.evaluateEachIteration(holdout))
+        if stop is not None and stop < rounds:
+            return boosting(label, stop, settings).fit(rest)
+        if stop is not None or rounds >= settings.boosting_rounds:
+            return model
+        rounds = min(2 * rounds, settings.boosting_rounds)
 
 
 def build_model(name: str, features: Sequence[str], label: str, train_rows: int,
@@ -195,11 +190,19 @@ def fit_model(name: str, train: DataFrame, features: Sequence[str], label: str,
     early = settings.early_stopping
     if early is None:
         early = rows > EARLY_STOP_ABOVE
-    if name != BOOSTING or not early:
-        return pipeline.fit(weighted)
-    filled = Pipeline(stages=pipeline.getStages()[:-1]).fit(weighted)
-    vectors = filled.transform(weighted).select("features", label, "boost_weight", "holdout")
-    return PipelineModel(stages=[*filled.stages, fit_boosting_early(vectors, label, settings)])
+    *fills, core = pipeline.getStages()
+    filled = Pipeline(stages=fills).fit(weighted)
+    # the learners pass over their input several times, so they get narrow vectors
+    vectors = filled.transform(weighted).select(
+        "features", label, "balanced_weight", "boost_weight", "holdout").persist()
+    try:
+        if name == BOOSTING and early:
+            fitted = fit_boosting_early(vectors, label, settings)
+        else:
+            fitted = core.fit(vectors)
+    finally:
+        vectors.unpersist()
+    return PipelineModel(stages=[*filled.stages, fitted])
 
 
 def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str], label: str,
