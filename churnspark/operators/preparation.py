@@ -269,7 +269,7 @@ class FeatureCleaner(Estimator, _Stateful, DefaultParamsReadable, DefaultParamsW
 # ---- assembly ---------------------------------------------------------------------
 
 def build_preparation(roles: Roles, min_count: int = RARE_BELOW) -> Pipeline:
-    """Clean, fill, scale and encode, in the reference column-block order."""
+    """Clean, fill, scale and encode, median block first, then zero fill, then categories."""
     return Pipeline(stages=[
         FeatureCleaner.for_roles(roles, min_count),
         MedianFill(inputCols=list(roles.median_fill)),
