@@ -33,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
               or sc.getConf().get("spark.checkpoint.dir")
               or sc.getCheckpointDir())
     if folder is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="churnspark-")
     if sc.getCheckpointDir() is None:
