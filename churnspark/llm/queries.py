@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from churnspark.llm import bpe_codec, token_counts, token_orc
+from churnspark.llm import bpe_codec, packing, quality_rules, token_counts, token_orc
 from churnspark.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,22 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_quality_rules(spark, sf):
+    entries = quality_rules.ledger(table(spark, sf, "documents"))
+    return quality_rules.apply_policy(entries, quality_rules.POLICIES[quality_rules.CURRENT]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed",
+        "base_failed", "kept")
+
+
+ORACLE_SQL["op2_quality_rules"] = quality_rules.ORACLE
+
+
+@query
+def op3_best_fit_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), WORD_BPE)
+
+
 @query
 def op6_bpe_codec(spark, sf):
     docs = table(spark, sf, "documents")
