@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from churnspark.llm import bpe_codec, packing, quality_rules, token_counts, token_orc
+from churnspark.llm import bpe_codec, ngram_join, packing, quality_rules, token_counts, token_orc
 from churnspark.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op7_token_orc(spark, sf):
     return token_orc.digests(spark, path)
 
 
+@query
+def op8_ngram_join(spark, sf):
+    return ngram_join.groups(table(spark, sf, "documents"))
+
+
 @query
 def op10_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"), BYTE_BPE)
