@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from churnspark.llm import bpe_codec, ngram_join, packing, quality_rules, token_counts, token_orc
+from churnspark.llm import (
+    bpe_codec, embedding_dedup, ngram_join, packing, quality_rules, token_counts, token_orc)
 from churnspark.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,11 @@ def op3_best_fit_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), WORD_BPE)
 
 
+@query
+def op5_embedding_dedup(spark, sf):
+    return embedding_dedup.near_duplicates(table(spark, sf, "embeddings"))
+
+
 @query
 def op6_bpe_codec(spark, sf):
     docs = table(spark, sf, "documents")
