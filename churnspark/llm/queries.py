@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from churnspark.llm import (
-    bpe_codec, embedding_dedup, ngram_join, packing, quality_rules, token_counts, token_orc)
+    bpe_codec, embedding_dedup, ngram_join, packing, quality_rules, suffix_dedup, token_counts,
+    token_orc)
 from churnspark.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_suffix_array_dedup(spark, sf):
+    return suffix_dedup.digests(suffix_dedup.cut_repeats(table(spark, sf, "documents")))
+
+
 @query
 def op2_quality_rules(spark, sf):
     entries = quality_rules.ledger(table(spark, sf, "documents"))
