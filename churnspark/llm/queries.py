@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from churnspark.llm import (
-    bpe_codec, embedding_dedup, ngram_join, packing, quality_rules, suffix_dedup, token_counts,
+    bpe_codec, embedding_dedup, line_dedup, ngram_join, packing, quality_rules, suffix_dedup, token_counts,
     token_orc)
 from churnspark.llm.common import scratch, table
 
@@ -46,6 +46,11 @@ def op3_best_fit_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), WORD_BPE)
 
 
+@query
+def op4_line_dedup(spark, sf):
+    return line_dedup.line_report(table(spark, sf, "documents"))
+
+
 @query
 def op5_embedding_dedup(spark, sf):
     return embedding_dedup.near_duplicates(table(spark, sf, "embeddings"))
