@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from churnspark.llm import (
-    bpe_codec, embedding_dedup, line_dedup, ngram_join, packing, quality_rules, suffix_dedup, token_counts,
-    token_orc)
+    bpe_codec, embedding_dedup, line_dedup, ngram_join, packing, quality_classifier,
+    quality_rules, suffix_dedup, token_counts, token_orc)
 from churnspark.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op8_ngram_join(spark, sf):
     return ngram_join.groups(table(spark, sf, "documents"))
 
 
+@query
+def op9_quality_classifier(spark, sf):
+    return quality_classifier.resample(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op10_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"), BYTE_BPE)

@@ -35,19 +35,19 @@ def inverse(base: int) -> np.uint64:
     return np.uint64(pow(int(base), -1, 1 << 64))
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, start) of the words of lower-cased UTF-8 bytes; words end at ASCII white space."""
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of the words of lower-cased UTF-8 bytes; ASCII white space ends words."""
     space = IS_SPACE[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
     if not len(starts):
-        return np.zeros(0, np.uint64), starts
+        return np.zeros(0, np.uint64), starts, ends
     base = MULTIPLIER
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(BYTE_HASH[LOWER[data]] * powers(len(data), base), out=sums[1:])
     back = powers(len(data) + 1, inverse(int(base)))
     return mix((sums[ends] - sums[starts]) * back[starts]
-               + (ends - starts).astype(np.uint64)), starts
+               + (ends - starts).astype(np.uint64)), starts, ends
 
 
 def blocks(texts: list[bytes], limit: int = BLOCK_BYTES):
@@ -71,9 +71,9 @@ def shingle_sets(texts: list[bytes], width: int = 5):
     for first, last in blocks(texts):
         some = texts[first:last]
         data = np.frombuffer(b"\n".join(some), dtype=np.uint8)
-        hashes, starts = word_hashes(data)
-        ends = np.cumsum([len(t) + 1 for t in some])
-        bounds = np.concatenate(([0], np.searchsorted(starts, ends)))
+        hashes, starts, _ = word_hashes(data)
+        limits = np.cumsum([len(t) + 1 for t in some])
+        bounds = np.concatenate(([0], np.searchsorted(starts, limits)))
         n = len(hashes)
         rolled = np.zeros(max(0, n - width + 1), dtype=np.uint64)
         for k in range(width):
