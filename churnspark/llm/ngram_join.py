@@ -127,26 +127,55 @@ class CountTree:
             self.levels.append((np.maximum.reduceat(boxes, starts, axis=0),
                                 np.minimum.reduceat(least, starts)))
 
-    def reach(self, size: int, point: np.ndarray) -> np.ndarray:
-        """Positions (in tree order) whose summed minima with the point reach a link's overlap."""
+    def reach(self, first: int, last: int) -> np.ndarray:
+        """Places (in tree order, after ``first``) that some point of the leaf may link with."""
+        top, least = self.counts[first:last].max(axis=0), self.sizes[first:last].min()
         nodes = np.arange(len(self.levels[-1][1]))
         for depth in range(len(self.levels) - 1, -1, -1):
-            boxes, least = self.levels[depth]
-            bound = np.minimum(boxes[nodes], point).sum(axis=1, dtype=np.int64)
-            nodes = nodes[9 * bound >= 4 * (size + least[nodes])]
+            boxes, smallest = self.levels[depth]
+            bound = np.minimum(boxes[nodes], top).sum(axis=1, dtype=np.int64)
+            nodes = nodes[9 * bound >= 4 * (least + smallest[nodes])]
             below = len(self.levels[depth - 1][1]) if depth else len(self.sizes)
             nodes = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
             nodes = nodes[nodes < below]
-        bound = np.minimum(self.counts[nodes], point).sum(axis=1, dtype=np.int64)
-        return nodes[9 * bound >= 4 * (size + self.sizes[nodes])]
+        return nodes[nodes > first]
 
     def pairs(self):
-        """Positions (in the input's order) of pairs that the bound cannot rule out."""
-        for i in range(len(self.order)):
-            near = self.reach(int(self.sizes[i]), self.counts[i])
-            near = near[near > i]
-            if len(near):
-                yield self.order[i], self.order[near]
+        """Two arrays of places (in the input's order): pairs that the bound cannot rule out."""
+        for first in range(0, len(self.order), LEAF):
+            last = min(first + LEAF, len(self.order))
+            near = self.reach(first, last)
+            for at in range(0, len(near), 1024):
+                some = near[at:at + 1024]
+                i = np.repeat(np.arange(first, last), len(some))
+                j = np.tile(some, last - first)
+                i, j = i[i < j], j[i < j]
+                keep = within_bound(self.sizes, self.counts, i, j)
+                yield self.order[i[keep]], self.order[j[keep]]
+
+
+def within_bound(sizes: np.ndarray, counts: np.ndarray, i: np.ndarray,
+                 j: np.ndarray) -> np.ndarray:
+    """Whether the summed coordinate minima of the pairs reach the overlap of a link."""
+    out = np.zeros(len(i), dtype=bool)
+    for at in range(0, len(i), 65_536):
+        a, b = i[at:at + 65_536], j[at:at + 65_536]
+        bound = np.minimum(counts[a], counts[b]).sum(axis=1, dtype=np.int64)
+        out[at:at + 65_536] = 9 * bound >= 4 * (sizes[a] + sizes[b])
+    return out
+
+
+def leaf_pairs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs inside consecutive groups of the given sizes, each within one leaf."""
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    places = np.arange(len(ends))
+    left, right = [], []
+    for step in range(1, int(sizes.max(initial=1))):
+        i = places[places + step < ends]
+        left.append(i)
+        right.append(i + step)
+    empty = [np.zeros(0, dtype=np.int64)]
+    return np.concatenate(left or empty), np.concatenate(right or empty)
 
 
 def _tree_pairs(members: DataFrame, tiled: bool) -> DataFrame:
@@ -158,49 +187,57 @@ def _tree_pairs(members: DataFrame, tiled: bool) -> DataFrame:
     keys = ["h", "tile"] if tiled else ["h"]
     extra = ["block", "root"] if tiled else []
 
-    def groups(batches):
+    def shards(batches):
+        """Tables of whole shards, and where each shard in them begins and ends."""
         rest = None
         for batch in batches:
             part = pa.Table.from_batches([batch])
             rest = part if rest is None else pa.concat_tables([rest, part])
             key = [rest.column(k).to_numpy() for k in keys]
-            change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1
-            cuts = [0, *change.tolist()]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                yield rest.slice(a, b - a)
-            rest = rest.slice(cuts[-1]).combine_chunks()
+            cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1
+            if len(cuts):
+                yield rest.slice(0, cuts[-1]), np.concatenate(([0], cuts))
+                rest = rest.slice(cuts[-1]).combine_chunks()
         if rest is not None and rest.num_rows:
-            yield rest
+            yield rest, np.array([0, rest.num_rows])
+
+    def allowed(table):
+        if not tiled:
+            return lambda i, j: (i, j)
+        block, root, tile = (table.column(c).to_numpy() for c in (*extra, "tile"))
+        mixed = tile // 65536 != tile % 65536
+
+        def wanted(i, j):
+            keep = (root[i] != root[j]) & (~mixed[i] | (block[i] != block[j]))
+            return i[keep], j[keep]
+
+        return wanted
 
     def run(batches):
-        left, right = [], []
-
-        def out():
-            found = pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
-            left.clear()
-            right.clear()
-            return found
-
-        for group in groups(batches):
-            if group.num_rows < 2:
-                continue
-            ids, sizes = group.column("id").to_numpy(), group.column("n").to_numpy()
-            counts = np.frombuffer(b"".join(group.column("counts").to_pylist()),
+        for table, cuts in shards(batches):
+            ids, sizes = table.column("id").to_numpy(), table.column("n").to_numpy()
+            counts = np.frombuffer(b"".join(table.column("counts").to_pylist()),
                                    dtype="<u2").reshape(-1, GROUPS)
-            if tiled:
-                block, root = (group.column(c).to_numpy() for c in extra)
-                mixed = block.min() != block.max()
-            for i, near in CountTree(sizes, counts).pairs():
-                if tiled:
-                    near = near[(root[near] != root[i]) & (~mixed | (block[near] != block[i]))]
-                if len(near):
-                    left.append(np.minimum(ids[i], ids[near]))
-                    right.append(np.maximum(ids[i], ids[near]))
-            if sum(map(len, left)) > 100_000:
-                yield out()
-        if left:
-            yield out()
+            members, wanted = np.diff(cuts), allowed(table)
+            small = members <= LEAF  # trees of a single leaf, all at once
+            rows = np.flatnonzero(np.repeat(small, members))
+            i, j = leaf_pairs(members[small])
+            i, j = wanted(rows[i], rows[j])
+            low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+            by = np.lexsort((high, low))
+            new = np.concatenate((np.ones(min(1, len(by)), dtype=bool),
+                                  (np.diff(low[by]) != 0) | (np.diff(high[by]) != 0)))
+            i, j = i[by[new]], j[by[new]]
+            keep = within_bound(sizes, counts, i, j)
+            found = [(i[keep], j[keep])]
+            for a, b in zip(cuts[:-1][~small], cuts[1:][~small], strict=True):
+                found += [wanted(a + x, a + y) for x, y in
+                          CountTree(sizes[a:b], counts[a:b]).pairs()]
+            i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+            if len(i):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))],
+                    ["a", "b"])
 
     return (members.select(*keys, "id", "n", "counts", *extra).repartition(*keys)
             .sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct())

@@ -245,6 +245,27 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             .union(_merged(found)).union(copies))
 
 
+def _kept(raw: bytes, marks) -> tuple[bytes, int, int]:
+    """What is left without the marked spans, the bytes they cover, and how many runs they are."""
+    pieces, end, runs, removed = [], 0, 0, 0
+    for lo, hi in sorted((m["lo"], m["hi"]) for m in marks or []):
+        if not runs or lo > end:
+            runs += 1
+            pieces.append(raw[end:lo])
+            removed += hi - lo
+            end = hi
+        elif hi > end:
+            removed += hi - end
+            end = hi
+    pieces.append(raw[end:])
+    return b"".join(pieces), removed, runs
+
+
+def _spans_by_text(docs: DataFrame, width: int) -> DataFrame:
+    return (repeated_spans(docs, width).groupBy("key")
+            .agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+
+
 def cut_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary) of each document.
 
@@ -253,42 +274,50 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     and repeated rows keep one row each; equal texts are copies of each other. Other columns are
     ignored.
     """
-    spans = (repeated_spans(docs, width).groupBy("key")
-             .agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
-
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
-                sizes, gone, counts, kept = [], [], [], []
-                for text, marks in zip(some.column(1).to_pylist(), some.column(2).to_pylist(),
-                                       strict=True):
-                    raw, pieces, end, n, removed = text.encode(), [], 0, 0, 0
-                    stop = -1
-                    for lo, hi in sorted((m["lo"], m["hi"]) for m in marks or []):
-                        if lo > stop:
-                            n += 1
-                            pieces.append(raw[end:lo])
-                            removed += hi - lo
-                            end = stop = hi
-                        elif hi > stop:
-                            removed += hi - stop
-                            end = stop = hi
-                    pieces.append(raw[end:])
-                    sizes.append(len(raw))
-                    gone.append(removed)
-                    counts.append(n)
-                    kept.append(b"".join(pieces))
+                raws = [t.encode() for t in some.column(1).to_pylist()]
+                cut = [_kept(r, m) for r, m in zip(raws, some.column(2).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
-                     pa.array(counts, pa.int64()), pa.array(kept, pa.binary())],
+                    [some.column(0), pa.array([len(r) for r in raws], pa.int64()),
+                     pa.array([c[1] for c in cut], pa.int64()),
+                     pa.array([c[2] for c in cut], pa.int64()),
+                     pa.array([c[0] for c in cut], pa.binary())],
                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return (_keyed(docs).join(spans, "key", "left").select("doc_id", "text", "spans")
+    return (_keyed(docs).join(_spans_by_text(docs, width), "key", "left")
+            .select("doc_id", "text", "spans")
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, "
                              "kept binary"))
 
 
+def drop_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents, all columns, without repeated passages; n_chars follows if there is one.
+
+    A character that a span cuts in two goes whole. Texts without repeats stay as they are.
+    """
+    def run(batches):
+        for batch in batches:
+            cut = [None if not marks else _kept(text.encode(), marks)[0].decode(errors="ignore")
+                   for text, marks in zip(batch.column(1).to_pylist(),
+                                          batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(cut, pa.string())], ["doc", "cut"])
+
+    whole = docs.select(F.struct(*docs.columns).alias("doc"))
+    keyed = whole.withColumn("key", F.xxhash64(F.coalesce("doc.text", F.lit(""))))
+    new = (keyed.join(_spans_by_text(docs, width), "key", "left")
+           .select("doc", F.coalesce("doc.text", F.lit("")).alias("text"), "spans")
+           .mapInArrow(run, f"doc {whole.schema['doc'].dataType.simpleString()}, cut string"))
+    text = F.coalesce("cut", "doc.text")
+    return new.select(*(
+        text.alias(c) if c == "text"
+        else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+        else F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
+
+
 def digests(cut: DataFrame) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans",
                       F.sha2("kept", 256).alias("kept_sha256"))

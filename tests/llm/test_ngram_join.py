@@ -86,6 +86,6 @@ def test_tree_lets_every_possible_pair_through():
     sizes = counts.sum(axis=1, dtype=np.int64)
     bound = np.minimum(counts[:, None, :], counts[None, :, :]).sum(axis=2, dtype=np.int64)
     want = {(i, j) for i, j in np.argwhere(9 * bound >= 4 * (sizes[:, None] + sizes)) if i < j}
-    got = {(min(i, j), max(i, j)) for i, near in ngram_join.CountTree(sizes, counts).pairs()
-           for j in near}
-    assert got == want
+    found = [(min(i, j), max(i, j)) for left, right in ngram_join.CountTree(sizes, counts).pairs()
+             for i, j in zip(left, right, strict=True)]
+    assert set(found) == want and len(found) == len(want)

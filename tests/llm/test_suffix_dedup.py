@@ -11,15 +11,25 @@ from churnspark.llm import suffix_arrays, suffix_dedup
 from conftest_llm import tuples
 
 
-def plain(rows, width=200):
+def _marked(rows, width):
     raws = [(t or "").encode() for _, t in rows]
     seen = Counter(r[i:i + width] for r in raws for i in range(len(r) - width + 1))
-    out = []
     for (doc, _), raw in zip(rows, raws, strict=True):
         gone = bytearray(len(raw))
         for i in range(len(raw) - width + 1):
             if seen[raw[i:i + width]] > 1:
                 gone[i:i + width] = b"\1" * width
+        yield doc, raw, gone
+
+
+def kept_bytes(rows, width=200):
+    return [(doc, bytes(b for b, g in zip(raw, gone, strict=True) if not g))
+            for doc, raw, gone in _marked(rows, width)]
+
+
+def plain(rows, width=200):
+    out = []
+    for doc, raw, gone in _marked(rows, width):
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         out.append((doc, len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
