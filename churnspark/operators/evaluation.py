@@ -19,6 +19,26 @@ from churnspark.operators.scale import (
 from churnspark.session import cut_lineage
 
 
+UNSCORED = "a row has no score; see unscored_rows"
+
+
+def scored(score: str) -> Column:
+    """The score as a double; NULL and NaN stop the job.
+
+    Every function of this module goes through here, so all of them cover the same rows.
+    """
+    value = F.col(score).cast("double")
+    return F.when(value.isNull() | F.isnan(value), F.raise_error(F.lit(UNSCORED)).cast("double")) \
+        .otherwise(value)
+
+
+def unscored_rows(df: DataFrame, score: str) -> DataFrame:
+    """One row: rows in all, and rows that no evaluation would accept."""
+    value = F.col(score).cast("double")
+    return df.agg(F.count("*").alias("n_rows"),
+                  F.count_if(value.isNull() | F.isnan(value)).alias("n_unscored"))
+
+
 def _divide(a: Column, b: Column) -> Column:
     """Quotient with 0 for an empty denominator."""
     return F.when(b == 0, F.lit(0.0)).otherwise(a / b)
@@ -56,8 +76,7 @@ def ranked_scores(df: DataFrame, score: str, label: str, groups: Sequence[str] =
                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Distinct scores, highest first: counts, running counts and totals."""
     counts = (
-        df.where(F.col(score).isNotNull() & ~F.isnan(score))
-        .groupBy(*groups, (F.lit(0.0) - F.col(score).cast("double")).alias("key"))
+        df.groupBy(*groups, (F.lit(0.0) - scored(score)).alias("key"))
         .agg(F.count("*").alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")))
     ranked = prefix_sum(counts, "key", ["n", "pos"], groups, rows_per_bucket=rows_per_bucket)
     return ranked.withColumn("score", F.lit(0.0) - F.col("key")).drop("key")
@@ -135,8 +154,7 @@ def pr_curve(df: DataFrame, score: str, label: str,
         F.round(F.col("cum_pos") / F.col("total_pos"), 6).alias("recall"),
         F.round(F.col("cum_pos") / F.col("cum_n"), 6).alias("precision"),
         base.alias("base_rate"))
-    present = df.where(F.col(score).isNotNull() & ~F.isnan(score))
-    end = present.agg(F.round(F.avg(F.col(label)), 6).alias("base_rate")).select(
+    end = df.agg(F.round(F.avg(F.col(label)), 6).alias("base_rate")).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("recall"),
         F.lit(1.0).alias("precision"), "base_rate")
     return points.unionByName(end)
@@ -149,7 +167,7 @@ def threshold_sweep(df: DataFrame, score: str, label: str,
     y = F.col(label)
     table = {}
     for t in thresholds:
-        hit = F.coalesce(F.when(~F.isnan(score), F.col(score) >= t), F.lit(False))
+        hit = scored(score) >= t
         table[float(t)] = {
             "true_negative": F.count_if(~hit & (y == 0)),
             "false_positive": F.count_if(hit & (y == 0)),
@@ -163,10 +181,8 @@ def threshold_sweep(df: DataFrame, score: str, label: str,
 
 
 def _by_score(df: DataFrame, score: str, label: str, key: str) -> DataFrame:
-    return cut_lineage(
-        df.where(F.col(score).isNotNull() & ~F.isnan(score))
-        .select((F.lit(0.0) - F.col(score).cast("double")).alias("_order"), key,
-                F.col(label).cast("bigint").alias("_pos"), F.lit(1).alias("_one")))
+    return df.select((F.lit(0.0) - scored(score)).alias("_order"), key,
+                     F.col(label).cast("bigint").alias("_pos"), F.lit(1).alias("_one"))
 
 
 def gain_curve(df: DataFrame, score: str, label: str, key: str,
@@ -192,30 +208,35 @@ def gain_at(df: DataFrame, score: str, label: str, key: str,
             rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Gain and lift after the best floor(share * n) customers.
 
-    Only the buckets that hold one of these positions are sorted.
+    One row per share; no customers, no gain. Only the buckets that hold one of these positions
+    are sorted.
     """
-    bucketed, _ = key_buckets(_by_score(df, score, label, key), "_order", key, rows_per_bucket)
+    bucketed, _ = key_buckets(cut_lineage(_by_score(df, score, label, key)), "_order", key,
+                              rows_per_bucket)
     offsets = bucket_offsets(bucketed, ["_pos", "_one"])
     total = offsets.agg(F.sum("_in__one")).first()[0] or 0
     positions = {q: math.floor(q * total) for q in shares}
     wanted = sorted({p for p in positions.values() if p > 0})
-    holds = F.exists(F.array(*[F.lit(p) for p in wanted]).cast("array<bigint>"),
+    holds = F.exists(F.array(*map(F.lit, wanted)).cast("array<bigint>"),
                      lambda p: (p > F.col("_before__one"))
                      & (p <= F.col("_before__one") + F.col("_in__one")))
     edge = offsets.where(holds)
     near = bucketed.join(edge.select("_bucket", "_sub"), ["_bucket", "_sub"], "left_semi")
     hits = (running_in_buckets(near, edge, "_order", ["_pos", "_one"], tie=key)
             .where(F.col("cum__one").isin(wanted)))
-    labels = F.array(*[F.struct(F.lit(q).alias("share"), F.lit(p).cast("bigint").alias("position"))
-                       for q, p in positions.items()])
-    gain = F.col("cum__pos") / F.col("total__pos")
-    return (hits.select("*", F.explode(labels).alias("s")).where("s.position = cum__one")
-            .select("s.share", "s.position", F.round(gain, 6).alias("gain"),
-                    F.round(gain / F.col("s.share"), 6).alias("lift")))
+    labels = df.sparkSession.createDataFrame(list(positions.items()),
+                                             "share double, position bigint")
+    # at most one row per share
+    found = hits.select(F.col("cum__one").cast("bigint").alias("position"),
+                        (F.col("cum__pos") / F.col("total__pos")).alias("_gain"))
+    gain = F.coalesce(F.col("_gain"), F.when(F.col("position") == 0, 0.0))
+    return (labels.join(F.broadcast(found), "position", "left")
+            .select("share", "position", F.round(gain, 6).alias("gain"),
+                    F.round(gain / F.col("share"), 6).alias("lift")))
 
 
 def contact_volume(df: DataFrame, score: str, threshold: float = 0.5) -> DataFrame:
-    hit = F.coalesce(F.when(~F.isnan(score), F.col(score) >= threshold), F.lit(False))
+    hit = scored(score) >= threshold
     return df.agg(F.count_if(hit).alias("contacted_at_threshold"),
                   F.round(F.avg(hit.cast("int")), 6).alias("contacted_share"))
 
@@ -227,7 +248,7 @@ def example_customers(df: DataFrame, score: str, key: str, middle: float = 0.55)
     """
     p = F.col(score)
     pick = F.struct(F.col(key).alias("k"), p.alias("p"))
-    return rows_from_aggregates(df.where(p.isNotNull()), "example", {
+    return rows_from_aggregates(df.withColumn(score, scored(score)), "example", {
         name: {"r": F.min_by(pick, F.struct(order.alias("o"), F.col(key)))}
         for name, order in (("high", -p), ("mid", F.abs(p - middle)), ("low", p))
     }).select("example", F.col("r.k").alias(key), F.col("r.p").alias(score))

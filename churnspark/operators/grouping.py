@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from churnspark.functions.columns import HIGH, LOW, MID, risk_band
 from churnspark.operators.scale import rows_from_aggregates
 
+PAIRS_PER_PASS = 100
+
 
 def rate_by(df: DataFrame, category: str, label: Column) -> DataFrame:
     """Mean of a 0/1 label per category; rows without a category are left out."""
@@ -105,16 +108,21 @@ def correlation_with_target(df: DataFrame, columns: Sequence[str], label: str,
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairs in long form from one pass, pairwise complete.
+    """All pairs in long form, pairwise complete.
 
-    Rows are stacked per pair and reduced map-side: the generated code stays
-    small however many columns there are, and each task ships one row per pair.
+    Aggregates of ``PAIRS_PER_PASS`` pairs at a time: no row is multiplied, and the generated
+    code stays small however many columns there are.
     """
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"),
-                 F.col(b).cast("double").alias("y"))
-        for i, a in enumerate(columns) for b in columns[i:]])
-    half = df.select(F.inline(cells)).groupBy("a", "b").agg(F.round(F.corr("x", "y"), 6).alias("r"))
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    parts = []
+    for at in range(0, len(pairs), PAIRS_PER_PASS):
+        some = pairs[at:at + PAIRS_PER_PASS]
+        row = df.agg(*[F.round(F.corr(F.col(a).cast("double"), F.col(b).cast("double")), 6)
+                       .alias(f"r{k}") for k, (a, b) in enumerate(some)])
+        parts.append(row.select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{k}").alias("r"))
+            for k, (a, b) in enumerate(some)]))))
+    half = reduce(DataFrame.unionAll, parts)
     both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
         F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
     return half.select("r", F.explode(both).alias("p")).select(

@@ -16,7 +16,8 @@ from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +34,6 @@ FOREST = "Random Forest"
 BOOSTING = "HistGradientBoosting"
 MODEL_NAMES = (DUMMY, LOGISTIC, TREE, FOREST, BOOSTING)
 
-# Boosting stops early above this many Train rows, once this many
-# rounds in a row have not improved the hold-out loss by more than the tolerance.
-EARLY_STOP_ABOVE = 10_000
-PATIENCE = 10
-TOLERANCE = 1e-7
-
 
 @dataclass(frozen=True)
 class ModelSettings:
@@ -52,12 +47,15 @@ class ModelSettings:
     forest_trees: int = 350
     forest_leaf: int = 8
     forest_depth: int = 30  # the limit of Spark ML; the compared forest has none
+    forest_bootstrap: bool = True
     forest_memory_mb: int = 1024  # per task, for split statistics of deep trees
     boosting_rate: float = 0.06
     boosting_rounds: int = 300
     boosting_depth: int = 5  # level-wise stand-in for 31 leaves
     holdout_share: float = 0.1
-    early_stopping: bool | None = None  # None: by number of Train rows
+    early_stopping: bool = True
+    stop_tolerance: float = 1e-4  # relative gain of the hold-out loss that goes on
+    max_fit_rows: int = 20_000_000  # fits use a sample by hash beyond; trees are on the driver
 
 
 def with_weights(train: DataFrame, label: str, key: str,
@@ -79,20 +77,27 @@ def with_weights(train: DataFrame, label: str, key: str,
     })
 
 
-class MostFrequent:
+class MostFrequent(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Majority-class baseline: probability 1 of the majority label for everyone."""
 
-    def __init__(self, majority: int):
-        self.majority = majority
+    majority = Param(Params._dummy(), "majority", "the label of most Train rows",
+                     TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, majority: int = 0):
+        super().__init__()
+        self._set(**self._input_kwargs)
 
     @classmethod
     def fit(cls, train: DataFrame, label: str) -> "MostFrequent":
         row = train.agg(F.count_if(F.col(label) == 1).alias("pos"),
                         F.count("*").alias("n")).first()
-        return cls(int(row.pos * 2 > row.n))
+        return cls(majority=int(row.pos * 2 > row.n))
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("p", F.lit(float(self.majority)))
+    def _transform(self, dataset):
+        one = float(self.getOrDefault(self.majority))
+        vector = array_to_vector(F.array(F.lit(1.0 - one), F.lit(one)))
+        return dataset.withColumn("probability", vector)
 
 
 def probability(column: str = "probability") -> Column:
@@ -113,39 +118,17 @@ class Assemble(Transformer, _Columns, DefaultParamsReadable, DefaultParamsWritab
         return VectorAssembler(inputCols=cols + flags, outputCol="features").transform(dataset)
 
 
-def boosting(label: str, rounds: int, settings: ModelSettings) -> GBTClassifier:
-    return GBTClassifier(
-        stepSize=settings.boosting_rate, maxIter=rounds, maxDepth=settings.boosting_depth,
-        weightCol="boost_weight", seed=settings.seed, featuresCol="features", labelCol=label)
-
-
-def stopping_round(losses: Sequence[float], patience: int = PATIENCE,
-                   tolerance: float = TOLERANCE) -> int | None:
-    """First round whose last ``patience`` losses all fail to beat the one before them."""
-    for end in range(patience + 1, len(losses) + 1):
-        reference = losses[end - patience - 1] - tolerance
-        if not any(loss < reference for loss in losses[end - patience:end]):
-            return end
-    return None
-
-
-def fit_boosting_early(weighted: DataFrame, label: str, settings: ModelSettings):
-    """Boosting with a hold-out and patience, over persisted ``features``.
-
-    Spark ML stops at the first worse round, so rounds are tried in doubling
-    batches instead; equal seeds and rows give equal leading trees, and the
-    last fit has exactly the rounds up to the stop.
-    """
-    holdout, rest = weighted.where("holdout"), weighted.where("NOT holdout")
-    rounds = min(2 * PATIENCE, settings.boosting_rounds)
-    while True:
-        model = boosting(label, rounds, settings).fit(rest)
-        stop = stopping_round(model.evaluateEachIteration(holdout))
-        if stop is not None and stop < rounds:
-            return boosting(label, stop, settings).fit(rest)
-        if stop is not None or rounds >= settings.boosting_rounds:
-            return model
-        rounds = min(2 * rounds, settings.boosting_rounds)
+def boosting(label: str, settings: ModelSettings) -> GBTClassifier:
+    """With early stopping, rows marked ``holdout`` are kept out of the fit, which ends after the
+    first round that no longer lowers their loss by ``stop_tolerance``. One fit, at every size."""
+    learner = GBTClassifier(
+        stepSize=settings.boosting_rate, maxIter=settings.boosting_rounds,
+        maxDepth=settings.boosting_depth, weightCol="boost_weight", seed=settings.seed,
+        featuresCol="features", labelCol=label)
+    if settings.early_stopping:
+        learner.setValidationIndicatorCol("holdout")
+        learner.setParams(validationTol=settings.stop_tolerance)
+    return learner
 
 
 def build_model(name: str, features: Sequence[str], label: str, train_rows: int,
@@ -168,62 +151,83 @@ def build_model(name: str, features: Sequence[str], label: str, train_rows: int,
             weightCol="balanced_weight", seed=s.seed, **common)
     elif name == FOREST:
         core = RandomForestClassifier(
-            numTrees=s.forest_trees, featureSubsetStrategy="sqrt",
+            numTrees=s.forest_trees, bootstrap=s.forest_bootstrap, featureSubsetStrategy="sqrt",
             minInstancesPerNode=s.forest_leaf, maxDepth=s.forest_depth,
             weightCol="balanced_weight", seed=s.seed, maxMemoryInMB=s.forest_memory_mb,
             cacheNodeIds=True, **common)
     elif name == BOOSTING:
-        core = boosting(label, s.boosting_rounds, s)
+        core = boosting(label, s)
     else:
         raise ValueError(f"unknown model: {name}")
     return Pipeline(stages=[*fill, Assemble(inputCols=cols), core])
 
 
+def bounded_sample(train: DataFrame, key: str, settings: ModelSettings) -> tuple[DataFrame, int]:
+    """At most about ``max_fit_rows`` rows, those whose key hashes lowest, and the row count."""
+    rows = train.count()
+    digits = 8
+    share = min(1.0, settings.max_fit_rows / max(rows, 1))
+    limit = int(share * 16 ** digits)
+    order = F.conv(F.substring(hash_order(f"fit{settings.seed}", key), 1, digits), 16, 10)
+    return train.where(order.cast("bigint") < limit), min(rows, settings.max_fit_rows)
+
+
 def fit_model(name: str, train: DataFrame, features: Sequence[str], label: str, key: str,
               settings: ModelSettings = ModelSettings()):
     """Fit one model. Persist ``train`` first when several are fitted."""
-    if name == DUMMY:
-        return MostFrequent.fit(train, label)
-    weighted = with_weights(train.select(key, label, *features), label, key, settings)
-    rows = train.count()
-    pipeline = build_model(name, features, label, rows, settings)
-    early = settings.early_stopping
-    if early is None:
-        early = rows > EARLY_STOP_ABOVE
-    *fills, core = pipeline.getStages()
-    filled = Pipeline(stages=fills).fit(weighted)
-    # the learners pass over their input several times, so they get narrow vectors
-    vectors = filled.transform(weighted).select(
-        "features", label, "balanced_weight", "boost_weight", "holdout").persist()
-    try:
-        if name == BOOSTING and early:
-            fitted = fit_boosting_early(vectors, label, settings)
-        else:
-            fitted = core.fit(vectors)
-    finally:
-        vectors.unpersist()
-    return PipelineModel(stages=[*filled.stages, fitted])
+    return fit_models([name], train, features, label, key, settings)[name]
 
 
 def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str], label: str,
                key: str, settings: ModelSettings = ModelSettings(),
                parallelism: int = 4) -> dict[str, object]:
-    """Fit several models on one persisted Train; independent fits run side by side."""
-    names = list(names)
-    train = train.persist()
+    """Fit several models side by side on one Train.
+
+    Gaps are learned and filled once for all models; the learners share one persisted table of
+    vectors, the logistic model one of scaled vectors.
+    """
+    names, cols = list(names), list(features)
+    done: dict[str, object] = {}
+    if DUMMY in names:
+        done[DUMMY] = PipelineModel(stages=[MostFrequent.fit(train, label)])
+    learners = [n for n in names if n != DUMMY]
+    if not learners:
+        return done
+    sample, rows = bounded_sample(train.select(key, label, *cols), key, settings)
+    weighted = with_weights(sample, label, key, settings)
+    fills = Pipeline(stages=[MissingFlags(inputCols=cols), MedianFill(inputCols=cols)]).fit(weighted)
+    filled = fills.transform(weighted)
+    pipelines = {n: build_model(n, cols, label, rows, settings).getStages()[2:] for n in learners}
+    scaled = any(n == LOGISTIC for n in learners)
+    plain = [n for n in learners if n != LOGISTIC]
+    kept = [label, "balanced_weight", "boost_weight", "holdout"]
+    tables = []
+
+    def vectors(stages) -> tuple[list, DataFrame]:
+        chain = Pipeline(stages=stages).fit(filled)
+        table = chain.transform(filled).select("features", *kept).persist()
+        tables.append(table)
+        return chain.stages, table
+
     try:
-        with ThreadPool(min(parallelism, len(names))) as pool:
-            done = pool.map(
-                lambda name: fit_model(name, train, features, label, key, settings), names)
+        shared = vectors(pipelines[plain[0]][:-1]) if plain else None
+        own = vectors(pipelines[LOGISTIC][:-1]) if scaled else None
+
+        def fit(name: str):
+            before, table = own if name == LOGISTIC else shared
+            return PipelineModel(stages=[*fills.stages, *before,
+                                         pipelines[name][-1].fit(table)])
+
+        with ThreadPool(min(parallelism, len(learners))) as pool:
+            done.update(zip(learners, pool.map(fit, learners)))
     finally:
-        train.unpersist()
-    return dict(zip(names, done))
+        for table in tables:
+            table.unpersist()
+    return {n: done[n] for n in names}
 
 
 def score(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns plus the churn probability ``p``."""
-    if isinstance(model, MostFrequent):
-        return model.transform(df).select(*keep, "p")
     return model.transform(df).select(*keep, probability().alias("p"))
 
 

@@ -33,13 +33,9 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each set of equal rows; NULLs are equal.
 
-    Only rows whose 64-bit hash occurs twice can repeat, so the wide grouping
-    runs on those alone and the first shuffle carries hashes, not rows.
+    One scan; equal rows of a task are combined before the shuffle.
     """
-    hashed = df.withColumn("_h", F.xxhash64(*df.columns))
-    repeated = hashed.groupBy("_h").agg(F.count("*").alias("n")).where("n > 1").select("_h")
-    groups = hashed.join(repeated, "_h", "left_semi").groupBy(*df.columns).agg(
-        F.count("*").alias("_n"))
+    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

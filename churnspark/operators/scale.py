@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from churnspark.session import cut_lineage
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 2_000
+BOUND_SAMPLE = 50
 SMALL_COLUMN = 1_000_000
 SKETCH_ACCURACY = 10_000
 
@@ -42,16 +42,16 @@ def rows_from_aggregates(df: DataFrame, label: str,
 # ---- running totals -----------------------------------------------------------
 
 def key_buckets(df: DataFrame, key: str, tie: str | None = None,
-                rows_per_bucket: int = ROWS_PER_BUCKET,
-                max_buckets: int = MAX_BUCKETS) -> tuple[DataFrame, int]:
+                rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
     """Add ``_bucket`` and ``_sub``, which follow the order of (key, tie).
 
     Bounds are quantiles of the key, fetched once, so a recomputed task puts a
     row in the same bucket again. A key that fills several quantiles is split
-    further by quantiles of ``tie``; it is the lower bound of its bucket, hence
-    its parts come before the other rows there.
+    further at values of ``tie``, of any type with an order; it is the lower
+    bound of its bucket, hence its parts come before the other rows there.
     """
-    wanted = min(max_buckets, math.ceil(df.count() / rows_per_bucket))
+    rows = df.count()
+    wanted = math.ceil(rows / rows_per_bucket)
     if wanted <= 1:
         return df.withColumns({"_bucket": F.lit(0.0), "_sub": F.lit(0)}), 1
     cuts = [i / wanted for i in range(1, wanted)]
@@ -63,11 +63,15 @@ def key_buckets(df: DataFrame, key: str, tie: str | None = None,
     if tie is None or not hot:
         return df.withColumn("_sub", F.lit(0)), len(splits) - 1
     parts = max(repeats.values()) + 1
-    tie_cuts = [i / parts for i in range(1, parts)]
-    # at most one row per bound, so the broadcast is bounded by max_buckets
-    hot_rows = (df.where(F.col(key).isin(hot)).groupBy(key)
-                .agg(F.percentile_approx(tie, tie_cuts, SKETCH_ACCURACY).alias("_cuts"))
-                .collect())
+    # Every n-th tie by hash, about BOUND_SAMPLE per bucket: bounds decide where
+    # rows are summed, never a result.
+    every = max(1, rows // (BOUND_SAMPLE * wanted))
+    sample = (df.where(F.col(key).isin(hot) & (F.pmod(F.xxhash64(tie), F.lit(every)) == 0))
+              .groupBy(key).agg(F.sort_array(F.collect_list(tie)).alias("_all")))
+    place = (F.size("_all") / parts)
+    hot_rows = sample.select(key, F.array_compact(F.transform(
+        F.sequence(F.lit(1), F.lit(parts - 1)),
+        lambda i: F.get("_all", F.floor(i * place).cast("int")))).alias("_cuts")).collect()
     small = df.sparkSession.createDataFrame(
         hot_rows, df.select(key, F.array(tie).alias("_cuts")).schema)
     df = df.join(F.broadcast(small), key, "left")

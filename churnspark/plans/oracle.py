@@ -7,6 +7,7 @@ from churnspark.functions import playbook
 from churnspark.functions.columns import HIGH, LOW, MID
 from churnspark.operators import segments
 from churnspark.plans import catalog as Q
+from churnspark.plans import round_trips
 from churnspark.plans.workspace import CENTRES, RARE_MIN, ROLES
 
 SEG = list(ROLES.segment_features)
@@ -206,6 +207,12 @@ _RARE = f"""rare AS (SELECT {_REGION} AS service_area_region, count(*) AS n FROM
   GROUP BY 1 HAVING count(*) < {RARE_MIN})"""
 _GROUPED = (f"CASE WHEN {_REGION} IN (SELECT service_area_region FROM rare) THEN 'Other' "
             f"ELSE {_REGION} END")
+_cells = " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+    for c in ("customer_id", "churn", "service_area", "handset_price", "credit_rating",
+              "marital_status"))
+_slices = ", ".join(f"CAST(sum(CAST('0x' || substr(h, {at}, 16) AS HUGEINT)) AS VARCHAR)"
+                    for at in (1, 17, 33, 49))
 _CLASSES = "('train'), ('val'), ('test')"
 
 
@@ -355,9 +362,8 @@ def oracle_queries() -> dict[str, str]:
         "preview_tail": f"WITH {SNAP} SELECT * FROM snap ORDER BY customer_id DESC LIMIT 5",
         "union_splits": f"WITH {SPLIT} SELECT customer_id, churn, split, {_cols(SEG)} FROM spl",
         "scan_split_test": f"WITH {SPLIT} SELECT customer_id, {_cols(SEG)}, y AS _churn FROM spl WHERE split = 'test'",
-        "table_fingerprint": f"""WITH {SNAP}, h AS (SELECT sha256(concat_ws('|', CAST(customer_id AS VARCHAR), churn,
-  coalesce(service_area, '<null>'), handset_price, credit_rating, marital_status)) AS h FROM snap)
-SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(h, 1, 12) AS HUGEINT)) AS VARCHAR) AS hash_sum FROM h""",
+        "table_fingerprint": f"""WITH {SNAP}, h AS (SELECT sha256({_cells}) AS h FROM snap)
+SELECT count(*) AS n_rows, concat_ws('-', {_slices}) AS hash_sum FROM h""",
         "table_shape": f"WITH {SNAP} SELECT CAST(position AS INTEGER) AS position, column_name, data_type, n_rows FROM (VALUES "
         + ", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(_snapshot_types(), 1))
         + ") v(position, column_name, data_type), (SELECT count(*) AS n_rows FROM snap)",
@@ -576,6 +582,7 @@ SELECT count(*) AS n, round(avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greates
     sql["churn_rate_by_region"] = (
         f"WITH {LAB} SELECT {region} AS region, count(*) AS n, round(avg(y), 6) AS churn_rate "
         "FROM lab WHERE service_area IS NOT NULL GROUP BY 1")
+    sql.update(round_trips.oracle_queries(SNAP, SPLIT, SCORE, sql["metrics_long"]))
     return {k: sql[k] for k in Q.QUERIES if k in sql}
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from churnspark.contracts import SNAPSHOT
 from churnspark.functions.columns import encode_label
 from churnspark.operators import models
+from churnspark.operators.preparation import RARE_BELOW
 from churnspark.operators.segments import assign_segments, segments_with_centres
 from churnspark.plans.prepare import LABEL, Prepared, prepare_variant, split_snapshot
 from churnspark.plans.serve import Bundle
@@ -24,11 +25,10 @@ from churnspark.session import shared_folder
 from churnspark.sources.snapshot import build_snapshot
 
 ROLES = SNAPSHOT
-RARE_MIN = 36  # about the mean Train size of a region at sf0.01
+RARE_MIN = RARE_BELOW
 THRESHOLD = 0.5
 
-# Registered model runs stop boosting early at every size.
-SETTINGS = models.ModelSettings(early_stopping=True)
+SETTINGS = models.ModelSettings()
 
 # Five centres in scaled feature space for the fixed-centre segment queries.
 CENTRES = (

@@ -17,6 +17,7 @@ def build_session(cores: str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.legacy.javaCharsets", "true")  # files in cp949, euc-kr
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

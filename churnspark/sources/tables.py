@@ -45,8 +45,9 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     before the cast; a text that is no number fails the read instead of
     turning into NULL silently.
     """
-    if encoding.lower() not in SPARK_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # e.g. cp949, euc-kr
+    if (encoding.lower() not in SPARK_CHARSETS
+            and spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true"):
+        raise ValueError(f"{encoding} needs a session with spark.sql.legacy.javaCharsets=true")
     reader = spark.read.option("header", True).option("encoding", encoding).option("sep", sep)
     raw = reader.csv(path if isinstance(path, str) else list(path))
     if schema is None:
@@ -103,19 +104,23 @@ def read_document(spark: SparkSession, path: str) -> DataFrame:
 
 
 def row_hash(df: DataFrame) -> DataFrame:
-    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("<null>")) for c in df.columns]
-    return df.select(F.sha2(F.concat_ws("|", *cells), 256).alias("h"))
+    """SHA-256 of each row; a cell is its length and its text, or a mark for NULL."""
+    texts = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    cells = [F.when(t.isNull(), F.lit("-")).otherwise(
+        F.concat(F.length(t).cast("string"), F.lit(":"), t)) for t in texts]
+    return df.select(F.sha2(F.concat(*cells), 256).alias("h"))
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """Order-insensitive content fingerprint: row count and sum of row hashes.
 
-    The first 12 hex digits of each row hash are added as exact decimals.
+    All 256 bits count: four slices of each row hash are added as exact decimals.
     """
-    head12 = F.conv(F.substring("h", 1, 12), 16, 10).cast("decimal(20,0)")
+    sums = [F.coalesce(F.sum(F.conv(F.substring("h", at, 16), 16, 10).cast("decimal(20,0)"))
+                       .cast("decimal(38,0)"), F.lit(0)).cast("string")
+            for at in (1, 17, 33, 49)]
     return row_hash(df).agg(F.count("*").alias("n_rows"),
-                            F.sum(head12).cast("decimal(38,0)").cast("string")
-                            .alias("hash_sum"))
+                            F.concat_ws("-", *sums).alias("hash_sum"))
 
 
 def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:

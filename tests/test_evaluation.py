@@ -111,3 +111,47 @@ def test_describe_approximate_mode(spark):
     approx = profiling.describe(df, ["x"], approximate=True).first()
     assert exact.q50 == 500.0 and abs(approx.q50 - 500.0) <= 1
     assert profiling.numeric_columns(df) == ["x"]
+
+
+UNSCORED = [(1, 0.9, 1), (2, 0.4, 0), (3, None, 1), (4, float("nan"), 0), (5, 0.2, 1)]
+
+
+@pytest.mark.parametrize("run", [
+    lambda df: evaluation.evaluate(df, "p", "y"), lambda df: evaluation.roc_curve(df, "p", "y"),
+    lambda df: evaluation.pr_curve(df, "p", "y"), lambda df: evaluation.threshold_sweep(df, "p", "y"),
+    lambda df: evaluation.gain_curve(df, "p", "y", "id"),
+    lambda df: evaluation.gain_at(df, "p", "y", "id"),
+    lambda df: evaluation.contact_volume(df, "p"),
+    lambda df: evaluation.example_customers(df, "p", "id"),
+    lambda df: evaluation.gain_summary(df, "p", "y", "id")])
+def test_rows_without_a_score_stop_every_evaluation(spark, run):
+    df = spark.createDataFrame(UNSCORED, "id int, p double, y int")
+    with pytest.raises(Exception, match="no score"):
+        run(df).collect()
+    assert run(df.where("p IS NOT NULL AND NOT isnan(p)")).count() > 0
+    assert evaluation.unscored_rows(df, "p").first() == (5, 2)
+
+
+def test_gains_have_a_row_for_every_share(spark):
+    df = spark.createDataFrame([r for r in UNSCORED if r[0] in (1, 2, 5)],
+                               "id int, p double, y int")
+    rows = {r.share: (r.position, r.gain) for r in evaluation.gain_at(df, "p", "y", "id").collect()}
+    assert rows == {0.1: (0, 0.0), 0.2: (0, 0.0), 0.3: (0, 0.0), 0.5: (1, 0.5)}
+
+
+@pytest.mark.parametrize("rows_per_bucket", [50, 1_000_000])
+def test_gains_on_text_keys(spark, rows_per_bucket):
+    rows = [(f"C{i:04d}", [0.5, 0.5, 0.5, i / 900][i % 4], i % 3 == 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, p double, y boolean").withColumn(
+        "y", F.col("y").cast("int")).repartition(5)
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    total = sum(r[2] for r in rows)
+    want, found = [0.0], 0
+    for r in order:
+        found += r[2]
+        want.append(round(found / total, 6))
+    curve = evaluation.gain_curve(df, "p", "y", "k", rows_per_bucket).orderBy("position").collect()
+    assert [r.gain for r in curve] == pytest.approx(want, abs=2e-6)
+    at = {r.share: r.gain for r in evaluation.gain_at(
+        df, "p", "y", "k", rows_per_bucket=rows_per_bucket).collect()}
+    assert at == pytest.approx({q: want[int(q * 900)] for q in (0.1, 0.2, 0.3, 0.5)}, abs=2e-6)

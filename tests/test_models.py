@@ -34,23 +34,40 @@ def bundle(done):
     return serve.Bundle(model, 0.5, done.features).check()
 
 
-def test_stopping_round():
-    falling = [1 / (i + 1) for i in range(30)]
-    assert models.stopping_round(falling) is None
-    flat = falling[:5] + [0.2] * 20
-    assert models.stopping_round(flat) == 15
-    assert models.stopping_round([1.0] * 11) == 11
-    assert models.stopping_round([1.0] * 10) is None
-
-
-def test_early_boosting_matches_a_plain_fit_of_that_length(spark):
+def test_early_boosting_is_the_plain_fit_cut_short(spark):
+    """The stopped model predicts like a plain fit of the same rows and number of rounds."""
     rng = np.random.default_rng(0)
-    pdf = pd.DataFrame({"id": np.arange(400), "a": rng.normal(size=400), "b": rng.normal(size=400)})
-    pdf["y"] = ((pdf.a + rng.normal(size=400)) > 0).astype(int)
+    pdf = pd.DataFrame({"id": np.arange(600), "a": rng.normal(size=600), "b": rng.normal(size=600)})
+    pdf["y"] = ((pdf.a + rng.normal(size=600)) > 0).astype(int)
     df = spark.createDataFrame(pdf).repartition(1).cache()
-    settings = models.ModelSettings(boosting_rounds=12, boosting_depth=2, early_stopping=True)
-    model = models.fit_model(models.BOOSTING, df, ["a", "b"], "y", "id", settings)
-    assert 1 <= model.stages[-1].getNumTrees <= 12
+    settings = models.ModelSettings(boosting_rounds=60, boosting_depth=2, boosting_rate=0.3)
+    early = models.fit_model(models.BOOSTING, df, ["a", "b"], "y", "id", settings).stages[-1]
+    rounds = early.getNumTrees
+    assert 1 <= rounds < 60
+    rest = models.with_weights(df, "y", "id", settings).where("NOT holdout")
+    vectors = models.Assemble(inputCols=["a", "b"]).transform(rest).cache()
+    plain = models.boosting("y", models.ModelSettings(
+        boosting_rounds=rounds, boosting_depth=2, boosting_rate=0.3, early_stopping=False))
+    want = plain.fit(vectors).transform(vectors).select("id", models.probability().alias("q"))
+    got = early.transform(vectors).select("id", models.probability().alias("p"))
+    far = got.join(want, "id").selectExpr("max(abs(p - q))").first()[0]
+    assert far < 1e-9
+
+
+def test_fits_use_a_bounded_sample(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    some, rows = models.bounded_sample(df, "k", models.ModelSettings(max_fit_rows=1000))
+    assert rows == 1000 and 850 < some.count() < 1150
+    assert models.bounded_sample(df, "k", models.ModelSettings())[0].count() == 5000
+
+
+def test_the_majority_model_can_be_stored(spark, tmp_path):
+    from churnspark.plans.serve import Bundle, score_customers
+    df = spark.createDataFrame([(1, 0.5, 1), (2, 0.1, 1), (3, 0.2, 0)], "id int, a double, y int")
+    model = models.fit_model(models.DUMMY, df, ["a"], "y", "id")
+    Bundle(model, 0.5, ["a"]).save(spark, str(tmp_path))
+    scored = score_customers(df, Bundle.load(spark, str(tmp_path))).collect()
+    assert [r.churn_probability for r in scored] == [1.0, 1.0, 1.0]
 
 
 def test_comparison_covers_every_pair(done):

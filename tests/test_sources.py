@@ -72,6 +72,13 @@ def test_documents(spark, tmp_path):
     assert row.n == 4 and row.nested.top == 3
 
 
+def test_fingerprint_tells_cells_and_nulls_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("<null>", "x"), ("", "x")]
+    prints = {tables.table_fingerprint(spark.createDataFrame([r], "a string, b string")).first()
+              for r in rows}
+    assert len(prints) == len(rows)
+
+
 def test_fingerprint_ignores_order_but_not_content(spark, tmp_path):
     df = spark.range(50).withColumn("x", F.when(F.col("id") % 7 != 0, F.col("id") * 2))
     base = tables.table_fingerprint(df).collect()
