@@ -582,7 +582,7 @@ SELECT count(*) AS n, round(avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greates
     sql["churn_rate_by_region"] = (
         f"WITH {LAB} SELECT {region} AS region, count(*) AS n, round(avg(y), 6) AS churn_rate "
         "FROM lab WHERE service_area IS NOT NULL GROUP BY 1")
-    sql.update(round_trips.oracle_queries(SNAP, SPLIT, SCORE, sql["metrics_long"]))
+    sql.update(round_trips.oracle_queries(SNAP, SPLIT, SCORE, NAMED, sql["metrics_long"]))
     return {k: sql[k] for k in Q.QUERIES if k in sql}
 
 

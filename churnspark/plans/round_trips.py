@@ -11,6 +11,7 @@ from churnspark.operators import evaluation, expectations, models, profiling
 from churnspark.plans import catalog
 from churnspark.plans import workspace as W
 from churnspark.plans.prepare import LABEL
+from churnspark.plans.segment import SegmentBundle, run_segmentation
 from churnspark.plans.serve import Bundle, score_customers
 from churnspark.sources import sinks, tables
 
@@ -157,6 +158,17 @@ def majority_bundle(spark, sf):
     return scored.select(ID, "churn_probability", "churn_prediction")
 
 
+@catalog.query
+def segment_job(spark, sf):
+    """Segments from the stored bundle of a job with fixed centres, for all customers."""
+    df = W.snapshot(spark, sf)
+    path = _once(spark, sf, "segment_job", lambda p: run_segmentation(
+        df, W.ROLES, p, ks=(), centres=W.CENTRES))
+    named = SegmentBundle.load(spark, f"{path}/bundle").assign(df)
+    stored = spark.read.parquet(f"{path}/segments").withColumnRenamed("ClusterName", "stored_name")
+    return named.join(stored, [ID, "Cluster"]).select(ID, "Cluster", "ClusterName", "stored_name")
+
+
 def _label():
     return catalog._label()
 
@@ -215,7 +227,7 @@ _WEIGHTED = """w AS (SELECT CASE WHEN handset_web_capable = 'Yes' THEN 1.0::DOUB
     / (SELECT count(*) FROM train WHERE y = 1) ELSE 1.0 END AS boost FROM train)"""
 
 
-def oracle_queries(SNAP: str, SPLIT: str, SCORE: str, metrics: str) -> dict[str, str]:
+def oracle_queries(SNAP: str, SPLIT: str, SCORE: str, NAMED: str, metrics: str) -> dict[str, str]:
     """Twins; the arguments are table expressions shared with the other twins."""
     sample = ", ".join(SAMPLE)
     share = (f"WITH {SPLIT}, {_WEIGHTED} SELECT x, count(*) AS n, "
@@ -245,6 +257,8 @@ FROM (VALUES ('absent_one'), ('absent_two')) v(column_name)""",
         "feature_order": f"WITH {SNAP} SELECT count(*) AS n_rows FROM snap",
         "majority_bundle": f"""WITH {SPLIT}, m AS (SELECT CASE WHEN 2 * sum(y) > count(*) THEN 1 ELSE 0 END AS one FROM train)
 SELECT {ID}, CAST(one AS DOUBLE) AS churn_probability, one AS churn_prediction FROM spl, m""",
+        "segment_job": f"""WITH {NAMED} SELECT {ID}, "Cluster", "ClusterName", "ClusterName" AS stored_name
+FROM seg LEFT JOIN names USING ("Cluster")""",
         "unscored_rows": f"""WITH {SNAP} SELECT count(*) AS n_rows,
   count(*) FILTER (WHERE perc_change_revenues IS NULL) AS n_unscored FROM snap""",
         "gain_curve_text_key": f"""WITH {SCORE}, r AS (SELECT {ID}, y, round(p, 1) AS p FROM sc),
