@@ -25,24 +25,46 @@ def _small_star(edges: DataFrame) -> DataFrame:
             .union(low.select("u", F.col("m").alias("v"))))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and no larger end is a smaller one elsewhere."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
+        "up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for every node of ``edges(u, v)``; the root is the smallest node reachable.
 
     Loops and repeated edges are ignored, null ends are refused by the inner joins. Each round
-    is written to the shared folder; the loop ends when no edge changes, after about log(n)
+    is written to the shared folder; the loop ends when only stars are left, after about log(n)
     rounds. A hub's edges are only joined with its minimum, which AQE may split.
     """
     clean = edges.select("u", "v").where("u <> v")
     now = stored(clean.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                  .distinct(), name)
-    before = None
-    while True:
-        state = now.agg(F.count("*").alias("n"),
-                        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (state["n"], state["h"]) == before:
-            break
-        before = (state["n"], state["h"])
-        stars = _large_star(now)
-        now = stored(_small_star(stars).where("u <> v").distinct(), name)
+    while not _stars(now):
+        now = stored(_small_star(_large_star(now)).where("u <> v").distinct(), name)
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
+
+
+def merged(roots: DataFrame | None, links: DataFrame, name: str = "roots") -> DataFrame:
+    """(node, root) after ``links(u, v)`` join the components of ``roots``.
+
+    Only links between different components are followed, each component being one node; so a few
+    links cost a few rounds over a few rows. Roots are names here, not always the smallest node.
+    """
+    if roots is None:
+        return stored(components(stored(links, name)), name)
+    ends = stored(
+        links.join(roots.toDF("u", "root_u"), "u", "left")
+        .join(roots.toDF("v", "root_v"), "v", "left")
+        .select(F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v"))
+        .where("u <> v"), name)
+    if ends.isEmpty():
+        return roots
+    above = stored(components(ends), name)
+    known = (roots.join(above.toDF("root", "top"), "root", "left")
+             .select("node", F.coalesce("top", "root").alias("root")))
+    return stored(known.union(above.join(roots.select("node"), "node", "left_anti")), name)

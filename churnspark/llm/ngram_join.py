@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import stored, texts_of
-from churnspark.llm.components import components
+from churnspark.llm.components import components, merged
 from churnspark.llm.shingles import shingle_sets
 
 GROUPS = 64
@@ -25,6 +25,8 @@ LEAF = 32
 #: Shards of more members are first joined through their smallest member (see ``join``).
 STAR_ABOVE = 64
 TILE = 1024
+#: Partners of a set that are looked at in each search of large shards; last, all.
+BEST_FIRST = (4, 32, None)
 SEEN = 200_000
 #: Shingles of lowest hash that a set of n puts into shards, and how many of them two linked
 #: sets share at least, whatever the other's size. Similarity 0.8: a link leaves out n / 5 of
@@ -178,15 +180,29 @@ def leaf_pairs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left or empty), np.concatenate(right or empty)
 
 
-def _tree_pairs(members: DataFrame, tiled: bool) -> DataFrame:
+def _tree_pairs(members: DataFrame, best: int | None = None, tiled: bool = False) -> DataFrame:
     """Pairs (a < b) within each shard, or each tile of one, that the tree lets through.
 
     ``tiled``: members have tile, block and root; pairs of one root, and pairs of one block in a
-    tile of two, are left out.
+    tile of two, are left out. ``best``: only those that are among so many pairs of highest bound
+    for one of their ends.
     """
     keys = ["h", "tile"] if tiled else ["h"]
     extra = ["block", "root"] if tiled else []
 
+    def nearest(i, j, sizes, counts):
+        if best is None or not len(i):
+            return i, j
+        bound = np.concatenate([np.minimum(counts[i[k:k + 65_536]], counts[j[k:k + 65_536]])
+                                .sum(axis=1, dtype=np.int64) for k in range(0, len(i), 65_536)])
+        score = bound / (sizes[i] + sizes[j])
+        ends, pair = np.concatenate((i, j)), np.tile(np.arange(len(i)), 2)
+        by = np.lexsort((pair, -score[pair], ends))
+        first = np.concatenate(([True], np.diff(ends[by]) != 0))
+        begin = np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))
+        keep = np.unique(pair[by[np.arange(len(by)) - begin < best]])
+        return i[keep], j[keep]
+
     def shards(batches):
         """Tables of whole shards, and where each shard in them begins and ends."""
         rest = None
@@ -234,6 +250,7 @@ def _tree_pairs(members: DataFrame, tiled: bool) -> DataFrame:
                 found += [wanted(a + x, a + y) for x, y in
                           CountTree(sizes[a:b], counts[a:b]).pairs()]
             i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+            i, j = nearest(i, j, sizes, counts)
             if len(i):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))],
@@ -273,39 +290,64 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .where("9L * size(array_intersect(sa, sb)) >= 4L * (na + nb)").select("a", "b"))
 
 
-def _spanning(pairs: DataFrame, links: DataFrame | None, sets: DataFrame) -> DataFrame:
-    """Verified links that connect whatever the pairs and earlier links connect.
+def _spanning(pairs: DataFrame, roots: DataFrame | None, sets: DataFrame) -> DataFrame:
+    """(node, root) of the components that the links among the pairs add to earlier ones.
+
+    First one pair of each set is verified, with its smallest partner; then every other pair whose
+    ends are not connected by then. Pairs inside a component need no check, so a group of near
+    copies costs as many checks as it has members.
+    """
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    known = merged(roots, _verified(first, sets).toDF("u", "v"))
+    open_pairs = (pairs.join(known.toDF("a", "root_a"), "a", "left")
+                  .join(known.toDF("b", "root_b"), "b", "left")
+                  .where("root_a IS NULL OR root_b IS NULL OR root_a <> root_b")
+                  .select("a", "b").join(first, ["a", "b"], "left_anti"))
+    return merged(known, _verified(open_pairs, sets).toDF("u", "v"))
+
+
+def _open_tiles(large: DataFrame, roots: DataFrame, points: DataFrame) -> DataFrame | None:
+    """Members of large shards that hold several components, dealt to tiles; null if none does.
 
-    First one pair for each set, with its smallest partner; then every other pair whose ends are
-    not connected by then. Pairs inside a component need no check, so a group of near copies
-    costs as many checks as it has members.
+    Shards that share a component are put together under one number ``h``, so a pair meets once
+    however many shards it shares. Tiles are pairs of blocks of about ``TILE`` members.
     """
-    first = _verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets)
-    found = stored(first if links is None else first.union(links), "links")
-    roots = stored(components(found.toDF("u", "v")), "roots")
-    ends = (pairs.join(roots.toDF("a", "root_a"), "a", "left")
-            .join(roots.toDF("b", "root_b"), "b", "left")
-            .where("root_a IS NULL OR root_b IS NULL OR root_a <> root_b").select("a", "b"))
-    checked = pairs.groupBy("b").agg(F.min("a").alias("a"))
-    return stored(found.union(_verified(ends.join(checked, ["a", "b"], "left_anti"), sets)),
-                  "links")
+    rooted = stored(large.select("h", "id", "n").join(roots.toDF("id", "root"), "id", "left")
+                    .withColumn("root", F.coalesce("root", "id")), "rooted")
+    mixed = (rooted.groupBy("h").agg(F.min("root").alias("u"), F.max("root").alias("high"))
+             .where("u <> high").select("h", "u"))
+    edges = stored(rooted.join(mixed, "h").select("u", F.col("root").alias("v")).distinct(),
+                   "mixed")
+    if edges.isEmpty():
+        return None
+    joined = components(edges, "mixed").toDF("root", "shard")
+    members = (rooted.select("id", "n", "root").distinct().join(joined, "root")
+               .withColumnRenamed("shard", "h"))
+    blocks = F.ceil(F.col("m") / TILE).cast("int")
+    return (members.join(members.groupBy("h").agg(F.count("*").alias("m")), "h")
+            .withColumn("block", F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .withColumn("tile", F.least("block", "other").cast("long") * 65536
+                        + F.greatest("block", "other"))
+            .join(points.select("id", "counts"), "id"))
 
 
 @dataclass
 class SetJoin:
-    """members: doc_id, id, n; links: a, b between sets, which connect all that is linked."""
+    """members: doc_id, id, n; roots: node, root of every set that some other set is linked to."""
 
     members: DataFrame
-    links: DataFrame
+    roots: DataFrame
 
 
 def join(docs: DataFrame) -> SetJoin:
-    """Sets of 5-word shingles linked where the Jaccard similarity is 0.8 or more.
+    """Sets of 5-word shingles connected by links of Jaccard similarity 0.8 or more.
 
     Equal sets are one member ``id`` (a 64-bit hash of the set). Small shards give all pairs that
     their tree lets through; large ones first give the pairs with their smallest member. After
-    these are verified, a large shard that holds sets of several components is searched by its
-    tree, in tiles, for pairs across components. Null texts, texts without words and empty tables
+    these are verified, large shards that hold sets of several components are searched by trees,
+    in tiles, for pairs across components: first for each set's few likeliest partners, last for
+    all that the bound lets through. Null texts, texts without words and empty tables
     have no links; null doc_ids and repeated rows are members like others. Other columns are
     ignored. No step holds a whole shard of unbounded size, and no pair list grows with the
     square of a group of near copies.
@@ -318,25 +360,21 @@ def join(docs: DataFrame) -> SetJoin:
                                                F.min("text_hash").alias("text_hash")), "wanted")
     sets = stored(_sets(docs, one_each.select("id", "text_hash")), "sets")
     members = shards.join(one_each.select("id", "counts"), "id")
-    small = _tree_pairs(members.where(F.col("k") <= STAR_ABOVE), tiled=False)
+    small = _tree_pairs(members.where(F.col("k") <= STAR_ABOVE))
     large = shards.where(F.col("k") > STAR_ABOVE)
     stars = (large.join(large.groupBy("h").agg(F.min("id").alias("a")), "h")
              .where("a < id").select("a", F.col("id").alias("b")).distinct())
-    pairs = stored(small.union(stars).distinct(), "pairs")
-    links = _spanning(pairs, None, sets)
-    roots = stored(components(links.toDF("u", "v")), "roots")
-    rooted = (large.join(roots.toDF("id", "root"), "id", "left")
-              .withColumn("root", F.coalesce("root", "id")))
-    mixed = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    blocks = F.ceil(F.col("k") / TILE).cast("int")
-    split = (rooted.join(mixed.where("low <> high").select("h"), "h")
-             .withColumn("block", F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .withColumn("tile", F.least("block", "other") * 65536
-                         + F.greatest("block", "other")))
-    across = _tree_pairs(split.join(one_each.select("id", "counts"), "id"), tiled=True)
-    more = stored(across.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    return SetJoin(points.select("doc_id", "id", "n"), _spanning(more, links, sets))
+    checked = stored(small.union(stars).distinct(), "pairs")
+    roots = _spanning(checked, None, sets)
+    for best in BEST_FIRST:
+        tiles = _open_tiles(large, roots, one_each)
+        if tiles is None:
+            break
+        more = stored(_tree_pairs(tiles, best, tiled=True)
+                      .join(checked, ["a", "b"], "left_anti"), "pairs")
+        roots = _spanning(more, roots, sets)
+        checked = checked.union(more)
+    return SetJoin(points.select("doc_id", "id", "n"), roots)
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -346,8 +384,7 @@ def groups(docs: DataFrame) -> DataFrame:
     doc_ids are all null has a null component_id.
     """
     found = join(docs)
-    roots = components(found.links.toDF("u", "v"))
-    rooted = (found.members.join(roots.toDF("id", "root"), "id", "left")
+    rooted = (found.members.join(found.roots.toDF("id", "root"), "id", "left")
               .withColumn("root", F.coalesce("root", "id")))
     low = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("low"))
     return rooted.join(low, "root", "left").select(

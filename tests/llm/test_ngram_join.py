@@ -58,6 +58,7 @@ def variants(seed, groups, copies, words=60):
 def test_groups_equal_all_pairs(spark, odd_docs, monkeypatch, star, tile):
     monkeypatch.setattr(ngram_join, "STAR_ABOVE", star)
     monkeypatch.setattr(ngram_join, "TILE", tile)
+    monkeypatch.setattr(ngram_join, "BEST_FIRST", (1, 2, None))
     texts = variants(1, 12, 12) + variants(2, 3, 30, 25) + ["A b", "a  B", "a b c d E", "one"]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, texts[5]), (900, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit("x"))
