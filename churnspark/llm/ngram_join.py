@@ -23,8 +23,8 @@ from churnspark.llm.shingles import shingle_sets
 GROUPS = 64
 LEAF = 32
 #: Shards of more members are first joined through their smallest member (see ``join``).
-STAR_ABOVE = 64
-TILE = 1024
+STAR_ABOVE = 16
+TILE = 2048
 #: Partners of a set that are looked at in each search of large shards; last, all.
 BEST_FIRST = (4, 32, None)
 SEEN = 200_000
@@ -316,8 +316,8 @@ def _open_tiles(large: DataFrame, roots: DataFrame, points: DataFrame) -> DataFr
                     .withColumn("root", F.coalesce("root", "id")), "rooted")
     mixed = (rooted.groupBy("h").agg(F.min("root").alias("u"), F.max("root").alias("high"))
              .where("u <> high").select("h", "u"))
-    edges = stored(rooted.join(mixed, "h").select("u", F.col("root").alias("v")).distinct(),
-                   "mixed")
+    edges = stored(rooted.select("h", "root").distinct().join(mixed, "h")
+                   .select("u", F.col("root").alias("v")).distinct(), "mixed")
     if edges.isEmpty():
         return None
     joined = components(edges, "mixed").toDF("root", "shard")
