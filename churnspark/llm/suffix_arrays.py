@@ -65,23 +65,22 @@ def anchors(texts: list[bytes], width: int):
         yield text_of[new] + first, a - base, b - base, p - base, grams[p], whole
 
 
-def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts in the order of their first ``depth`` bytes or more, by Larsson-Sadakane refinement.
 
     Ranks of single bytes are doubled in reach round by round; each round sorts only the starts
-    whose rank is still shared, by the rank of the bytes that follow. Also returns the ranks of
-    each round, at reach 1, 2, 4 and so on. Past the end of the data comes a lowest rank.
+    whose rank is still shared, by the rank of the bytes that follow. Also returns the ranks: one
+    more than the number of lower starts. Past the end of the data comes a lowest rank.
     """
     n = len(data)
     rank = data.astype(np.int64) + 1
     order = np.argsort(rank, kind="stable")
     rank = np.searchsorted(rank[order], rank).astype(np.int64) + 1
-    rounds, reach = [rank.copy()], 1
-    shared = order
+    shared, reach = order, 1
     while reach < depth and len(shared):
         after = np.zeros(len(shared), dtype=np.int64)
         inside = shared + reach < n
-        after[inside] = rounds[-1][shared[inside] + reach]
+        after[inside] = rank[shared[inside] + reach]
         key = rank[shared] * (n + 2) + after
         by = np.argsort(key, kind="stable")
         shared, key = shared[by], key[by]
@@ -92,13 +91,11 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndar
         first_of_group = np.concatenate(([True], group[1:] != group[:-1]))
         group_start = np.maximum.accumulate(np.where(first_of_group, np.arange(len(shared)), 0))
         new_start = np.maximum.accumulate(np.where(new, np.arange(len(shared)), 0))
-        rank = rank.copy()
         rank[shared] = group + (new_start - group_start)
         sizes = np.diff(np.concatenate((at, [len(shared)])))
         shared = shared[np.repeat(sizes > 1, sizes)]
         reach *= 2
-        rounds.append(rank)
-    return np.argsort(rank, kind="stable"), rounds
+    return np.argsort(rank, kind="stable"), rank
 
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, rank: np.ndarray, begins: np.ndarray,
@@ -136,8 +133,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, rank: np.ndarray, begin
 
 def classes(data: np.ndarray, begins: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
     """For every start a number that it shares with the starts of the same ``width`` bytes."""
-    order, rounds = suffix_array(data, width)
-    rank = rounds[-1]
+    order, rank = suffix_array(data, width)
     shared = common_prefixes(data, order, rank, begins, lengths, width)
     first = np.flatnonzero(np.concatenate(([True], np.diff(rank[order]) > 0)))
     new = np.zeros(len(order), dtype=np.int64)

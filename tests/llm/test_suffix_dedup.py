@@ -82,13 +82,13 @@ def test_suffix_array_and_common_prefixes(seed):
     data = rng.integers(0, 2 + seed, 700).astype(np.uint8)
     data[300:500] = data[:200]
     raw, width = data.tobytes(), 40
-    order, rounds = suffix_arrays.suffix_array(data, width)
+    order, rank = suffix_arrays.suffix_array(data, width)
     cut = [raw[i:i + width] for i in order]
     assert cut == sorted(cut)
     begins, lengths = np.array([0, 100, 350]), np.array([100, 250, 350])
-    shared = suffix_arrays.common_prefixes(data, order, rounds[-1], begins, lengths, width)
+    shared = suffix_arrays.common_prefixes(data, order, rank, begins, lengths, width)
     for i in range(len(data)):
-        lower = rounds[-1][i] - 2
+        lower = rank[i] - 2
         if lower >= 0:
             a, b, k = raw[i:], raw[order[lower]:], 0
             while k < min(len(a), len(b), width) and a[k] == b[k]:
