@@ -21,8 +21,8 @@ from churnspark.llm.suffix_arrays import anchors, classes
 
 WIDTH = 200
 BLOCK_BYTES = 1 << 20
-#: Runs around one anchor that a single shard takes.
-SHARD_RUNS = 512
+#: Runs around one anchor that a single shard takes: about a block of bytes.
+SHARD_RUNS = 4096
 SEEN = 200_000
 RUN = "h long, c long, key long, lo int, hi int, place int, weight int"
 
