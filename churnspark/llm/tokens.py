@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -19,6 +20,21 @@ ODD_SPACE = re.compile("[" + "".join(map(chr, (
 #: nor the merges of the vocabularies used here cross the start of such a run.
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 SEPARATOR = "<|endoftext|>"
+MARKS = frozenset(",.")
+LATIN = "A-Za-z" + "".join(f"{chr(a)}-{chr(b)}" for a, b in (
+    (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x12F), (0x132, 0x24F)))
+#: One pre-token: Latin letters, which normal forms leave alone, after a space at most.
+PLAIN = re.compile(f" ?[{LATIN}]+")
+LATIN_LETTER = re.compile(f"[{LATIN}]")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself where it is printable,
+    else the next letter after the first 256."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    table = {b: chr(b) for b in printable}
+    table.update((b, chr(256 + i)) for i, b in enumerate(sorted(set(range(256)) - table.keys())))
+    return table
 LONG_PIECE = 64
 GROUP_CHARS = 1 << 20
 
@@ -30,12 +46,13 @@ class PieceEncoder:
     is emptied when it holds ``limit`` pieces; results never depend on what it holds.
     """
 
-    def __init__(self, path: str, drop_spaces: bool = False, limit: int = 300_000):
+    def __init__(self, path: str, drop_spaces: bool = False, limit: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self.drop_spaces, self.limit = drop_spaces, limit
         self.known: dict[str, bytes] = {}
 
@@ -47,12 +64,18 @@ class PieceEncoder:
     def encode_pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
         """Ids of each piece as little-endian unsigned 32-bit numbers.
 
-        Pieces are sent many at a time with the special token between them, at which the library
+        A single pre-token goes straight to the library's model, in the letters that it writes for
+        bytes. Other pieces are sent many at a time with the special token between them, at which the library
         cuts a text before anything else; pieces that hold special strings go alone.
         """
         out, plain = {}, []
+        tokenize, letters = self.model.tokenize, self.letters
         for piece in pieces:
-            if "<|" in piece or len(piece) > 4096 or self.separator is None:
+            if PLAIN.fullmatch(piece) and len(piece) <= LONG_PIECE:
+                text = piece.lower() if self.drop_spaces else piece
+                ids = [t.id for t in tokenize(text.encode().decode("latin-1").translate(letters))]
+                out[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            elif "<|" in piece or len(piece) > 4096 or self.separator is None:
                 ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
                 out[piece] = np.asarray(ids, dtype="<u4").tobytes()
             else:
@@ -80,15 +103,24 @@ class PieceEncoder:
         yield from self._joined(group)
 
     def _joined(self, group: list[list[str]]) -> Iterator[bytes]:
-        needed = set(chain.from_iterable(group))
-        fresh = needed - self.known.keys()
+        get = self.known.get
+        found = [list(map(get, pieces)) for pieces in group]
+        gaps = [[i for i, ids in enumerate(row) if ids is None] if None in row else ()
+                for row in found]
+        fresh = {pieces[i] for pieces, gap in zip(group, gaps, strict=True) for i in gap}
         if len(self.known) + len(fresh) > self.limit:
             self.known.clear()
-            fresh = needed
-        self.known.update(self.encode_pieces(fresh))
-        for pieces in group:
-            yield b"".join(map(self.known.__getitem__, pieces))
-        for piece in fresh:
+        # A comma or full stop after a letter is always cut off by the library's split.
+        ending = {p for p in fresh if p[-1:] in MARKS and LATIN_LETTER.match(p[-2:-1])}
+        whole = (fresh - ending | {p[:-1] for p in ending} | MARKS) - self.known.keys()
+        self.known.update(self.encode_pieces(whole))
+        for piece in ending:
+            self.known[piece] = self.known[piece[:-1]] + self.known[piece[-1]]
+        for pieces, row, gap in zip(group, found, gaps, strict=True):
+            for i in gap:
+                row[i] = self.known[pieces[i]]
+            yield b"".join(row)
+        for piece in fresh | whole:
             if len(piece) > LONG_PIECE:
                 del self.known[piece]
 
