@@ -97,6 +97,26 @@ def _document_parts(texts: DataFrame, tokenizer_path: str, head) -> DataFrame:
             .mapInArrow(run, "doc_id long, hash long, n_bytes long, piece string, n long"))
 
 
+def _head(pieces: DataFrame, most: int) -> dict[str, int]:
+    """Tokens of the most frequent short pre-tokens: as many whole bands of frequency as fit.
+
+    Bands are sixteenths of a doubling, so there are about a thousand; their counts, not the
+    pre-tokens, decide what is fetched.
+    """
+    short = pieces.where(F.length("piece") <= 64).withColumn(
+        "band", F.floor(16 * F.log2("freq")).cast("int"))
+    least, total = None, 0
+    for row in sorted(short.groupBy("band").count().collect(), reverse=True):
+        total += row["count"]
+        if total > most:
+            break
+        least = row["band"]
+    if least is None:
+        return {}
+    return {r.piece: r.tokens for r in short.where(F.col("band") >= least)
+            .select("piece", "tokens").collect()}
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024,
                  head_size: int = HEAD) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every whole text, without keeping ids.
@@ -111,9 +131,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024,
     spark = docs.sparkSession
     texts = texts_of(docs)
     pieces = stored(_counted(_pre_tokens(texts, tokenizer_path), tokenizer_path), "pre-tokens")
-    frequent = (pieces.where(F.length("piece") <= 64).orderBy(F.desc("freq"), "piece")
-                .limit(head_size).select("piece", "tokens"))
-    head = spark.sparkContext.broadcast({r.piece: r.tokens for r in frequent.collect()})
+    head = spark.sparkContext.broadcast(_head(pieces, head_size))
     parts = stored(_document_parts(texts, tokenizer_path, head), "document-pre-tokens")
     rest = (parts.where("piece IS NOT NULL").join(pieces.select("piece", "tokens"), "piece")
             .groupBy("doc_id", "hash").agg(F.sum(F.col("n") * F.col("tokens")).alias("n")))
