@@ -169,17 +169,18 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     chars = F.filter(F.split("line", ""), lambda c: c != "")
     texts = stored(lines.select("id", "line").join(wanted, "id", "left_semi")
                    .groupBy("id", "line").agg(F.count("*").alias("copies"))
-                   .select("id", "line", signature(chars).alias("bits")), "line-texts")
+                   .select("id", chars.alias("chars"), signature(chars).alias("bits")),
+                   "line-texts")
     known = met.join(texts.select("id", "bits"), "id")
     held = known.where("NOT probe").select("k", F.col("id").alias("u"), F.col("bits").alias("bu"))
     asked = known.where("probe").select("k", F.col("id").alias("v"), F.col("bits").alias("bv"))
     close = F.bit_count(F.col("bu").bitwiseXOR(F.col("bv"))) <= 4 * edits
     pairs = (held.join(asked, (held.k == asked.k) & (held.u != asked.v) & close)
              .select("u", "v").distinct())
-    both = (pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("lu")), "u")
-            .join(texts.select(F.col("id").alias("v"), F.col("line").alias("lv")), "v")
-            .select("u", "v", F.filter(F.split("lv", ""), lambda c: c != "").alias("longer"),
-                    F.filter(F.split("lu", ""), lambda c: c != "").alias("shorter")))
+    # The characters come from the stored table: an expression for them would be evaluated again
+    # in every step of the distance once the filter below is pushed under it.
+    both = (pairs.join(texts.select(F.col("id").alias("u"), F.col("chars").alias("shorter")), "u")
+            .join(texts.select(F.col("id").alias("v"), F.col("chars").alias("longer")), "v"))
     # Probes come from the line that is not the shorter one.
     return (both.withColumn("distance", edit_distance(F.col("longer"), F.col("shorter"), edits))
             .where(F.col("distance") <= edits).select("u", "v"))
