@@ -23,6 +23,9 @@ MIN_SHARED = 2
 #: One pivot for so many distinct vectors, between the two bounds below.
 PER_PIVOT = 64
 PIVOTS = (64, 4096)
+#: A pivot this close to an earlier one is dropped, so that a dense group does not hold many that
+#: are all about equally near and are named by noise.
+APART = 0.8
 TILE = 1024
 
 
@@ -45,18 +48,31 @@ def matrix(arrays: pa.Array, width: int | None = None) -> np.ndarray:
     return out / np.where(norms > 0, norms, 1.0)
 
 
-def _described(nodes: DataFrame, n: int) -> DataFrame:
-    """Adds ``near``, the ids of the nearest pivots in order of distance.
+def apart(units: np.ndarray) -> np.ndarray:
+    """Places of the rows whose cosine with every earlier row that stays is below ``APART``."""
+    free = np.ones(len(units), dtype=bool)
+    kept = []
+    for i in range(len(units)):
+        if free[i]:
+            kept.append(i)
+            free &= units @ units[i] < APART
+    return np.asarray(kept, dtype=np.int64)
 
-    The pivots are the distinct vectors of lowest hash, 4,096 at most: a bounded sample that does
-    not depend on the order of rows. Every vector is described.
+
+def _described(nodes: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """Adds ``near``, the ids of the nearest pivots in order of distance; and the pivot count.
+
+    The pivots are the distinct vectors of lowest hash, 4,096 at most, without those close to an
+    earlier one: a bounded sample that does not depend on the order of rows. Every vector is
+    described.
     """
     spark = nodes.sparkSession
     count = min(PIVOTS[1], max(PIVOTS[0], n // PER_PIVOT))
     chosen = [r.vector for r in nodes.orderBy("node").limit(count).select("vector").collect()]
     width = max(map(len, chosen))
-    pivots = spark.sparkContext.broadcast(
-        matrix(pa.array(chosen, pa.list_(pa.float64())), width).astype(np.float32))
+    units = matrix(pa.array(chosen, pa.list_(pa.float64())), width)
+    units = units[apart(units)].astype(np.float32)
+    pivots = spark.sparkContext.broadcast(units)
 
     def run(batches):
         for batch in batches:
@@ -70,7 +86,7 @@ def _described(nodes: DataFrame, n: int) -> DataFrame:
                     [*some.schema.names, "near"])
 
     schema = ", ".join(f"{c} {t}" for c, t in nodes.dtypes)
-    return nodes.mapInArrow(run, f"{schema}, near array<int>")
+    return nodes.mapInArrow(run, f"{schema}, near array<int>"), len(units)
 
 
 def roots_of(linked: np.ndarray) -> np.ndarray:
@@ -88,28 +104,33 @@ def roots_of(linked: np.ndarray) -> np.ndarray:
     return root
 
 
-def _tile_links(table: pa.Table, pivot: int) -> Iterator[pa.RecordBatch]:
+def _tile_links(table: pa.Table, pivot: int, shared: int) -> Iterator[pa.RecordBatch]:
     """(node, weight, other) of one tile: linked vectors by weight, and one connected node.
 
     A pair belongs to the list of the smallest pivot it shares, and there to one tile, so it is
-    counted once in all.
+    counted once in all. Pivots are compared only among vectors that are near some other.
     """
-    nodes, block = table.column("node").to_numpy(), table.column("block").to_numpy()
-    weights = table.column("copies").to_numpy()
-    near = [np.asarray(a.values) for a in table.column("near")]
+    block = table.column("block").to_numpy()
+    units = matrix(table.column("vector"))
+    cosine = units @ units.T
+    if block.min() != block.max():
+        cosine[block[:, None] == block[None, :]] = -2
+    np.fill_diagonal(cosine, -2)
+    for i, j in np.argwhere(np.abs(cosine - MIN_COSINE) < 1e-12):
+        cosine[i, j] = float((units[i] * units[j]).sum())
+    linked = cosine >= MIN_COSINE
+    some = np.flatnonzero(linked.any(axis=1))
+    if not len(some):
+        return
+    nodes, weights = table.column("node").to_numpy()[some], table.column("copies").to_numpy()[some]
+    near = [np.asarray(a.values) for a in table.column("near").take(pa.array(some))]
     names, flat = np.unique(np.concatenate(near), return_inverse=True)
     has = np.zeros((len(nodes), len(names)), dtype=np.float32)
     has[np.repeat(np.arange(len(nodes)), [len(a) for a in near]), flat.ravel()] = 1
+    often = has.sum(axis=0) > 1
+    has, names = has[:, often], names[often]
     before = has[:, names < pivot]
-    allowed = (has @ has.T >= MIN_SHARED) & (before @ before.T == 0)
-    if block.min() != block.max():
-        allowed &= block[:, None] != block[None, :]
-    np.fill_diagonal(allowed, False)
-    units = matrix(table.column("vector"))
-    cosine = units @ units.T
-    for i, j in np.argwhere(allowed & (np.abs(cosine - MIN_COSINE) < 1e-12)):
-        cosine[i, j] = float((units[i] * units[j]).sum())
-    linked = allowed & (cosine >= MIN_COSINE)
+    linked = (linked[np.ix_(some, some)] & (has @ has.T >= shared) & (before @ before.T == 0))
     some = np.flatnonzero(linked.any(axis=1))
     if len(some):
         yield pa.RecordBatch.from_arrays(
@@ -117,7 +138,7 @@ def _tile_links(table: pa.Table, pivot: int) -> Iterator[pa.RecordBatch]:
              pa.array(nodes[roots_of(linked)[some]])], ["node", "weight", "other"])
 
 
-def _links(described: DataFrame) -> DataFrame:
+def _links(described: DataFrame, shared: int) -> DataFrame:
     """(node, weight, other) rows of all tiles of all inverted lists."""
     postings = described.withColumn("pivot", F.explode("near"))
     sizes = postings.groupBy("label", "width", "pivot").agg(F.count("*").alias("members"))
@@ -137,10 +158,10 @@ def _links(described: DataFrame) -> DataFrame:
             cuts = [0, *(np.flatnonzero((pivot[1:] != pivot[:-1]) | (tile[1:] != tile[:-1]))
                          + 1).tolist()]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                yield from _tile_links(rest.slice(a, b - a), int(pivot[a]))
+                yield from _tile_links(rest.slice(a, b - a), int(pivot[a]), shared)
             rest = rest.slice(cuts[-1]).combine_chunks()
         if rest is not None and rest.num_rows:
-            yield from _tile_links(rest, int(rest.column("pivot")[0].as_py()))
+            yield from _tile_links(rest, int(rest.column("pivot")[0].as_py()), shared)
 
     return (tiles.select("pivot", "tile", "node", "vector", "copies", "near", "block")
             .repartition("pivot", "tile").sortWithinPartitions("pivot", "tile")
@@ -151,11 +172,12 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id, kept of ``vectors(vec_id, embedding, label)``.
 
     Vectors of one label (not null) and one length are linked when their cosine in double
-    precision is 0.93 or more and they share two of their eight nearest pivots. Equal vectors are
-    one node with a weight, so copies cost nothing, and count as linked. Vectors that are null,
-    empty, zero, or hold nulls or numbers that are not finite have no links. Repeated rows and
-    repeated or null vec_ids are vectors of their own; component_id is the smallest vec_id
-    reached, null when all are null. Other columns are ignored.
+    precision is 0.93 or more and they share two of their eight nearest pivots (the only one if
+    all vectors lie about a single pivot). Equal vectors are one node with a weight, so copies
+    cost nothing, and count as linked. Vectors that are null, empty, zero, or hold nulls or
+    numbers that are not finite have no links. Repeated rows and repeated or null vec_ids are
+    vectors of their own; component_id is the smallest vec_id reached, null when all are null.
+    Other columns are ignored.
     """
     rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>")
                           .alias("vector")).withColumn("usable", F.expr(_usable()))
@@ -168,8 +190,8 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     if n == 0:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"),
                            F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    described = _described(nodes.drop("low"), n)
-    links = stored(_links(described), "vector-links")
+    described, pivots = _described(nodes.drop("low"), n)
+    links = stored(_links(described, min(MIN_SHARED, pivots)), "vector-links")
     weights = links.groupBy("node").agg(F.sum("weight").alias("weight"))
     roots = components(links.select(F.col("node").alias("u"), F.col("other").alias("v")))
     known = (nodes.select("node", "copies", "low").join(weights, "node", "left")

@@ -91,3 +91,37 @@ def test_embeddings(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [tuple(r) for r in table.select("vec_id", "embedding", "label").collect()]
     assert tuples(embedding_dedup.near_duplicates(table)) == plain(rows)[0]
+
+
+def copies_of_one(rng, n, width=64, near=0.97):
+    """Vectors at one cosine from a common centre, so at about its square from each other."""
+    centre = rng.normal(size=width)
+    centre /= np.linalg.norm(centre)
+    noise = rng.normal(size=(n, width))
+    noise -= np.outer(noise @ centre, centre)
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    return (near * centre + np.sqrt(1 - near * near) * noise).astype(np.float32)
+
+
+def test_recall_in_a_dense_group(spark):
+    """A third of the rows are near copies of one vector; registered parameters."""
+    rng = np.random.default_rng(11)
+    vectors = np.concatenate([copies_of_one(rng, 4000),
+                              rng.normal(size=(8000, 64)).astype(np.float32)])
+    rows = [(i, v.tolist(), 1, None, None) for i, v in enumerate(vectors)]
+    x = vectors.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.array([(x @ v >= 0.93).sum() - 1 for v in x])
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    links = np.zeros(len(rows), dtype=np.int64)
+    for r in got:
+        links[r.vec_id] = r.n_links
+    assert len(got) == len(rows) and (links <= want).all() and want.sum() > 1_000_000
+    assert links.sum() / want.sum() >= 0.9
+
+
+def test_all_rows_about_one_pivot(spark):
+    vectors = copies_of_one(np.random.default_rng(12), 150)
+    rows = [(i, v.tolist(), 1, None, None) for i, v in enumerate(vectors)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    assert tuples(got) == plain(rows)[0]
