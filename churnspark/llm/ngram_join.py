@@ -21,6 +21,9 @@ from churnspark.llm.components import components, merged
 from churnspark.llm.shingles import shingle_sets
 
 GROUPS = 64
+#: A set with a larger count in some group has this in all: two such sets are not bounded.
+MOST = 0xFFFF
+UNBOUNDED = 1 << 58
 LEAF = 32
 #: Shards of more members are first joined through their smallest member (see ``join``).
 STAR_ABOVE = 16
@@ -39,6 +42,20 @@ def region_size(n: int) -> int:
     return min(n, n // 5 + 1 + n // 16)
 
 
+def group_counts(found: np.ndarray) -> np.ndarray:
+    """Numbers of a set's shingles in the hash groups."""
+    groups = np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    if groups.max() > MOST:
+        groups[:] = MOST
+    return groups.astype("<u2")
+
+
+def shared_at_most(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Summed coordinate minima of the rows of counts; unbounded where both are at the type's end."""
+    bound = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    return np.where(bound >= GROUPS * MOST, UNBOUNDED, bound)
+
+
 def _points(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, id, n, region, counts) of each text; id names the set.
 
@@ -65,11 +82,7 @@ def _points(docs: DataFrame) -> DataFrame:
                         seen.clear()
                     seen.add(name)
                     regions.append(found[:region_size(len(found))].view(np.int64))
-                    groups = np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64),
-                                         minlength=GROUPS)
-                    if groups.max() > 0xFFFF:  # beyond the type: bounds nothing
-                        groups[:] = 0xFFFF
-                    counts.append(groups.astype("<u2").tobytes())
+                    counts.append(group_counts(found).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1), pa.array(ids, pa.int64()),
                      pa.array(sizes, pa.int64()), pa.array(regions, pa.list_(pa.int64())),
@@ -135,7 +148,7 @@ class CountTree:
         nodes = np.arange(len(self.levels[-1][1]))
         for depth in range(len(self.levels) - 1, -1, -1):
             boxes, smallest = self.levels[depth]
-            bound = np.minimum(boxes[nodes], top).sum(axis=1, dtype=np.int64)
+            bound = shared_at_most(boxes[nodes], top)
             nodes = nodes[9 * bound >= 4 * (least + smallest[nodes])]
             below = len(self.levels[depth - 1][1]) if depth else len(self.sizes)
             nodes = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
@@ -162,7 +175,7 @@ def within_bound(sizes: np.ndarray, counts: np.ndarray, i: np.ndarray,
     out = np.zeros(len(i), dtype=bool)
     for at in range(0, len(i), 65_536):
         a, b = i[at:at + 65_536], j[at:at + 65_536]
-        bound = np.minimum(counts[a], counts[b]).sum(axis=1, dtype=np.int64)
+        bound = shared_at_most(counts[a], counts[b])
         out[at:at + 65_536] = 9 * bound >= 4 * (sizes[a] + sizes[b])
     return out
 
@@ -193,8 +206,8 @@ def _tree_pairs(members: DataFrame, best: int | None = None, tiled: bool = False
     def nearest(i, j, sizes, counts):
         if best is None or not len(i):
             return i, j
-        bound = np.concatenate([np.minimum(counts[i[k:k + 65_536]], counts[j[k:k + 65_536]])
-                                .sum(axis=1, dtype=np.int64) for k in range(0, len(i), 65_536)])
+        bound = np.concatenate([shared_at_most(counts[i[k:k + 65_536]], counts[j[k:k + 65_536]])
+                                for k in range(0, len(i), 65_536)])
         score = bound / (sizes[i] + sizes[j])
         ends, pair = np.concatenate((i, j)), np.tile(np.arange(len(i)), 2)
         by = np.lexsort((pair, -score[pair], ends))

@@ -90,3 +90,23 @@ def test_tree_lets_every_possible_pair_through():
     found = [(min(i, j), max(i, j)) for left, right in ngram_join.CountTree(sizes, counts).pairs()
              for i, j in zip(left, right, strict=True)]
     assert set(found) == want and len(found) == len(want)
+
+
+def test_sets_beyond_the_count_type_are_not_bounded(monkeypatch):
+    full = np.full((2, ngram_join.GROUPS), 0xFFFF, dtype="<u2")
+    sizes = np.array([5_000_000, 5_000_000])
+    one, two = np.array([0]), np.array([1])
+    assert ngram_join.within_bound(sizes, full, one, two).all()
+    assert [len(i) for i, _ in ngram_join.CountTree(sizes, full).pairs()] == [1]
+    monkeypatch.setattr(ngram_join, "MOST", 5)
+    rng = np.random.default_rng(6)
+    sets = []
+    for _ in range(40):  # some beyond the limit, some not
+        base = rng.integers(0, 1 << 63, rng.integers(60, 900)).astype(np.uint64)
+        sets += [np.unique(base), np.unique(base[len(base) // 20:])]
+    sizes = np.array([len(s) for s in sets])
+    counts = np.array([ngram_join.group_counts(s) for s in sets])
+    assert 10 < (counts == 5).all(axis=1).sum() < 75
+    found = {(min(i, j), max(i, j)) for left, right in ngram_join.CountTree(sizes, counts).pairs()
+             for i, j in zip(left, right, strict=True)}
+    assert {(k, k + 1) for k in range(0, 80, 2)} <= found
