@@ -347,7 +347,7 @@ def _open_tiles(large: DataFrame, roots: DataFrame, points: DataFrame) -> DataFr
 
 @dataclass
 class SetJoin:
-    """members: doc_id, id, n; roots: node, root of every set that some other set is linked to."""
+    """members: doc_id, text_hash, id, n; roots: node, root of every set that is linked to another."""
 
     members: DataFrame
     roots: DataFrame
@@ -387,7 +387,14 @@ def join(docs: DataFrame) -> SetJoin:
                       .join(checked, ["a", "b"], "left_anti"), "pairs")
         roots = _spanning(more, roots, sets)
         checked = checked.union(more)
-    return SetJoin(points.select("doc_id", "id", "n"), roots)
+    return SetJoin(points.select("doc_id", "text_hash", "id", "n"), roots)
+
+
+def _rooted(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n, root of each row; the root names its component."""
+    found = join(docs)
+    return (found.members.join(found.roots.toDF("id", "root"), "id", "left")
+            .withColumn("root", F.coalesce("root", "id")))
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -396,9 +403,7 @@ def groups(docs: DataFrame) -> DataFrame:
     One row for each input row. A document without words is its own component; a component whose
     doc_ids are all null has a null component_id.
     """
-    found = join(docs)
-    rooted = (found.members.join(found.roots.toDF("id", "root"), "id", "left")
-              .withColumn("root", F.coalesce("root", "id")))
+    rooted = _rooted(docs)
     low = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("low"))
     return rooted.join(low, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -406,13 +411,26 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, one of each group: that of smallest doc_id.
+    """The documents, one row of each group: that of smallest doc_id, nulls last, and among rows
+    of that doc_id of smallest text hash.
 
-    Documents without words or with a null doc_id all stay; of rows with one doc_id that stay,
-    one is kept.
+    Documents without words all stay. Only rows that a link or an equal set ties to the kept one
+    leave: rows of one doc_id with other texts are judged alone. Of rows that share doc_id and
+    text, one is kept.
     """
-    leaving = (groups(docs).where("doc_id IS NOT NULL AND doc_id <> component_id")
-               .select("doc_id").distinct())
-    kept = docs.join(leaving, "doc_id", "left_anti").select(*docs.columns)
-    return (kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-            .union(kept.where("doc_id IS NULL")))
+    rows = (_rooted(docs).where("n > 0").groupBy("root", "doc_id", "text_hash")
+            .agg(F.count("*").alias("copies")))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = rows.groupBy("root").agg(F.min(place).alias("first"), F.sum("copies").alias("rows"))
+    judged = stored(rows.join(first.where("rows > 1"), "root").select(
+        "doc_id", "text_hash", place.eqNullSafe(F.col("first")).alias("stays"), "copies")
+        .where("NOT stays OR copies > 1"), "judged")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    same = (F.col("doc.doc_id").eqNullSafe(judged["doc_id"])
+            & (F.col("hash") == judged["text_hash"]))
+    alone = whole.join(judged, same, "left_anti")
+    copies = whole.join(judged.where("stays"), same, "left_semi")
+    one = (copies.select(F.col("doc.doc_id").alias("key"), "hash", "doc")
+           .dropDuplicates(["key", "hash"]))
+    return alone.select("doc.*").union(one.select("doc.*"))

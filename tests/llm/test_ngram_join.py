@@ -110,3 +110,20 @@ def test_sets_beyond_the_count_type_are_not_bounded(monkeypatch):
     found = {(min(i, j), max(i, j)) for left, right in ngram_join.CountTree(sizes, counts).pairs()
              for i, j in zip(left, right, strict=True)}
     assert {(k, k + 1) for k in range(0, 80, 2)} <= found
+
+
+def test_keep_one_judges_rows(spark):
+    """Repeated and null doc_ids: a row leaves only for a row that it is linked with."""
+    rng = random.Random(8)
+    a, b, c, d, e = (" ".join(rng.choices([f"w{i}" for i in range(500)], k=80)) for _ in range(5))
+    rows = [(5, a, "x"), (5, b, "x"), (1, a + " more", "x"), (None, c, "x"), (None, c + " more", "x"),
+            (None, d, "x"), (7, e, "x"), (7, e, "x"), (None, e + " more", "x"), (8, None, "x"),
+            (8, "", "x"), (None, None, "x"), (9, b + " more", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_hash string").repartition(3)
+    got = ngram_join.keep_one(docs)
+    assert got.dtypes == docs.dtypes
+    got = tuples(got, "doc_id", "text")
+    ends = [(None, c), (None, c + " more")]
+    assert sum(g in ends for g in got) == 1
+    assert sorted((g for g in got if g not in ends), key=repr) == sorted(
+        [(1, a + " more"), (5, b), (None, d), (7, e), (8, None), (8, ""), (None, None)], key=repr)
