@@ -4,6 +4,9 @@ A line is cut into one segment more than the edits allowed, so a line within tha
 one of the segments unchanged, at a place that its length and the segment's rank pin down to a few
 starts. Segments go into an index by length, rank and content; the other line's substrings at
 those starts probe it; pairs that meet are verified by a banded bit-parallel edit distance.
+
+Long lines may differ by a share of their characters. There the stretches that the edits leave
+untouched are cut by content: of every few neighbouring grams the one of lowest hash is a key.
 """
 
 from __future__ import annotations
@@ -17,6 +20,14 @@ from churnspark.llm.components import components
 EDITS = 2
 #: Shorter lines (in characters) are left alone.
 MIN_CHARS = 20
+#: With a growing threshold, lines from LONG characters on may differ by one edit for so many.
+PER_CHARS = 20
+LONG = 80
+#: n div 20 edits leave a stretch of 16 characters of such a line: five neighbouring grams of 12.
+GRAM = 12
+WINDOW = 5
+#: Places of grams are compared in steps of so many characters.
+STEP = 32
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -186,15 +197,67 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
             .where(F.col("distance") <= edits).select("u", "v"))
 
 
-def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def _grams(line: Column, n: Column) -> Column:
+    """(k, at) of the grams that are lowest among some neighbours; at is the place in steps."""
+    grams = F.transform(F.sequence(F.lit(1), n - GRAM + 1), lambda i: F.struct(
+        F.xxhash64(F.substring(line, i, GRAM)).alias("k"), F.floor(i / STEP).cast("int").alias("at")))
+    lowest = _let(grams, lambda g: F.transform(
+        F.sequence(F.lit(1), F.size(g) - WINDOW + 1), lambda j: F.array_min(F.slice(g, j, WINDOW))))
+    return _let(lowest, lambda m: F.filter(
+        m, lambda x, j: (j == 0) | ~x.eqNullSafe(F.get(m, j - 1))))
+
+
+def near_long_lines(lines: DataFrame) -> DataFrame:
+    """(u, v): ids of different lines of ``LONG`` characters or more whose edit distance is a
+    twentieth of the shorter one's characters at most; ``lines`` has line, id and n.
+
+    Exact: a common stretch of 16 characters has the same lowest gram in both lines, and lies as
+    many characters apart in them as there are edits at most.
+    """
+    long = lines.where(F.col("n") >= LONG)
+    kinds = long.groupBy("id", "line", "n").agg(F.count("*").alias("copies"))
+    one = Window.partitionBy("k")
+    met = stored(
+        kinds.select("id", "n", F.explode(_grams(F.col("line"), F.col("n"))).alias("e"))
+        .select("e.k", "id", "n", "e.at")
+        .withColumn("low", F.min("id").over(one)).withColumn("high", F.max("id").over(one))
+        .where("low <> high").select("k", "id", "n", "at"), "gram-keys")
+    short = met.select("k", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("au"))
+    other = met.select("k", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("av"))
+    edits = F.floor(F.col("nu") / PER_CHARS).cast("int")
+    pairs = stored(short.join(other, (short.k == other.k) & (
+        (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v"))))
+        & (F.col("nv") - F.col("nu") <= edits)
+        & (F.abs(F.col("au") - F.col("av")) <= F.floor(edits / STEP) + 1))
+        .select("u", "v", edits.alias("edits")).distinct(), "line-pairs")
+    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+    texts = stored(long.select("id", "line").join(wanted, "id", "left_semi")
+                   .groupBy("id", "line").agg(F.count("*").alias("copies")).select("id", "line"),
+                   "line-texts")
+    both = (pairs.join(texts.toDF("u", "line_u"), "u").join(texts.toDF("v", "line_v"), "v"))
+    return both.where(F.call_function("levenshtein", "line_u", "line_v", "edits") >= 0).select(
+        "u", "v")
+
+
+def _links(lines: DataFrame, edits: int, growing: bool) -> DataFrame:
+    """(u, v) by a fixed number of edits, or by one that grows with the shorter line."""
+    if not growing:
+        return near_lines(lines, edits)
+    return (near_lines(lines.where(F.col("n") < LONG + edits), edits)
+            .union(near_long_lines(lines)))
+
+
+def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
+                   growing: bool = False) -> DataFrame:
     """doc_id, doc_hash, at: lines that go, being near-duplicates of an earlier line.
 
-    Lines reachable by steps of ``edits`` edits or fewer are one group; its first line, by
+    Lines reachable by steps of ``edits`` edits or fewer (``growing``: of a twentieth of the
+    characters from 80 characters on) are one group; its first line, by
     doc_id, a hash of the text, and line number, stays. Null doc_ids come first. Repeated rows of
     one doc_id and text are one document, whose lines go or stay in all of them.
     """
     lines = _lines(docs, min_chars)
-    links = stored(near_lines(lines, edits), "line-links")
+    links = stored(_links(lines, edits, growing), "line-links")
     roots = components(links)
     place = F.struct("doc_id", "doc_hash", "at")
     firsts = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
@@ -208,18 +271,19 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHA
             .select("doc_id", "doc_hash", "at").distinct())
 
 
-def _removed(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    return (repeated_lines(docs, edits, min_chars).groupBy("doc_id", "doc_hash")
+def _removed(docs: DataFrame, edits: int, min_chars: int, growing: bool) -> DataFrame:
+    return (repeated_lines(docs, edits, min_chars, growing).groupBy("doc_id", "doc_hash")
             .agg(F.sort_array(F.collect_list("at")).alias("removed")))
 
 
-def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
+                growing: bool = False) -> DataFrame:
     """doc_id, n_lines, n_removed, removed (line numbers from 0) of each document.
 
     Null and empty texts have one empty line, which stays. One row for each input row. Other
     columns are ignored.
     """
-    gone = _removed(docs, edits, min_chars)
+    gone = _removed(docs, edits, min_chars, growing)
     rows = _rows(docs).select("doc_id", "doc_hash", F.size("lines").cast("long").alias("n_lines"))
     same = (rows["doc_id"].eqNullSafe(gone["doc_id"])) & (rows["doc_hash"] == gone["doc_hash"])
     return rows.join(gone, same, "left").select(
@@ -227,9 +291,10 @@ def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
         .alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def drop_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
+               growing: bool = False) -> DataFrame:
     """The documents, all columns, without the lines that go; n_chars follows if there is one."""
-    gone = _removed(docs, edits, min_chars).select(
+    gone = _removed(docs, edits, min_chars, growing).select(
         F.col("doc_id").alias("gone_id"), F.col("doc_hash").alias("gone_hash"), "removed")
     whole = docs.select(F.struct(*docs.columns).alias("doc"))
     joined = whole.join(gone, F.col("doc.doc_id").eqNullSafe(F.col("gone_id")) & (

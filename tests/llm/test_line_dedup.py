@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from churnspark.llm import line_dedup
+from churnspark.llm import line_dedup, queries
 from conftest_llm import tuples
 
 
@@ -115,3 +115,40 @@ def test_repeated_rows_are_one_document(spark):
                                  "doc_id long, text string")
     assert tuples(line_dedup.line_report(docs), "doc_id", "n_removed") == [(1, 0), (1, 0), (2, 1)]
     assert line_dedup.drop_lines(odd := docs.withColumn("doc", F.lit("x"))).columns == odd.columns
+
+
+def spread(rng, line, edits):
+    """The line with so many edits at even distances, which leave the shortest stretches."""
+    chars = list(line)
+    for e in range(edits, 0, -1):
+        at = e * len(line) // (edits + 1)
+        kind = rng.randrange(3)
+        chars[at:at + (kind != 1)] = [] if kind == 2 else ["#"]
+    return "".join(chars)
+
+
+def test_long_lines_equal_all_pairs(spark):
+    rng, rows = random.Random(9), []
+    for _ in range(50):
+        base = "".join(rng.choices("abcdefghij é", k=rng.randrange(80, 400)))
+        edits = len(base) // 20
+        rows += [base, spread(rng, base, edits), spread(rng, base, edits + 2),
+                 base[:30] + "other words" + base[36:], edited(rng, base, edits)]
+    rows += ["x" * 500, "x" * 510, "ab " * 100, "ab " * 103]
+    lines = spark.createDataFrame([(i, r, len(r)) for i, r in enumerate(rows)],
+                                  "id long, line string, n int")
+    a, b = lines.where("n >= 80").toDF("a", "la", "na"), lines.where("n >= 80").toDF("b", "lb", "nb")
+    want = {tuple(r) for r in a.join(b, F.expr(
+        "a < b AND abs(na - nb) <= 20 AND levenshtein(la, lb) <= least(na, nb) div 20"))
+        .select("a", "b").collect()}
+    got = [tuple(sorted(r)) for r in line_dedup.near_long_lines(lines).collect()]
+    assert set(got) == want and len(got) == len(want) > 100
+
+
+def test_query_finds_a_replaced_word_in_a_long_line(spark, tmp_path):
+    words = "the quick brown fox jumps over a lazy dog while seven wise owls look on from the old tree"
+    rows = [(1, words + " and wait for the rain"), (2, words + " and hope for the rain"), (3, words[:60])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op4_line_dedup"](spark, str(tmp_path))
+    assert tuples(got, "doc_id", "n_removed") == [(1, 0), (2, 1), (3, 0)]
