@@ -18,8 +18,11 @@ from churnspark.llm.common import stored
 from churnspark.llm.components import components
 
 EDITS = 2
-#: Shorter lines (in characters) are left alone.
+#: Shorter lines (in characters) are left alone, unless a smaller limit is given. Then those
+#: that hold a word take part: from TINY characters on with one edit, below only if equal.
 MIN_CHARS = 20
+TINY = 8
+A_WORD = r"[\p{L}\p{N}]"
 #: With a growing threshold, lines from LONG characters on may differ by one edit for so many.
 PER_CHARS = 20
 LONG = 80
@@ -38,10 +41,11 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, doc_hash, at, line, id, n: every line of enough characters; id, a hash of 63 bits,
-    names its content."""
+    """doc_id, doc_hash, at, line, id, n: every line of enough characters, which must hold a word
+    if it is short; id, a hash of 63 bits, names its content."""
     return (_rows(docs).select("doc_id", "doc_hash", F.posexplode("lines").alias("at", "line"))
             .withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
+            .where((F.col("n") >= MIN_CHARS) | F.col("line").rlike(A_WORD))
             .withColumn("id", F.call_function("shiftrightunsigned", F.xxhash64("line"), F.lit(1))))
 
 
@@ -239,12 +243,19 @@ def near_long_lines(lines: DataFrame) -> DataFrame:
         "u", "v")
 
 
-def _links(lines: DataFrame, edits: int, growing: bool) -> DataFrame:
-    """(u, v) by a fixed number of edits, or by one that grows with the shorter line."""
-    if not growing:
-        return near_lines(lines, edits)
-    return (near_lines(lines.where(F.col("n") < LONG + edits), edits)
-            .union(near_long_lines(lines)))
+def _links(lines: DataFrame, edits: int, min_chars: int, growing: bool) -> DataFrame:
+    """(u, v) by a fixed number of edits, or by one that grows with the shorter line; lines below
+    ``MIN_CHARS`` have one at most."""
+    n = F.col("n")
+    usual = lines.where(n >= MIN_CHARS)
+    if growing:
+        links = (near_lines(usual.where(n < LONG + edits), edits).union(near_long_lines(usual)))
+    else:
+        links = near_lines(usual, edits)
+    if min_chars < MIN_CHARS:
+        short = lines.where((n >= TINY) & (n <= MIN_CHARS))
+        links = links.union(near_lines(short, min(1, edits)))
+    return links
 
 
 def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
@@ -257,7 +268,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHA
     one doc_id and text are one document, whose lines go or stay in all of them.
     """
     lines = _lines(docs, min_chars)
-    links = stored(_links(lines, edits, growing), "line-links")
+    links = stored(_links(lines, edits, min_chars, growing), "line-links")
     roots = components(links)
     place = F.struct("doc_id", "doc_hash", "at")
     firsts = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("copies"))

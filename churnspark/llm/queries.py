@@ -48,7 +48,7 @@ def op3_best_fit_packing(spark, sf):
 
 @query
 def op4_line_dedup(spark, sf):
-    return line_dedup.line_report(table(spark, sf, "documents"), growing=True)
+    return line_dedup.line_report(table(spark, sf, "documents"), min_chars=1, growing=True)
 
 
 @query

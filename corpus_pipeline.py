@@ -18,7 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without lines that an earlier line nearly equals."""
-    return line_dedup.drop_lines(docs)
+    return line_dedup.drop_lines(docs, min_chars=1)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from churnspark.llm import line_dedup, queries
 from conftest_llm import tuples
 
@@ -152,3 +153,18 @@ def test_query_finds_a_replaced_word_in_a_long_line(spark, tmp_path):
         f"{tmp_path}/documents.parquet")
     got = queries.QUERIES["op4_line_dedup"](spark, str(tmp_path))
     assert tuples(got, "doc_id", "n_removed") == [(1, 0), (2, 1), (3, 0)]
+
+
+def test_short_lines_that_hold_a_word(spark, tmp_path):
+    """Equal ones go at any length, from 8 characters on those one edit apart as well."""
+    rows = [(1, "Enststung ench.\nOk\n---\nno\n"), (2, "Enststung ench.\nOk\n---\nna\n"),
+            (3, "Enststung enc.\n7\n***"), (4, "Enststxng eych.\n7\n***"),
+            (5, "nineteen characters\ntwenty characters ab"),
+            (6, "nineteen characterss\ntwenty characters cd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = [(1, []), (2, [0, 1]), (3, [0]), (4, [1]), (5, []), (6, [0, 1])]
+    got = queries.QUERIES["op4_line_dedup"](spark, str(tmp_path))
+    assert tuples(got, "doc_id", "removed") == want
+    kept = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, None).collect()}
+    assert kept[2] == "---\nna\n" and kept[6] == "" and kept[1] == rows[0][1]
