@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -93,13 +94,14 @@ class Bins:
         self.space[to] -= size
         self.bin_of[item] = to
 
-    def improve(self, steps: int) -> None:
+    def improve(self, steps: float = math.inf) -> None:
         """Local search: empties the least filled bin after the other.
 
         A document moves to the bin it fills best; failing that, one or two documents are
         exchanged for one smaller document of a bin that has room for the difference. The other
         bin is never less full than the donor, so each step raises the sum of squared fills, and
-        the search ends. ``steps`` bounds its time; the result is a packing at any point.
+        the search ends, when every bin with room was given up. The result is a packing at any
+        point; ``steps`` can end it earlier.
         """
         least = -(-int(self.sizes.sum()) // self.capacity)
         given_up: set[int] = set()
@@ -126,21 +128,30 @@ class Bins:
             if len(fits):
                 self.move(item, int(fits[np.argmin(self.space[fits])]))
                 return True
-        theirs = np.flatnonzero(np.isin(self.bin_of, other))
-        their_space = self.space[self.bin_of[theirs]]
-        singles = [((i,), int(self.sizes[i])) for i in mine[:64]]
-        pairs = [((i, j), int(self.sizes[i] + self.sizes[j]))
-                 for n, i in enumerate(mine[:12]) for j in mine[n + 1:12]]
-        best = None
-        for group, size in singles + pairs:  # one for one, two for one
-            gain = size - self.sizes[theirs]
-            gain = np.where((gain > 0) & (gain <= their_space), gain, 0)
-            at = int(np.argmax(gain)) if len(gain) else 0
-            if len(gain) and gain[at] and (best is None or gain[at] > best[0]):
-                best = (int(gain[at]), group, int(theirs[at]))
-        if best is None:
+        usable = np.zeros(len(self.space), dtype=bool)
+        usable[other] = True
+        theirs = np.flatnonzero(usable[self.bin_of])
+        sizes, room = self.sizes[theirs], self.space[self.bin_of[theirs]]
+        most = np.full(self.capacity + 1, -1, dtype=np.int64)
+        np.maximum.at(most, sizes, room)
+        # A group of size s goes for the smallest item whose size and room reach s together.
+        reach = np.maximum.accumulate(np.where(most >= 0, most + np.arange(len(most)), -1))
+        by_size: dict[int, list[int]] = {}
+        for item in mine:
+            by_size.setdefault(int(self.sizes[item]), []).append(item)
+        kinds = list(by_size)  # 63 at most with a capacity of 2,048
+        groups = [(by_size[x][0],) for x in kinds]
+        groups += [(by_size[x][0], by_size[y][0]) for n, x in enumerate(kinds)
+                   for y in kinds[n + 1:]]
+        groups += [tuple(by_size[x][:2]) for x in kinds if len(by_size[x]) > 1]
+        total = np.asarray([sum(int(self.sizes[i]) for i in g) for g in groups])
+        partner = np.searchsorted(reach, total)
+        gain = np.where(partner < len(reach), total - partner, 0)
+        at = int(np.argmax(gain))
+        if gain[at] <= 0:
             return False
-        _, group, back = best
+        group, size = groups[at], int(partner[at])
+        back = int(theirs[np.argmax((sizes == size) & (room == most[size]))])
         to = int(self.bin_of[back])
         self.move(back, donor)
         for item in group:
@@ -148,11 +159,11 @@ class Bins:
         return True
 
 
-def pack_sizes(sizes: np.ndarray, capacity: int, steps: int = 2_000) -> list[list[int]]:
+def pack_sizes(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     """Item numbers of each bin that is not empty."""
     bins = Bins(sizes, capacity)
     bins.best_fit()
-    bins.improve(steps)
+    bins.improve()
     return [b for b in bins.items if b]
 
 

@@ -157,3 +157,28 @@ def test_quality_ledger(spark, odd_docs, no_docs):
     assert quality_rules.ledger(no_docs).count() == 0
     assert quality_rules.keep_documents(odd_docs).columns == odd_docs.columns
     assert sys.modules["corpus_pipeline"]
+
+
+def test_local_search_looks_at_all_sizes_and_ends_by_itself():
+    sizes = np.array([*range(101, 113), 30, 20, 48, 1998])
+    bins = packing.Bins(sizes, 2048)
+    bins.items, bins.bin_of = [list(range(14)), [14, 15]], np.array([0] * 14 + [1] * 2)
+    bins.space = np.array([2048 - int(sizes[:14].sum()), 2])
+    assert bins._step(0)  # 30 and 20 for 48
+    assert bins.space[1] == 0 and sorted(bins.items[1]) == [12, 13, 15]
+
+    class Counted(packing.Bins):
+        steps = 0
+
+        def _step(self, donor):
+            self.steps += 1
+            return super()._step(donor)
+
+    sizes = np.random.default_rng(7).integers(500, 900, 9000)
+    bins = Counted(sizes, 2048)
+    bins.best_fit()
+    bins.improve()
+    assert bins.steps > 2_000
+    assert sorted(i for b in bins.items for i in b) == list(range(9000))
+    assert all(sizes[b].sum() == 2048 - room for b, room in zip(bins.items, bins.space, strict=True))
+    assert bins.space.min() >= 0
