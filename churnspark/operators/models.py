@@ -184,7 +184,8 @@ def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str],
     """Fit several models side by side on one Train.
 
     Gaps are learned and filled once for all models; the learners share one persisted table of
-    vectors, the logistic model one of scaled vectors.
+    vectors, the logistic model one of scaled vectors. Medians, scaling and class weights come
+    from all rows; only the learners take the bounded sample.
     """
     names, cols = list(names), list(features)
     done: dict[str, object] = {}
@@ -193,10 +194,10 @@ def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str],
     learners = [n for n in names if n != DUMMY]
     if not learners:
         return done
-    sample, rows = bounded_sample(train.select(key, label, *cols), key, settings)
-    weighted = with_weights(sample, label, key, settings)
+    weighted = with_weights(train.select(key, label, *cols), label, key, settings)
     fills = Pipeline(stages=[MissingFlags(inputCols=cols), MedianFill(inputCols=cols)]).fit(weighted)
     filled = fills.transform(weighted)
+    sample, rows = bounded_sample(filled, key, settings)
     pipelines = {n: build_model(n, cols, label, rows, settings).getStages()[2:] for n in learners}
     scaled = any(n == LOGISTIC for n in learners)
     plain = [n for n in learners if n != LOGISTIC]
@@ -205,7 +206,7 @@ def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str],
 
     def vectors(stages) -> tuple[list, DataFrame]:
         chain = Pipeline(stages=stages).fit(filled)
-        table = chain.transform(filled).select("features", *kept).persist()
+        table = chain.transform(sample).select("features", *kept).persist()
         tables.append(table)
         return chain.stages, table
 

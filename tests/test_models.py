@@ -249,3 +249,24 @@ def test_examples_prefer_small_keys(spark):
     got = {r.example: r.k for r in evaluation.example_customers(df, "p", "k").collect()}
     assert got["high"] == 1 and got["low"] == 2 and got["mid"] in (4, 6)
     assert C.HIGH in GRADE_ACTION
+
+
+def test_statistics_cover_all_rows_of_a_bounded_fit(spark, monkeypatch):
+    df = spark.range(2000).select(
+        F.col("id").alias("k"), (F.col("id") % 5 == 0).cast("int").alias("y"),
+        F.when(F.col("id") % 7 > 0, F.col("id") * F.col("id") % 997).cast("double").alias("x"))
+    gap = spark.createDataFrame([(0, 0, None), (1, 0, 5.0)], "k long, y int, x double")
+    seen, weigh = [], models.with_weights
+
+    def counted(train, *more):
+        seen.append(train.count())
+        return weigh(train, *more)
+
+    monkeypatch.setattr(models, "with_weights", counted)
+    rows = []
+    for most in (50, 10_000):
+        model = models.fit_model(models.LOGISTIC, df, ["x"], "y", "k",
+                                 models.ModelSettings(max_fit_rows=most))
+        rows.append([r.features for r in model.transform(gap).orderBy("k").collect()])
+    assert seen == [2000, 2000]
+    assert rows[0] == rows[1]
