@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from churnspark.llm import (
-    bpe_codec, embedding_dedup, line_dedup, ngram_join, packing, quality_classifier,
-    quality_rules, suffix_dedup, token_counts, token_orc)
+    bpe_codec, embedding_dedup, line_dedup, merkle, ngram_join, packing, quality_classifier,
+    quality_rules, sharding, spelling, suffix_dedup, token_counts, token_orc)
 from churnspark.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,29 @@ def op9_quality_classifier(spark, sf):
 @query
 def op10_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"), BYTE_BPE)
+
+
+@query
+def op11_histogram_sharding(spark, sf):
+    docs, path = table(spark, sf, "documents"), scratch(spark, "shards")
+    sharding.write_shards(docs, path)
+    return sharding.digests(spark, path, docs.schema)
+
+
+ORACLE_SQL["op11_histogram_sharding"] = sharding.ORACLE
+
+
+@query
+def op12_spelling_variants(spark, sf):
+    return spelling.variants(table(spark, sf, "documents"))
+
+
+ORACLE_SQL["op12_spelling_variants"] = spelling.ORACLE
+
+
+@query
+def op13_merkle_manifest(spark, sf):
+    return merkle.report(merkle.build(table(spark, sf, "documents")))
+
+
+ORACLE_SQL["op13_merkle_manifest"] = merkle.ORACLE
