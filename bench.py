@@ -32,6 +32,7 @@ HEADLINE = (
 HEAVY = (
     "boosting_scores", "forest_scores", "model_metrics", "kmeans_segments", "k_scan",
     "pca_projection", "score_customers", "what_if", "score_stream", "permutation_importance",
+    "boosting_rounds", "boosting_certificate", "forest_certificate", "kmeans_certificate",
 )
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.functions.columns import hash_order
+from churnspark.operators import trees
 from churnspark.operators.evaluation import evaluate
 from churnspark.operators.preparation import MedianFill, MissingFlags, RobustScale, _Columns
 
@@ -49,12 +50,16 @@ class ModelSettings:
     forest_depth: int = 30  # the limit of Spark ML; the compared forest has none
     forest_bootstrap: bool = True
     forest_memory_mb: int = 1024  # per task, for split statistics of deep trees
+    forest_parallelism: int = 24  # trees fitted side by side
+    forest_rows_per_task: int = 50_000
     boosting_rate: float = 0.06
     boosting_rounds: int = 300
     boosting_depth: int = 5  # level-wise stand-in for 31 leaves
     holdout_share: float = 0.1
     early_stopping: bool = True
-    stop_tolerance: float = 1e-4  # relative gain of the hold-out loss that goes on
+    stop_patience: int = 10  # rounds in a row without a gain end the fit
+    stop_tolerance: float = 1e-7  # gain of the hold-out loss that counts
+    first_rounds: int = 40  # rounds of the first fit; doubled while the loss still falls
     max_fit_rows: int = 20_000_000  # fits use a sample by hash beyond; trees are on the driver
 
 
@@ -118,17 +123,104 @@ class Assemble(Transformer, _Columns, DefaultParamsReadable, DefaultParamsWritab
         return VectorAssembler(inputCols=cols + flags, outputCol="features").transform(dataset)
 
 
-def boosting(label: str, settings: ModelSettings) -> GBTClassifier:
-    """With early stopping, rows marked ``holdout`` are kept out of the fit, which ends after the
-    first round that no longer lowers their loss by ``stop_tolerance``. One fit, at every size."""
-    learner = GBTClassifier(
-        stepSize=settings.boosting_rate, maxIter=settings.boosting_rounds,
+class RoundLosses(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Keeps the hold-out loss after 0, 1, 2 ... rounds beside a boosted model; changes no row."""
+
+    losses = Param(Params._dummy(), "losses", "loss after each round", TypeConverters.toListFloat)
+    rounds = Param(Params._dummy(), "rounds", "rounds of the model", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, losses=None, rounds=0):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def getLosses(self) -> list[float]:
+        return self.getOrDefault(self.losses)
+
+    def getRounds(self) -> int:
+        return self.getOrDefault(self.rounds)
+
+    def _transform(self, dataset):
+        return dataset
+
+
+def boosting(label: str, settings: ModelSettings, rounds: int | None = None) -> GBTClassifier:
+    return GBTClassifier(
+        stepSize=settings.boosting_rate, maxIter=rounds or settings.boosting_rounds,
         maxDepth=settings.boosting_depth, weightCol="boost_weight", seed=settings.seed,
         featuresCol="features", labelCol=label)
-    if settings.early_stopping:
-        learner.setValidationIndicatorCol("holdout")
-        learner.setParams(validationTol=settings.stop_tolerance)
-    return learner
+
+
+def fit_boosting(table: DataFrame, label: str, settings: ModelSettings) -> list:
+    """Boosted model and the losses of its rounds, as stages.
+
+    With early stopping, rows marked ``holdout`` are kept out of the fit; their loss after every
+    round is read off the fitted trees in one pass. The model ends at the first round after which
+    ``stop_patience`` rounds gained no more than ``stop_tolerance``, at every size. As a round never depends on later ones,
+    fits of 40, 80, 160 ... rounds are tried until that round is among them.
+    """
+    s = settings
+    if not s.early_stopping:
+        return [boosting(label, s).fit(table)]
+    rest, held = table.where("NOT holdout"), table.where("holdout")
+    rounds = min(s.first_rounds, s.boosting_rounds)
+    while True:
+        model = boosting(label, s, rounds).fit(rest)
+        losses = trees.staged_losses(model, held, label, "boost_weight")
+        stop = None if losses is None else trees.stop_round(
+            losses, s.stop_patience, s.stop_tolerance)
+        if stop is not None or rounds >= s.boosting_rounds:
+            break
+        rounds = min(2 * rounds, s.boosting_rounds)
+    kept = rounds if stop is None else stop
+    return [trees.some_trees(model, range(kept)),
+            RoundLosses(losses=(losses or [])[:kept + 1], rounds=kept)]
+
+
+def fit_forest(table: DataFrame, label: str, key: str, settings: ModelSettings):
+    """A forest whose trees have bootstraps and class weights of their own, voting together.
+
+    Row draws are Poisson variables from a hash of tree and ``key``; within a tree's bootstrap a row of
+    class c weighs draws * n / (2 n_c), n and n_c being that bootstrap's draws. Trees are fitted
+    side by side. A bootstrap without rows (tiny tables) gives no tree.
+    """
+    s = settings
+    # The many small jobs of a fit cost more than their rows if those lie in many partitions.
+    parts = -(-table.count() // s.forest_rows_per_task) or 1
+    known = table.coalesce(parts).withMetadata(
+        label, {"ml_attr": {"type": "nominal", "vals": ["0", "1"]}}).persist()
+
+    def learner(tree: int) -> RandomForestClassifier:
+        return RandomForestClassifier(
+            numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt",
+            minInstancesPerNode=s.forest_leaf, maxDepth=s.forest_depth, weightCol="tree_weight",
+            seed=s.seed + tree, maxMemoryInMB=s.forest_memory_mb, featuresCol="features",
+            labelCol=label)
+
+    if s.forest_bootstrap:
+        totals: dict[int, dict[int, int]] = {}
+        for r in trees.bootstrap_totals(table, label, key, s.forest_trees, s.seed).collect():
+            totals.setdefault(r.tree, {})[int(r[label])] = r.n_draws  # two rows a tree
+    else:
+        n = {int(r[label]): r["count"] for r in table.groupBy(label).count().collect()}
+        totals = dict.fromkeys(range(s.forest_trees), n)
+
+    def fit(tree: int):
+        by_class = totals[tree]
+        weight = F.lit(None).cast("double")
+        for y, n in by_class.items():
+            weight = F.when(F.col(label) == y, F.lit(sum(by_class.values()) / (2 * n))) \
+                .otherwise(weight)
+        drawn = trees.draws(s.seed, tree, key) if s.forest_bootstrap else F.lit(1)
+        own = known.withColumn("draws", drawn).where("draws > 0").select(
+            "features", label, (F.col("draws") * weight).alias("tree_weight"))
+        return learner(tree).fit(own)
+
+    try:
+        with ThreadPool(s.forest_parallelism) as pool:
+            return trees.joined_forest(pool.map(fit, sorted(totals), chunksize=1))
+    finally:
+        known.unpersist()
 
 
 def build_model(name: str, features: Sequence[str], label: str, train_rows: int,
@@ -149,14 +241,8 @@ def build_model(name: str, features: Sequence[str], label: str, train_rows: int,
         core = DecisionTreeClassifier(
             maxDepth=s.tree_depth, minInstancesPerNode=s.tree_leaf,
             weightCol="balanced_weight", seed=s.seed, **common)
-    elif name == FOREST:
-        core = RandomForestClassifier(
-            numTrees=s.forest_trees, bootstrap=s.forest_bootstrap, featureSubsetStrategy="sqrt",
-            minInstancesPerNode=s.forest_leaf, maxDepth=s.forest_depth,
-            weightCol="balanced_weight", seed=s.seed, maxMemoryInMB=s.forest_memory_mb,
-            cacheNodeIds=True, **common)
-    elif name == BOOSTING:
-        core = boosting(label, s)
+    elif name in (FOREST, BOOSTING):
+        return Pipeline(stages=[*fill, Assemble(inputCols=cols)])  # their fits are functions
     else:
         raise ValueError(f"unknown model: {name}")
     return Pipeline(stages=[*fill, Assemble(inputCols=cols), core])
@@ -201,7 +287,7 @@ def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str],
     pipelines = {n: build_model(n, cols, label, rows, settings).getStages()[2:] for n in learners}
     scaled = any(n == LOGISTIC for n in learners)
     plain = [n for n in learners if n != LOGISTIC]
-    kept = [label, "balanced_weight", "boost_weight", "holdout"]
+    kept = [key, label, "balanced_weight", "boost_weight", "holdout"]
     tables = []
 
     def vectors(stages) -> tuple[list, DataFrame]:
@@ -211,13 +297,18 @@ def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str],
         return chain.stages, table
 
     try:
-        shared = vectors(pipelines[plain[0]][:-1]) if plain else None
+        shared = vectors([Assemble(inputCols=cols)]) if plain else None
         own = vectors(pipelines[LOGISTIC][:-1]) if scaled else None
 
         def fit(name: str):
             before, table = own if name == LOGISTIC else shared
-            return PipelineModel(stages=[*fills.stages, *before,
-                                         pipelines[name][-1].fit(table)])
+            if name == BOOSTING:
+                last = fit_boosting(table, label, settings)
+            elif name == FOREST:
+                last = [fit_forest(table, label, key, settings)]
+            else:
+                last = [pipelines[name][-1].fit(table)]
+            return PipelineModel(stages=[*fills.stages, *before, *last])
 
         with ThreadPool(min(parallelism, len(learners))) as pool:
             done.update(zip(learners, pool.map(fit, learners)))

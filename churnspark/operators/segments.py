@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -14,7 +14,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.operators.preparation import (
@@ -62,15 +62,20 @@ class NearestCentre(Model, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset):
-        cols = self.getOrDefault(self.features)
-        distances = []
-        for i, centre in enumerate(self.getOrDefault(self.centres)):
-            d = None
-            for c, v in zip(cols, centre):
-                part = (F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v)))
-                d = part if d is None else d + part
-            distances.append(F.struct(d.alias("d"), F.lit(i).alias("i")))
-        return dataset.withColumn("Cluster", F.array_min(F.array(*distances))["i"])
+        nearest = _nearest(self.getOrDefault(self.features), self.getOrDefault(self.centres))
+        return dataset.withColumn("Cluster", nearest["i"])
+
+
+def _nearest(columns: Sequence[str], centres: Sequence[Sequence[float]]) -> Column:
+    """Squared distance ``d`` to the nearest centre and its number ``i``."""
+    distances = []
+    for i, centre in enumerate(centres):
+        d = None
+        for c, v in zip(columns, centre):
+            part = (F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v)))
+            d = part if d is None else d + part
+        distances.append(F.struct(d.alias("d"), F.lit(i).alias("i")))
+    return F.array_min(F.array(*distances))
 
 
 def segment_vectors(scaled: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -197,72 +202,129 @@ def segment_churn(df: DataFrame, label: str) -> DataFrame:
 
 # ---- quality ------------------------------------------------------------------------
 
-def silhouette(df: DataFrame, features: Sequence[str], key: str, sample_size: int = 10_000,
-               seed: int = 42, cluster: str = "Cluster") -> DataFrame:
-    """Mean Euclidean silhouette of a seeded sample (one row).
+def _silhouettes(df: DataFrame, features: Sequence[str], labels: Sequence[str], key: str,
+                 sample_size: int, seed: int) -> list[tuple[int, float | None]]:
+    """(rows, mean Euclidean silhouette) for each column of cluster numbers, over one sample.
 
-    The sample, not the table, is shipped to the tasks; each task compares its
-    slice of the sample with all of it, block by block, in numpy.
+    The sample, not the table, is shipped to the tasks. Each task takes its slice of it through one
+    distance pass; the memberships of all clusterings stand side by side in one matrix, so further
+    clusterings cost a few columns of a product. One cluster alone has no silhouette.
     """
     if sample_size > MAX_SAMPLE:
         raise ValueError(f"sample_size above {MAX_SAMPLE} does not fit the broadcast bound")
     cols = list(features)
     sample = seeded_sample(df, key, sample_size, seed).select(
-        *[F.col(c).cast("double").alias(c) for c in cols], F.col(cluster).cast("int").alias("c"))
+        *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
+        *[F.col(c).cast("int").alias(f"c{i}") for i, c in enumerate(labels)])
     local = sample.toPandas()  # at most MAX_SAMPLE rows
-    points = local[cols].to_numpy(dtype="float64")
-    ids, labels = np.unique(local["c"].to_numpy(), return_inverse=True)
-    shipped = df.sparkSession.sparkContext.broadcast((points, labels, len(ids)))
+    points = local[[f"x{i}" for i in range(len(cols))]].to_numpy(dtype="float64")
+    found = [np.unique(local[f"c{i}"].to_numpy(), return_inverse=True)
+             for i in range(len(labels))]
+    widths = [len(ids) for ids, _ in found]
+    if not len(points):
+        return [(0, None)] * len(labels)
+    shipped = df.sparkSession.sparkContext.broadcast((points, [own for _, own in found], widths))
 
     def score(batches):
-        all_points, all_labels, k = shipped.value
-        sizes = np.bincount(all_labels, minlength=k)
-        member = np.eye(k)[all_labels]
+        all_points, owners, sizes = shipped.value
+        member = np.hstack([np.eye(k)[own] for own, k in zip(owners, sizes)])
         norms = (all_points ** 2).sum(axis=1)
+        total = np.zeros(len(owners))
         for batch in batches:
             rows = batch["row"].to_numpy()
-            out = np.zeros(len(rows))
             for start in range(0, len(rows), 256):
                 part = rows[start:start + 256]
-                own = all_labels[part]
                 at = np.arange(len(part))
                 squared = (norms[part][:, None] + norms[None, :]
                            - 2 * all_points[part] @ all_points.T)
                 squared[at, part] = 0.0
                 sums = np.sqrt(np.maximum(squared, 0.0)) @ member
-                alone = sizes[own] == 1
-                a = sums[at, own] / np.maximum(sizes[own] - 1, 1)
-                means = sums / sizes
-                means[at, own] = np.inf
-                b = means.min(axis=1)
-                top = np.maximum(a, b)
-                s = np.divide(b - a, top, out=np.zeros(len(part)), where=top > 0)
-                out[start:start + 256] = np.where(alone, 0.0, s)
-            yield pd.DataFrame({"s": out})
+                first = 0
+                for i, (own, k) in enumerate(zip(owners, sizes)):
+                    if k > 1:
+                        total[i] += _row_silhouettes(sums[:, first:first + k], own, k, part).sum()
+                    first += k
+        yield pd.DataFrame({"clustering": np.arange(len(owners)), "s": total})
 
     slices = df.sparkSession.sparkContext.defaultParallelism
     rows = df.sparkSession.range(0, len(points), 1, slices).select(F.col("id").alias("row"))
-    return rows.mapInPandas(score, "s double").agg(
-        F.count("*").alias("n"), F.round(F.avg("s"), 6).alias("SilhouetteScore"))
+    sums = {r.clustering: r.s for r in rows.mapInPandas(score, "clustering int, s double")
+            .groupBy("clustering").agg(F.sum("s").alias("s")).collect()}
+    shipped.unpersist()
+    return [(len(points), sums[i] / len(points) if k > 1 else None)
+            for i, k in enumerate(widths)]
 
 
-def scan_k(scaled: DataFrame, features: Sequence[str], key: str, ks: Sequence[int] = range(2, 9),
-           n_init: int = 10, seed: int = 42, sample_size: int = 10_000) -> DataFrame:
-    """Inertia and sampled silhouette for each K. Persist ``scaled`` before the call."""
+def _row_silhouettes(sums: np.ndarray, owner: np.ndarray, k: int, part: np.ndarray) -> np.ndarray:
+    """Silhouettes of the sample's rows ``part`` from their summed distances to every cluster."""
+    sizes, own, at = np.bincount(owner, minlength=k), owner[part], np.arange(len(part))
+    a = sums[at, own] / np.maximum(sizes[own] - 1, 1)
+    means = sums / sizes
+    means[at, own] = np.inf
+    b = means.min(axis=1)
+    top = np.maximum(a, b)
+    s = np.divide(b - a, top, out=np.zeros(len(part)), where=top > 0)
+    return np.where(sizes[own] == 1, 0.0, s)
+
+
+def silhouette(df: DataFrame, features: Sequence[str], key: str, sample_size: int = 10_000,
+               seed: int = 42, cluster: str = "Cluster") -> DataFrame:
+    """Mean Euclidean silhouette of a seeded sample (one row); null for a single cluster."""
+    (n, value), = _silhouettes(df, features, [cluster], key, sample_size, seed)
+    return df.sparkSession.createDataFrame(
+        [(n, None if value is None else round(value, 6))], "n long, SilhouetteScore double")
+
+
+def scan_centres(scaled: DataFrame, features: Sequence[str], key: str,
+                 centres: Mapping[int, Sequence[Sequence[float]]], sample_size: int = 10_000,
+                 seed: int = 42) -> DataFrame:
+    """K, Inertia, SilhouetteScore of each set of centres: one projection assigns every row to all
+    of them, one aggregate sums the squared distances, one sample gives all silhouettes."""
     cols = [_z(c) for c in features]
+    assigned = scaled.select(key, *cols)
+    for k, found in centres.items():
+        nearest = _nearest(cols, found)
+        assigned = assigned.withColumns({f"_c{k}": nearest["i"], f"_d{k}": nearest["d"]})
+    ks = list(centres)
+    costs = assigned.agg(*[F.sum(f"_d{k}").alias(f"k{k}") for k in ks]).first()
+    scores = _silhouettes(assigned, cols, [f"_c{k}" for k in ks], key, sample_size, seed)
+    rows = [(k, costs[f"k{k}"], None if s is None else round(s, 6))
+            for k, (_, s) in zip(ks, scores)]
+    return scaled.sparkSession.createDataFrame(
+        rows, "K int, Inertia double, SilhouetteScore double")
+
+
+def scan_k(scaled: DataFrame, features: Sequence[str], key: str, ks: Sequence[int] = range(2, 9),
+           n_init: int = 10, seed: int = 42, sample_size: int = 10_000,
+           parallelism: int = 8) -> DataFrame:
+    """``scan_centres`` of fitted centres for each K. Persist ``scaled`` before the call.
+
+    The starts of all K are submitted side by side.
+    """
     vectors = segment_vectors(scaled, features).persist()
-    rows = []
+
+    def run(start: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
+        k, number = start
+        model = KMeans(k=k, seed=seed + number, maxIter=300, tol=1e-4).fit(vectors)
+        return k, model.summary.trainingCost, number, model
+
+    starts = [(k, number) for k in ks for number in range(n_init if k > 1 else 1)]
     try:
-        for k in ks:
-            model, cost = fit_kmeans(vectors, k, seed, n_init)
-            nearest = NearestCentre(
-                features=cols, centres=[[float(v) for v in c] for c in model.clusterCenters()])
-            score = silhouette(nearest.transform(scaled), cols, key, sample_size, seed).first()
-            rows.append((k, float(cost), score.SilhouetteScore))
+        vectors.count()  # cached once, before the starts ask for it together
+        if 1 in ks:  # Spark's learner starts at two clusters
+            mean = [[r for r in scaled.agg(*[F.avg(_z(c)) for c in features]).first()]]
+        with ThreadPool(min(parallelism, len(starts))) as pool:
+            done = pool.map(run, [s for s in starts if s[0] > 1], chunksize=1)
     finally:
         vectors.unpersist()
-    return scaled.sparkSession.createDataFrame(
-        rows, "K int, Inertia double, SilhouetteScore double")
+    centres = {}
+    for k in ks:
+        if k == 1:
+            centres[k] = mean
+            continue
+        best = min((d for d in done if d[0] == k), key=lambda d: (d[1], d[2]))[3]
+        centres[k] = [[float(v) for v in c] for c in best.clusterCenters()]
+    return scan_centres(scaled, features, key, centres, sample_size, seed)
 
 
 def project_2d(scaled: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -33,6 +33,8 @@ NUMERIC = ("monthly_revenue", "perc_change_revenues", "monthly_minutes", "overag
            "age_hh1", "age_hh2")
 GAPPY = ("monthly_revenue", "perc_change_revenues", "perc_change_minutes")
 SEGMENT = list(R.segment_features)
+IMPORTANCE = ("current_equipment_days", "months_in_service", "customer_care_calls",
+              "monthly_minutes")
 
 
 def query(fn: Query) -> Query:
@@ -726,8 +728,7 @@ def model_metrics(spark, sf):
 
 @query
 def kmeans_segments(spark, sf):
-    df = W.snapshot(spark, sf)
-    chain = segments.fit_segments(df, SEGMENT)
+    chain, df = W.fitted_segments(spark, sf), W.snapshot(spark, sf)
     return segments.segment_sizes(segments.assign_segments(chain, df, SEGMENT))
 
 
@@ -743,9 +744,17 @@ def k_scan(spark, sf):
 @query
 def permutation_importance(spark, sf):
     done, model = W.prepared(spark, sf), W.bundle(spark, sf).model
-    return importance.permutation_importance(
-        done.part("val"), done.features, LABEL, ID,
-        lambda df, keep: models.score(model, df, keep))
+    return importance.model_importance(done.part("val"), done.features, LABEL, ID, model)
+
+
+@query
+def formula_importance(spark, sf):
+    """Permutation importance of the fixed equipment formula, which uses three of four features."""
+    df = W.snapshot(spark, sf).withColumn("y", _label())
+    found = importance.permutation_importance(
+        df, IMPORTANCE, "y", ID, lambda t, keep: W.equipment_scores(t, keep))
+    return found.select("feature", F.round("importance_mean", 6).alias("importance_mean"),
+                        F.round("importance_std", 6).alias("importance_std"))
 
 
 @query
@@ -810,6 +819,23 @@ def silhouette_sample(spark, sf):
     return segments.silhouette(scaled, [f"z_{c}" for c in SEGMENT], ID)
 
 
+@query
+def k_scan_fixed(spark, sf):
+    """Inertia and silhouette of the first 1, 2 .. 5 fixed centres, from one sample."""
+    scaled = W.segmented(spark, sf, keep_scaled=True).drop("Cluster")
+    return segments.scan_centres(scaled, SEGMENT, ID, {
+        k: W.CENTRES[:k] for k in range(1, len(W.CENTRES) + 1)}).select(
+            "K", F.round("Inertia", 4).alias("Inertia"), "SilhouetteScore")
+
+
+@query
+def k_scan_one(spark, sf):
+    """The fitted scan for K = 1, whose inertia is the total variation."""
+    scaled = W.segmented(spark, sf, keep_scaled=True).drop("Cluster")
+    return segments.scan_k(scaled, SEGMENT, ID, ks=(1,), n_init=1).select(
+        "K", F.round("Inertia", 4).alias("Inertia"), "SilhouetteScore")
+
+
 @query
 def segment_defaults(spark, sf):
     state = segments.segment_state(W.segment_chain(spark, sf))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from churnspark.contracts import VARIANTS
 from churnspark.functions import playbook
 from churnspark.functions.columns import HIGH, LOW, MID
 from churnspark.operators import segments
 from churnspark.plans import catalog as Q
-from churnspark.plans import round_trips
+from churnspark.plans import model_checks, round_trips
 from churnspark.plans.workspace import CENTRES, RARE_MIN, ROLES
 
 SEG = list(ROLES.segment_features)
@@ -278,6 +280,51 @@ def _corr_matrix() -> str:
         for a in names for b in names)
 
 
+def _formula_importance() -> str:
+    rows = [f"""SELECT '' AS feature, 0 AS repeat, y, {_p(_EQUIPMENT)} AS p FROM pos"""]
+    for r in (1, 2, 3):
+        digest = int(hashlib.md5(f"42:{r}".encode()).hexdigest()[:12], 16)
+        shift = f"(1 + {digest} % (n - 1))"
+        for f in Q.IMPORTANCE:
+            swapped = _EQUIPMENT.replace(f, f"d_{f}")
+            rows.append(f"SELECT '{f}' AS feature, {r} AS repeat, y, {_p(swapped)} AS p "
+                        f"FROM pos JOIN (SELECT pos AS dp, "
+                        + _cols(f"{c} AS d_{c}" for c in Q.IMPORTANCE)
+                        + f" FROM pos) d ON d.dp = (pos - {shift} + n) % n")
+    return f"""WITH {LAB}, pos AS (SELECT *, count(*) OVER () AS n, row_number() OVER (
+  ORDER BY substr(md5('42:' || CAST(customer_id AS VARCHAR)), 1, 12), customer_id) - 1 AS pos FROM lab),
+sc AS ({' UNION ALL '.join(rows)}), {_metrics("feature, repeat")},
+drops AS (SELECT feature, (SELECT roc_auc FROM m0 WHERE repeat = 0) - roc_auc AS gap FROM m0 WHERE repeat > 0)
+SELECT feature, round(avg(gap), 6) AS importance_mean, round(stddev_pop(gap), 6) AS importance_std
+FROM drops GROUP BY feature"""
+
+
+def _k_scan(sets: dict[int, list]) -> str:
+    """Inertia and silhouette of sets of centres; null centres stand for the mean."""
+    parts, z = [], [f"z_{c}" for c in SEG]
+    pair = _cols((f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in z), " + ")
+    for k, centres in sets.items():
+        ds = ["(" + _cols((f"({c} - ({float(v)!r})) * ({c} - ({float(v)!r}))" if v is not None
+                           else f"({c} - (SELECT avg({c}) FROM scaled)) ** 2"
+                           for c, v in zip(z, centre)), " + ") + ")" for centre in centres]
+        least = f"least({_cols(ds)})" if k > 1 else ds[0]
+        case = "CASE " + " ".join(f"WHEN {d} = {least} THEN {i}" for i, d in enumerate(ds)) + " END"
+        parts.append(f"SELECT {k} AS k, customer_id, {_cols(z)}, {case} AS c, {least} AS d FROM scaled")
+    return f"""WITH {SEGMENTED}, asg AS ({' UNION ALL '.join(parts)}),
+cost AS (SELECT k, sum(d) AS inertia FROM asg GROUP BY k),
+picked AS (SELECT customer_id FROM snap ORDER BY md5('42:' || CAST(customer_id AS VARCHAR)) LIMIT 10000),
+sm AS (SELECT asg.* FROM asg SEMI JOIN picked USING (customer_id)),
+pair AS (SELECT a.k, a.customer_id AS i, a.c AS own, b.c AS other, sum(sqrt({pair})) AS s, count(*) AS n
+  FROM sm a JOIN sm b ON a.k = b.k GROUP BY 1, 2, 3, 4),
+ab AS (SELECT k, i, max(CASE WHEN own = other THEN n END) AS size,
+  max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b
+  FROM pair GROUP BY k, i),
+sil AS (SELECT k, avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END) AS s, count(b) AS others
+  FROM ab GROUP BY k)
+SELECT CAST(k AS INTEGER) AS "K", round(inertia, 4) AS "Inertia",
+  CASE WHEN others > 0 THEN round(s, 6) END AS "SilhouetteScore" FROM cost JOIN sil USING (k)"""
+
+
 def _target_by_split() -> str:
     counts = _cols(f"count(*) FILTER (WHERE split = '{s}') AS {s}_count"
                    for s in ("train", "val", "test"))
@@ -583,6 +630,10 @@ SELECT count(*) AS n, round(avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greates
         f"WITH {LAB} SELECT {region} AS region, count(*) AS n, round(avg(y), 6) AS churn_rate "
         "FROM lab WHERE service_area IS NOT NULL GROUP BY 1")
     sql.update(round_trips.oracle_queries(SNAP, SPLIT, SCORE, NAMED, sql["metrics_long"]))
+    sql["formula_importance"] = _formula_importance()
+    sql["k_scan_fixed"] = _k_scan({k: CENTRES[:k] for k in range(1, len(CENTRES) + 1)})
+    sql["k_scan_one"] = _k_scan({1: [[None] * len(SEG)]})
+    sql.update(model_checks.oracle_queries(SNAP, SPLIT, _RARE, _GROUPED))
     return {k: sql[k] for k in Q.QUERIES if k in sql}
 
 

@@ -55,9 +55,8 @@ def train_and_select(prepared: Mapping[str, Prepared], folder: str,
     validation = models.score(bundle.model, done.part("val"), [key, LABEL])
     sinks.write_table(evaluation.threshold_sweep(validation, "p", LABEL),
                       f"{folder}/threshold_sweep")
-    sinks.write_table(importance.permutation_importance(
-        done.part("val"), done.features, LABEL, key,
-        lambda df, keep: models.score(bundle.model, df, keep), repeats),
+    sinks.write_table(importance.model_importance(
+        done.part("val"), done.features, LABEL, key, bundle.model, repeats),
         f"{folder}/permutation_importance")
 
     evaluate_once(done.part("test"), bundle, LABEL, f"{folder}/test_metrics", name)

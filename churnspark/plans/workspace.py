@@ -7,7 +7,7 @@ of repeating the joins, and a lost executor costs a re-read only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from hashlib import sha256
 
 from pyspark.ml import PipelineModel
@@ -18,7 +18,7 @@ from churnspark.contracts import SNAPSHOT
 from churnspark.functions.columns import encode_label
 from churnspark.operators import models
 from churnspark.operators.preparation import RARE_BELOW
-from churnspark.operators.segments import assign_segments, segments_with_centres
+from churnspark.operators.segments import assign_segments, fit_segments, segments_with_centres
 from churnspark.plans.prepare import LABEL, Prepared, prepare_variant, split_snapshot
 from churnspark.plans.serve import Bundle
 from churnspark.session import shared_folder
@@ -133,6 +133,11 @@ def segment_chain(spark: SparkSession, sf_dir: str) -> PipelineModel:
         snapshot(spark, sf_dir), ROLES.segment_features, CENTRES))
 
 
+def fitted_segments(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    return _once(spark, sf_dir, "fitted_segments", lambda: fit_segments(
+        snapshot(spark, sf_dir), ROLES.segment_features))
+
+
 def segmented(spark: SparkSession, sf_dir: str, keep_scaled: bool = False) -> DataFrame:
     return assign_segments(segment_chain(spark, sf_dir), snapshot(spark, sf_dir),
                            ROLES.segment_features, keep_scaled=keep_scaled)
@@ -146,11 +151,12 @@ def _sigmoid(x):
     return F.round(1 / (1 + F.exp(-x)), 6)
 
 
-def equipment_scores(df: DataFrame) -> DataFrame:
+def equipment_scores(df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
     days, tenure = F.col("current_equipment_days"), F.col("months_in_service")
     x = (F.lit(-0.4) + F.lit(0.004) * (days - 240) - F.lit(0.02) * (tenure - 64)
          + F.lit(0.1) * (F.col("customer_care_calls") - 3))
-    return df.select(ROLES.id, encode_label(ROLES.target).alias("y"), _sigmoid(x).alias("p"))
+    kept = [ROLES.id, encode_label(ROLES.target).alias("y")] if keep is None else keep
+    return df.select(*kept, _sigmoid(x).alias("p"))
 
 
 def formula_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Models, serving, streaming and segments on small fits."""
 
+import hashlib
 import itertools
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from churnspark.contracts import SNAPSHOT
 from churnspark.functions import columns as C
 from churnspark.functions.playbook import GRADE_ACTION
-from churnspark.operators import evaluation, importance, models, segments
+from churnspark.operators import certificates, evaluation, importance, models, segments, trees
 from churnspark.plans import serve
 from churnspark.plans import workspace as W
 from churnspark.plans.prepare import LABEL
@@ -34,24 +35,131 @@ def bundle(done):
     return serve.Bundle(model, 0.5, done.features).check()
 
 
+def noisy(spark, n=900, seed=0):
+    """Two features, one with a signal that takes several rounds to learn."""
+    rng = np.random.default_rng(seed)
+    pdf = pd.DataFrame({"id": np.arange(n), "a": rng.normal(size=n), "b": rng.normal(size=n)})
+    pdf["y"] = ((np.sin(3 * pdf.a) + pdf.b ** 2 + rng.normal(size=n)) > 1).astype(int)
+    return spark.createDataFrame(pdf).repartition(1).cache()
+
+
+def boosted(df, **settings):
+    settings = models.ModelSettings(**{"boosting_rounds": 60, "boosting_depth": 2,
+                                       "boosting_rate": 0.3, **settings})
+    model = models.fit_model(models.BOOSTING, df, ["a", "b"], "y", "id", settings)
+    return model, settings
+
+
 def test_early_boosting_is_the_plain_fit_cut_short(spark):
-    """The stopped model predicts like a plain fit of the same rows and number of rounds."""
-    rng = np.random.default_rng(0)
-    pdf = pd.DataFrame({"id": np.arange(600), "a": rng.normal(size=600), "b": rng.normal(size=600)})
-    pdf["y"] = ((pdf.a + rng.normal(size=600)) > 0).astype(int)
-    df = spark.createDataFrame(pdf).repartition(1).cache()
-    settings = models.ModelSettings(boosting_rounds=60, boosting_depth=2, boosting_rate=0.3)
-    early = models.fit_model(models.BOOSTING, df, ["a", "b"], "y", "id", settings).stages[-1]
-    rounds = early.getNumTrees
-    assert 1 <= rounds < 60
-    rest = models.with_weights(df, "y", "id", settings).where("NOT holdout")
-    vectors = models.Assemble(inputCols=["a", "b"]).transform(rest).cache()
-    plain = models.boosting("y", models.ModelSettings(
-        boosting_rounds=rounds, boosting_depth=2, boosting_rate=0.3, early_stopping=False))
-    want = plain.fit(vectors).transform(vectors).select("id", models.probability().alias("q"))
-    got = early.transform(vectors).select("id", models.probability().alias("p"))
-    far = got.join(want, "id").selectExpr("max(abs(p - q))").first()[0]
-    assert far < 1e-9
+    """The stopped model predicts like a plain fit of the same rows and number of rounds, and its
+    losses are those of plain fits of as many rounds."""
+    df = noisy(spark)
+    model, settings = boosted(df, first_rounds=4)
+    early, kept = model.stages[-2], model.stages[-1]
+    assert 1 <= early.getNumTrees == kept.getRounds() < 60
+    assert len(kept.getLosses()) == kept.getRounds() + 1
+    marked = models.Assemble(inputCols=["a", "b"]).transform(
+        models.with_weights(df, "y", "id", settings)).cache()
+    rest = marked.where("NOT holdout")
+    plain = models.boosting("y", settings, kept.getRounds()).fit(rest)
+    want = plain.transform(rest).select("id", models.probability().alias("q"))
+    got = early.transform(rest).select("id", models.probability().alias("p"))
+    assert got.join(want, "id").selectExpr("max(abs(p - q))").first()[0] < 1e-9
+    for rounds in (1, 3, kept.getRounds()):
+        part = trees.some_trees(early, range(rounds)).transform(marked.where("holdout")).select(
+            "y", "boost_weight", models.probability().alias("p")).toPandas()
+        loss = -2 * np.log(np.where(part.y == 1, part.p, 1 - part.p))
+        assert np.average(loss, weights=part.boost_weight) == pytest.approx(
+            kept.getLosses()[rounds], abs=1e-9)
+
+
+def test_patience_goes_on_where_one_round_would_stop(spark):
+    df = noisy(spark, seed=3)
+    long, _ = boosted(df, boosting_rate=0.6, boosting_rounds=40)
+    short, _ = boosted(df, boosting_rate=0.6, boosting_rounds=40, stop_patience=1)
+    a, b = long.stages[-1].getLosses(), short.stages[-1].getLosses()
+    assert len(a) > len(b) + 5 and a[:len(b)] == pytest.approx(b)
+    assert min(a) < min(b) - 1e-3
+
+
+def test_stop_rule():
+    assert trees.stop_round([5, 4, 3, 2], 2, 1e-7) is None
+    assert trees.stop_round([5, 4, 4, 4], 2, 1e-7) == 3
+    assert trees.stop_round([5, 4, 4.5, 3, 3.5, 3.2, 3.1], 2, 1e-7) == 5
+    assert trees.stop_round([5, 5 - 1e-8, 5 - 2e-8], 2, 1e-7) == 2
+    assert trees.stop_round([], 10, 1e-7) is None
+
+
+def test_losses_are_stored_with_the_bundle(spark, tmp_path):
+    df = noisy(spark, 400)
+    model, _ = boosted(df, boosting_rounds=5)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m"))
+    assert again.stages[-1].getLosses() == model.stages[-1].getLosses()
+    a, b = (models.score(m, df, ["id"]).orderBy("id").collect() for m in (model, again))
+    assert a == b
+
+
+def test_without_holdout_rows_all_rounds_are_kept(spark):
+    df = noisy(spark, 300)
+    model, _ = boosted(df, boosting_rounds=4, holdout_share=0.0)
+    assert model.stages[-1].getRounds() == 4 and model.stages[-1].getLosses() == []
+
+
+def test_forest_votes_with_trees_of_their_own_bootstraps(spark):
+    df = noisy(spark, 500)
+    settings = models.ModelSettings(forest_trees=6, forest_depth=4)
+    model = models.fit_model(models.FOREST, df, ["a", "b"], "y", "id", settings)
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 6
+    rows = certificates.forest_leaves(model, df, "y", "id", settings).collect()
+    assert len(rows) == 12 and all(r.n_bad_leaves == r.n_small_leaves == 0 for r in rows)
+    ids = df.select("id").toPandas()["id"]
+    for tree in (0, 5):
+        u = [int(hashlib.md5(f"forest42:{tree}:{i}".encode()).hexdigest()[:8], 16) / 2 ** 32
+             for i in ids]
+        drawn = np.searchsorted(trees.POISSON, u, side="right")
+        assert sum(r.n_draws for r in rows if r.tree == tree) == drawn.sum()
+    vector = models.Assemble(inputCols=["a", "b"]).transform(df)
+    votes = [t.transform(vector.select("id", "features")).select(
+        "id", models.probability().alias("p")).toPandas().set_index("id").p for t in forest.trees]
+    got = models.score(model, df, ["id"]).toPandas().set_index("id").p
+    assert np.allclose(got, sum(votes) / 6)
+
+
+def test_tree_index_gives_the_same_importance(spark):
+    df = noisy(spark, 600).withColumn("c", F.lit(1.0)).withColumn("d", F.col("id") % 5 * 1.0)
+    features = ["a", "b", "c", "d"]
+    settings = models.ModelSettings(boosting_rounds=6, boosting_depth=3, early_stopping=False)
+    model = models.fit_model(models.BOOSTING, df, features, "y", "id", settings)
+    want = {r.feature: r for r in importance.permutation_importance(
+        df, features, "y", "id", lambda t, keep: models.score(model, t, keep)).collect()}
+    got = importance.boosted_importance(df, features, "y", "id", model).collect()
+    assert {r.feature for r in got} == set(features) == set(want)
+    for r in got:
+        assert r.importance_mean == pytest.approx(want[r.feature].importance_mean, abs=1e-6)
+        assert r.importance_std == pytest.approx(want[r.feature].importance_std, abs=1e-6)
+    unused = [r for r in got if r.feature == "c"]
+    assert unused[0].importance_mean == unused[0].importance_std == 0.0
+
+
+def test_a_wrong_model_fails_its_certificate(spark):
+    """Certificates must see a model that was fitted on other rows."""
+    df = noisy(spark, 500)
+    other = df.withColumn("y", 1 - F.col("y"))
+    tree = models.fit_model(models.TREE, df, ["a", "b"], "y", "id")
+    marked = models.with_weights(other, "y", "id")
+    assert certificates.tree_leaves(tree, marked, "y", "balanced_weight", 20).first().n_bad_leaves
+    logistic = models.fit_model(models.LOGISTIC, df, ["a", "b"], "y", "id")
+    size = "max(abs(gradient))"
+    for rows, small in ((models.with_weights(df, "y", "id"), True), (marked, False)):
+        found = certificates.logistic_gradient(logistic, rows, "y", "balanced_weight")
+        assert (found.selectExpr(size).first()[0] < 5e-5) == small
+    model, settings = boosted(df, boosting_rounds=3)
+    for rows, bad in ((df, False), (other, True)):
+        rest = models.with_weights(rows, "y", "id", settings).where("NOT holdout")
+        found = certificates.boosted_leaves(model, rest, "y", "boost_weight")
+        assert (found.selectExpr("sum(n_bad_leaves)").first()[0] > 0) == bad
 
 
 def test_fits_use_a_bounded_sample(spark):
