@@ -5,32 +5,34 @@ one of the segments unchanged, at a place that its length and the segment's rank
 starts. Segments go into an index by length, rank and content; the other line's substrings at
 those starts probe it; pairs that meet are verified by a banded bit-parallel edit distance.
 
-Long lines may differ by a share of their characters. There the stretches that the edits leave
-untouched are cut by content: of every few neighbouring grams the one of lowest hash is a key.
+The edits allowed grow with the shorter line, in classes of length (``CLASSES``).
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import stored
 from churnspark.llm.components import components
 
-EDITS = 2
-#: Shorter lines (in characters) are left alone, unless a smaller limit is given. Then those
-#: that hold a word take part: from TINY characters on with one edit, below only if equal.
-MIN_CHARS = 20
-TINY = 8
+#: (from this length, below that length, edits). Two edits from 20 characters on and one more at
+#: 400 and at every fourfold length; the number of probes grows with the cube of the edits.
+CLASSES = ((8, 20, 1), (20, 400, 2), (400, 1600, 3), (1600, 6400, 4), (6400, 25_600, 5),
+           (25_600, 102_400, 6), (102_400, 409_600, 7), (409_600, None, 8))
+#: Lines below so many characters take part only if they hold a letter or digit.
+SHORT = 20
 A_WORD = r"[\p{L}\p{N}]"
-#: With a growing threshold, lines from LONG characters on may differ by one edit for so many.
-PER_CHARS = 20
-LONG = 80
-#: n div 20 edits leave a stretch of 16 characters of such a line: five neighbouring grams of 12.
-GRAM = 12
-WINDOW = 5
-#: Places of grams are compared in steps of so many characters.
-STEP = 32
+
+Classes = Sequence[tuple[int, int | None, int]]
+
+
+def fixed(edits: int, least: int) -> Classes:
+    """The same number of edits for all lines of at least so many characters."""
+    return ((least, None, edits),)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -43,9 +45,11 @@ def _rows(docs: DataFrame) -> DataFrame:
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, doc_hash, at, line, id, n: every line of enough characters, which must hold a word
     if it is short; id, a hash of 63 bits, names its content."""
-    return (_rows(docs).select("doc_id", "doc_hash", F.posexplode("lines").alias("at", "line"))
-            .withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
-            .where((F.col("n") >= MIN_CHARS) | F.col("line").rlike(A_WORD))
+    # The length is taken before the lines are dealt out, or every later use would count anew.
+    sized = F.transform("lines", lambda x: F.struct(x.alias("line"), F.length(x).alias("n")))
+    return (_rows(docs).select("doc_id", "doc_hash", F.posexplode(sized).alias("at", "e"))
+            .select("doc_id", "doc_hash", "at", "e.line", "e.n").where(F.col("n") >= min_chars)
+            .where((F.col("n") >= SHORT) | F.col("line").rlike(A_WORD))
             .withColumn("id", F.call_function("shiftrightunsigned", F.xxhash64("line"), F.lit(1))))
 
 
@@ -60,32 +64,49 @@ def probe_places(edits: int) -> list[tuple[int, int, int]]:
             for shift in range(max(-i, longer - (edits - i)), min(i, longer + edits - i) + 1)]
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment i of a line of that length; the last take the rest."""
-    size = F.floor(length / (edits + 1))
-    short = F.lit(edits + 1) - length % (edits + 1)
-    return (i * size + F.greatest(F.lit(0), i - short),
-            size + F.when(F.lit(i) >= short, 1).otherwise(0))
-
-
-def _keys(lines: DataFrame, edits: int) -> DataFrame:
+def _places(classes: Classes, at: int) -> list[tuple[int, ...]]:
+    """(edits, from, below, difference, segment, shift, probe) of what a line of class ``at`` puts
+    in: its own segments, and substrings for lines of its class and of the one below it."""
+    top = (1 << 31) - 1
+    out = []
+    for i in range(max(0, at - 1), at + 1):
+        low, high, edits = classes[i]
+        if i == at:
+            out += [(edits, low, high or top, 0, segment, 0, 0) for segment in range(edits + 1)]
+        out += [(edits, low, high or top, longer, segment, shift, 1)
+                for longer, segment, shift in probe_places(edits) if i == at or longer]
+    return out
+
+
+def _entry(line: Column, n: Column, place: Column) -> Column:
+    """(k, probe) for one place, null if the line has none there."""
+    parts, length = place["edits"] + 1, n - place["longer"]
+    size, rest = F.floor(length / parts).cast("int"), length % parts
+    long = place["segment"] >= parts - rest  # the last segments take what is left over
+    start = place["segment"] * size + F.greatest(F.lit(0), place["segment"] - (parts - rest))
+    at, size = start + place["shift"], size + F.when(long, 1).otherwise(0)
+    fits = (length >= place["low"]) & (length < place["high"]) & (at >= 0) & (at + size <= n)
+    return F.when(fits, F.struct(
+        F.xxhash64(length, place["segment"], F.substr(line, at + 1, size)).alias("k"),
+        place["probe"].alias("probe")))
+
+
+def _keys(lines: DataFrame, classes: Classes) -> DataFrame:
     """(k, code): hashed segments of each line and hashed substrings that look for them.
 
     ``code`` is twice the line's id, one more for a substring that looks.
     """
-    n, line = F.col("n"), F.col("line")
-    found = []
-    for i in range(edits + 1):
-        start, size = _segment(n, i, edits)
-        found.append(F.struct(F.xxhash64(n, F.lit(i), F.substring(line, start + 1, size))
-                              .alias("k"), F.lit(0).alias("probe")))
-    for longer, i, shift in probe_places(edits):
-        start, size = _segment(n - longer, i, edits)
-        at = start + shift
-        found.append(F.when((at >= 0) & (at + size <= n), F.struct(
-            F.xxhash64(n - longer, F.lit(i), F.substring(line, at + 1, size)).alias("k"),
-            F.lit(1).alias("probe"))))
-    return (lines.select("id", F.explode(F.array(*found)).alias("e")).where("e IS NOT NULL")
+    names = ("edits", "low", "high", "longer", "segment", "shift", "probe")
+    kind = "array<struct<" + ",".join(f"{c}:int" for c in names) + ">>"
+    wanted = None
+    for i, (low, high, _) in enumerate(classes):
+        table = F.from_json(F.lit(json.dumps([
+            dict(zip(names, place, strict=True)) for place in _places(classes, i)])), kind)
+        own = (F.col("n") >= low) & (F.lit(True) if high is None else F.col("n") < high)
+        wanted = F.when(own, table) if wanted is None else wanted.when(own, table)
+    found = F.filter(F.transform(wanted, lambda p: _entry(F.col("line"), F.col("n"), p)),
+                     lambda e: e.isNotNull())
+    return (lines.select("id", F.explode(found).alias("e"))
             .select("e.k", F.call_function("shiftleft", F.col("id"), F.lit(1))
                     .bitwiseOR(F.col("e.probe").cast("long")).alias("code")))
 
@@ -169,12 +190,27 @@ def _wrapping_add(a: Column, b: Column) -> Column:
                 .bitwiseOR(v["s"].bitwiseAND(low)))
 
 
-def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(u, v): ids of different lines within ``edits``; ``lines`` has line, id and n."""
-    kinds = lines.groupBy("id", "line", "n").agg(F.count("*").alias("copies"))
+def edits_of(n: Column, classes: Classes) -> Column:
+    """Edits that a line of n characters allows; null below the first class."""
+    out = None
+    for low, high, edits in classes:
+        own = (n >= low) & (F.lit(True) if high is None else n < high)
+        out = F.when(own, edits) if out is None else out.when(own, edits)
+    return out
+
+
+def near_lines(lines: DataFrame, classes: Classes = CLASSES) -> DataFrame:
+    """(u, v): ids of different lines within the edits of the shorter one, u the shorter one (of
+    equal lengths, both orders); ``lines`` has line, id and n.
+
+    Equal lines are collapsed before they give keys. Keys that only one line holds, or that nobody
+    looks for, go in the shuffle's reduce side; texts are read again for the lines that are left.
+    """
+    usual = lines.where(F.col("n") >= classes[0][0])
+    kinds = usual.groupBy("id", "line", "n").agg(F.count("*").alias("copies"))
     one, probe = Window.partitionBy("k"), F.col("code").bitwiseAND(F.lit(1)) != 0
     ident = F.call_function("shiftrightunsigned", F.col("code"), F.lit(1))
-    met = (_keys(kinds, edits).withColumn("id", ident).withColumn("probe", probe)
+    met = (_keys(kinds, classes).withColumn("id", ident).withColumn("probe", probe)
            .withColumn("low", F.min("id").over(one)).withColumn("high", F.max("id").over(one))
            .withColumn("asked", F.max("probe").over(one))
            .withColumn("held", F.min("probe").over(one))
@@ -182,94 +218,40 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     met = stored(met, "line-keys")
     wanted = met.select("id").distinct()
     chars = F.filter(F.split("line", ""), lambda c: c != "")
-    texts = stored(lines.select("id", "line").join(wanted, "id", "left_semi")
-                   .groupBy("id", "line").agg(F.count("*").alias("copies"))
-                   .select("id", chars.alias("chars"), signature(chars).alias("bits")),
+    texts = stored(lines.select("id", "line", "n").join(wanted, "id", "left_semi")
+                   .groupBy("id", "line", "n").agg(F.count("*").alias("copies"))
+                   .select("id", "n", chars.alias("chars"), signature(chars).alias("bits")),
                    "line-texts")
-    known = met.join(texts.select("id", "bits"), "id")
-    held = known.where("NOT probe").select("k", F.col("id").alias("u"), F.col("bits").alias("bu"))
+    known = met.join(texts.select("id", "n", "bits"), "id")
+    held = known.where("NOT probe").select("k", F.col("id").alias("u"), F.col("bits").alias("bu"),
+                                           edits_of(F.col("n"), classes).alias("edits"))
     asked = known.where("probe").select("k", F.col("id").alias("v"), F.col("bits").alias("bv"))
-    close = F.bit_count(F.col("bu").bitwiseXOR(F.col("bv"))) <= 4 * edits
-    pairs = (held.join(asked, (held.k == asked.k) & (held.u != asked.v) & close)
-             .select("u", "v").distinct())
+    close = F.bit_count(F.col("bu").bitwiseXOR(F.col("bv"))) <= 4 * F.col("edits")
+    pairs = stored(held.join(asked, (held.k == asked.k) & (held.u != asked.v) & close)
+                   .select("u", "v", "edits").distinct(), "line-pairs")
     # The characters come from the stored table: an expression for them would be evaluated again
     # in every step of the distance once the filter below is pushed under it.
     both = (pairs.join(texts.select(F.col("id").alias("u"), F.col("chars").alias("shorter")), "u")
             .join(texts.select(F.col("id").alias("v"), F.col("chars").alias("longer")), "v"))
-    # Probes come from the line that is not the shorter one.
-    return (both.withColumn("distance", edit_distance(F.col("longer"), F.col("shorter"), edits))
-            .where(F.col("distance") <= edits).select("u", "v"))
-
-
-def _grams(line: Column, n: Column) -> Column:
-    """(k, at) of the grams that are lowest among some neighbours; at is the place in steps."""
-    grams = F.transform(F.sequence(F.lit(1), n - GRAM + 1), lambda i: F.struct(
-        F.xxhash64(F.substring(line, i, GRAM)).alias("k"), F.floor(i / STEP).cast("int").alias("at")))
-    lowest = _let(grams, lambda g: F.transform(
-        F.sequence(F.lit(1), F.size(g) - WINDOW + 1), lambda j: F.array_min(F.slice(g, j, WINDOW))))
-    return _let(lowest, lambda m: F.filter(
-        m, lambda x, j: (j == 0) | ~x.eqNullSafe(F.get(m, j - 1))))
+    within = None  # probes come from the line that is not the shorter one
+    for edits in sorted({c[2] for c in classes}):
+        distance = edit_distance(F.col("longer"), F.col("shorter"), edits)
+        own = F.col("edits") == edits
+        within = F.when(own, distance) if within is None else within.when(own, distance)
+    return both.where(within <= F.col("edits")).select("u", "v")
 
 
-def near_long_lines(lines: DataFrame) -> DataFrame:
-    """(u, v): ids of different lines of ``LONG`` characters or more whose edit distance is a
-    twentieth of the shorter one's characters at most; ``lines`` has line, id and n.
-
-    Exact: a common stretch of 16 characters has the same lowest gram in both lines, and lies as
-    many characters apart in them as there are edits at most.
-    """
-    long = lines.where(F.col("n") >= LONG)
-    kinds = long.groupBy("id", "line", "n").agg(F.count("*").alias("copies"))
-    one = Window.partitionBy("k")
-    met = stored(
-        kinds.select("id", "n", F.explode(_grams(F.col("line"), F.col("n"))).alias("e"))
-        .select("e.k", "id", "n", "e.at")
-        .withColumn("low", F.min("id").over(one)).withColumn("high", F.max("id").over(one))
-        .where("low <> high").select("k", "id", "n", "at"), "gram-keys")
-    short = met.select("k", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("au"))
-    other = met.select("k", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("av"))
-    edits = F.floor(F.col("nu") / PER_CHARS).cast("int")
-    pairs = stored(short.join(other, (short.k == other.k) & (
-        (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v"))))
-        & (F.col("nv") - F.col("nu") <= edits)
-        & (F.abs(F.col("au") - F.col("av")) <= F.floor(edits / STEP) + 1))
-        .select("u", "v", edits.alias("edits")).distinct(), "line-pairs")
-    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    texts = stored(long.select("id", "line").join(wanted, "id", "left_semi")
-                   .groupBy("id", "line").agg(F.count("*").alias("copies")).select("id", "line"),
-                   "line-texts")
-    both = (pairs.join(texts.toDF("u", "line_u"), "u").join(texts.toDF("v", "line_v"), "v"))
-    return both.where(F.call_function("levenshtein", "line_u", "line_v", "edits") >= 0).select(
-        "u", "v")
-
-
-def _links(lines: DataFrame, edits: int, min_chars: int, growing: bool) -> DataFrame:
-    """(u, v) by a fixed number of edits, or by one that grows with the shorter line; lines below
-    ``MIN_CHARS`` have one at most."""
-    n = F.col("n")
-    usual = lines.where(n >= MIN_CHARS)
-    if growing:
-        links = (near_lines(usual.where(n < LONG + edits), edits).union(near_long_lines(usual)))
-    else:
-        links = near_lines(usual, edits)
-    if min_chars < MIN_CHARS:
-        short = lines.where((n >= TINY) & (n <= MIN_CHARS))
-        links = links.union(near_lines(short, min(1, edits)))
-    return links
-
-
-def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
-                   growing: bool = False) -> DataFrame:
+def repeated_lines(docs: DataFrame, classes: Classes = CLASSES, min_chars: int = 1) -> DataFrame:
     """doc_id, doc_hash, at: lines that go, being near-duplicates of an earlier line.
 
-    Lines reachable by steps of ``edits`` edits or fewer (``growing``: of a twentieth of the
-    characters from 80 characters on) are one group; its first line, by
-    doc_id, a hash of the text, and line number, stays. Null doc_ids come first. Repeated rows of
+    Lines reachable by steps of the allowed edits or fewer are one group; its first line, by
+    doc_id, a hash of the text, and line number, stays. Lines below the first class are compared
+    for equality only; those below ``min_chars``, and those below ``SHORT`` without a letter or
+    digit, are left alone. Null doc_ids come first. Repeated rows of
     one doc_id and text are one document, whose lines go or stay in all of them.
     """
     lines = _lines(docs, min_chars)
-    links = stored(_links(lines, edits, min_chars, growing), "line-links")
-    roots = components(links)
+    roots = components(stored(near_lines(lines, classes), "line-links"))
     place = F.struct("doc_id", "doc_hash", "at")
     firsts = lines.groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     firsts = stored(firsts, "line-firsts")
@@ -282,19 +264,18 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHA
             .select("doc_id", "doc_hash", "at").distinct())
 
 
-def _removed(docs: DataFrame, edits: int, min_chars: int, growing: bool) -> DataFrame:
-    return (repeated_lines(docs, edits, min_chars, growing).groupBy("doc_id", "doc_hash")
+def _removed(docs: DataFrame, classes: Classes, min_chars: int) -> DataFrame:
+    return (repeated_lines(docs, classes, min_chars).groupBy("doc_id", "doc_hash")
             .agg(F.sort_array(F.collect_list("at")).alias("removed")))
 
 
-def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
-                growing: bool = False) -> DataFrame:
+def line_report(docs: DataFrame, classes: Classes = CLASSES, min_chars: int = 1) -> DataFrame:
     """doc_id, n_lines, n_removed, removed (line numbers from 0) of each document.
 
     Null and empty texts have one empty line, which stays. One row for each input row. Other
     columns are ignored.
     """
-    gone = _removed(docs, edits, min_chars, growing)
+    gone = _removed(docs, classes, min_chars)
     rows = _rows(docs).select("doc_id", "doc_hash", F.size("lines").cast("long").alias("n_lines"))
     same = (rows["doc_id"].eqNullSafe(gone["doc_id"])) & (rows["doc_hash"] == gone["doc_hash"])
     return rows.join(gone, same, "left").select(
@@ -302,12 +283,11 @@ def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
         .alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def drop_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
-               growing: bool = False) -> DataFrame:
+def drop_lines(docs: DataFrame, classes: Classes = CLASSES, min_chars: int = 1) -> DataFrame:
     """The documents, all columns, without the lines that go; n_chars follows if there is one."""
-    gone = _removed(docs, edits, min_chars, growing).select(
+    gone = _removed(docs, classes, min_chars).select(
         F.col("doc_id").alias("gone_id"), F.col("doc_hash").alias("gone_hash"), "removed")
-    whole = docs.select(F.struct(*docs.columns).alias("doc"))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
     joined = whole.join(gone, F.col("doc.doc_id").eqNullSafe(F.col("gone_id")) & (
         F.xxhash64(F.coalesce("doc.text", F.lit(""))) == F.col("gone_hash")), "left")
     text = F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(F.concat_ws(

@@ -141,7 +141,7 @@ def ablation(entries: DataFrame, mask: int) -> DataFrame:
 
 def keep_documents(docs: DataFrame, version: int = CURRENT) -> DataFrame:
     """The documents (all their columns) that the policy keeps; every row is judged by itself."""
-    judged = docs.withColumn("doc_row", F.struct(*docs.columns))
+    judged = docs.withColumn("doc_row", F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
     # The condition names a column that is not deterministic, so that it is not pushed under the
     # measurements, which would then be evaluated again inside their own lambdas.
     entries = (apply_policy(ledger_of_rows(judged), POLICIES[version])

@@ -32,11 +32,15 @@ def edited(rng, line, edits, alphabet="abcdefghé "):
     return "".join(chars)
 
 
-def plain(rows, edits=2, least=20):
+def plain(rows, classes=line_dedup.CLASSES):
     """Rows of (doc_id, text), with distinct rows; the numbers of removed lines of each."""
     places = [(doc, i, line) for doc, text in rows
               for i, line in enumerate((text or "").split("\n"))]
-    kinds = sorted({p[2] for p in places if len(p[2]) >= least})
+
+    def counts(line):
+        return len(line) >= 20 or any(c.isalpha() or c.isdigit() for c in line)
+
+    kinds = sorted({p[2] for p in places if p[2] and counts(p[2])}, key=lambda k: (len(k), k))
     root = {k: k for k in kinds}
 
     def find(k):
@@ -44,13 +48,18 @@ def plain(rows, edits=2, least=20):
             k = root[k]
         return k
 
-    for a in kinds:
-        for b in kinds:
-            if a < b and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+    def edits(n):
+        return next((e for low, high, e in classes if low <= n and (high is None or n < high)), 0)
+
+    for i, a in enumerate(kinds):
+        for b in kinds[i + 1:]:
+            if len(b) - len(a) > edits(len(a)):
+                break
+            if edits(len(a)) and distance(a, b) <= edits(len(a)):
                 root[find(a)] = find(b)
     first, out = {}, {doc: [] for doc, _ in rows}
     for doc, i, line in sorted(places, key=lambda p: (p[0] is not None, p[0] or 0, p[1])):
-        if len(line) >= least:
+        if line in root:
             if find(line) in first:
                 out[doc].append(i)
             else:
@@ -97,7 +106,8 @@ def test_lines_equal_all_pairs(spark, odd_docs, no_docs):
         rows.append((doc, "\n".join([*lines, "short", ""])))
     rows += [(None, rows[0][1] + "\nmore"), (99, None), (98, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert tuples(line_dedup.line_report(docs)) == plain(rows)
+    for classes in (line_dedup.CLASSES, line_dedup.fixed(3, 20)):
+        assert tuples(line_dedup.line_report(docs, classes)) == plain(rows, classes)
     odd = line_dedup.line_report(odd_docs)
     assert odd.count() == odd_docs.count()
     assert line_dedup.line_report(no_docs).count() == 0
@@ -128,31 +138,52 @@ def spread(rng, line, edits):
     return "".join(chars)
 
 
-def test_long_lines_equal_all_pairs(spark):
-    rng, rows = random.Random(9), []
-    for _ in range(50):
-        base = "".join(rng.choices("abcdefghij é", k=rng.randrange(80, 400)))
-        edits = len(base) // 20
-        rows += [base, spread(rng, base, edits), spread(rng, base, edits + 2),
-                 base[:30] + "other words" + base[36:], edited(rng, base, edits)]
-    rows += ["x" * 500, "x" * 510, "ab " * 100, "ab " * 103]
+def linked(spark, rows, classes):
+    """Pairs of (id, line) by the join and by all pairs."""
     lines = spark.createDataFrame([(i, r, len(r)) for i, r in enumerate(rows)],
-                                  "id long, line string, n int")
-    a, b = lines.where("n >= 80").toDF("a", "la", "na"), lines.where("n >= 80").toDF("b", "lb", "nb")
-    want = {tuple(r) for r in a.join(b, F.expr(
-        "a < b AND abs(na - nb) <= 20 AND levenshtein(la, lb) <= least(na, nb) div 20"))
-        .select("a", "b").collect()}
-    got = [tuple(sorted(r)) for r in line_dedup.near_long_lines(lines).collect()]
-    assert set(got) == want and len(got) == len(want) > 100
+                                  "id long, line string, n int").cache()
+    a, b = lines.toDF("a", "la", "na"), lines.toDF("b", "lb", "nb")
+    most = max(c[2] for c in classes)
+    edits = line_dedup.edits_of(F.least("na", "nb"), classes)
+    want = {tuple(r) for r in a.join(b, F.expr(f"a < b AND abs(na - nb) <= {most}"))
+            .where(F.call_function("levenshtein", "la", "lb", edits) >= 0).select("a", "b").collect()}
+    got = {tuple(sorted(r)) for r in line_dedup.near_lines(lines, classes).collect()}
+    return got, want
+
+
+@pytest.mark.parametrize("classes,lengths", [
+    (line_dedup.fixed(4, 10), (12, 60)),
+    (((8, 14, 1), (14, 30, 2), (30, 60, 3), (60, None, 5)), (8, 80)),
+    (line_dedup.CLASSES, (370, 430)), (line_dedup.CLASSES, (1590, 1610))])
+def test_every_class_equals_all_pairs(spark, classes, lengths):
+    rng, rows = random.Random(lengths[0]), set()
+    for _ in range(25):
+        base = "".join(rng.choices("abcdefghij é", k=rng.randrange(*lengths)))
+        for e in range(1, 6):
+            rows |= {base, spread(rng, base, e), edited(rng, base, e)}
+    for n in range(lengths[0], min(lengths[0] + 12, lengths[1])):
+        rows |= {"x" * n, "ab " * (n // 3)}
+    got, want = linked(spark, sorted(rows), classes)
+    assert got == want and len(got) > 100
 
 
 def test_query_finds_a_replaced_word_in_a_long_line(spark, tmp_path):
-    words = "the quick brown fox jumps over a lazy dog while seven wise owls look on from the old tree"
-    rows = [(1, words + " and wait for the rain"), (2, words + " and hope for the rain"), (3, words[:60])]
+    """Four edits are within the limit of lines from 1,600 characters on, and none of shorter ones."""
+    words = " ".join(f"word{i}" for i in range(250))
+    rows = [(1, words + " and wait for the rain"), (2, words + " and hope for the rain"),
+            (3, words[:900] + " and wait for the rain"), (4, words[:900] + " and hope for the rain")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(
         f"{tmp_path}/documents.parquet")
     got = queries.QUERIES["op4_line_dedup"](spark, str(tmp_path))
-    assert tuples(got, "doc_id", "n_removed") == [(1, 0), (2, 1), (3, 0)]
+    assert tuples(got, "doc_id", "n_removed") == [(1, 0), (2, 1), (3, 0), (4, 0)]
+
+
+def test_a_column_with_a_dot(spark):
+    line = "a line of more than twenty characters"
+    docs = spark.createDataFrame([(1, line, 2), (2, line, 3)], "doc_id long, text string, `a.b` int")
+    kept = line_dedup.drop_lines(docs)
+    assert kept.columns == docs.columns
+    assert tuples(kept.toDF("a", "b", "c")) == [(1, line, 2), (2, "", 3)]
 
 
 def test_short_lines_that_hold_a_word(spark, tmp_path):
