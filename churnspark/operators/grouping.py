@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.functions.columns import HIGH, LOW, MID, risk_band
 from churnspark.operators.scale import rows_from_aggregates
 
-PAIRS_PER_PASS = 100
-
 
 def rate_by(df: DataFrame, category: str, label: Column) -> DataFrame:
     """Mean of a 0/1 label per category; rows without a category are left out."""
@@ -107,27 +106,74 @@ def correlation_with_target(df: DataFrame, columns: Sequence[str], label: str,
     return out if top is None else out.limit(top)
 
 
+def _merge(a: tuple, b: tuple) -> tuple:
+    """Co-moments of two sets of rows together: n, means, squares and products about the means.
+
+    All members are square matrices: entry (i, j) covers rows where columns i and j have values.
+    """
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    gap = b[1] - a[1]  # of the mean of i where j has a value
+    both = a[0] * share
+    return (n, a[1] + gap * share, a[2] + b[2] + gap ** 2 * both,
+            a[3] + b[3] + gap * gap.T * both)
+
+
+def _co_moments(x: np.ndarray) -> tuple:
+    """Co-moments of one block; absent values are NaN."""
+    mask = ~np.isnan(x)
+    count = np.maximum(mask.sum(axis=0), 1)
+    centre = np.where(mask, x, 0.0).sum(axis=0) / count
+    y, m = np.where(mask, x - centre, 0.0), mask.astype(float)
+    n = m.T @ m
+    some = np.maximum(n, 1.0)
+    sums = y.T @ m
+    return (n, centre[:, None] + sums / some, (y ** 2).T @ m - sums ** 2 / some,
+            y.T @ y - sums * sums.T / some)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairs in long form, pairwise complete.
+    """All pairs in long form, pairwise complete; NaN counts as no value.
 
-    Aggregates of ``PAIRS_PER_PASS`` pairs at a time: no row is multiplied, and the generated
-    code stays small however many columns there are.
+    One scan whatever the width: a task keeps masked co-moments of all pairs in four square
+    matrices, merges its blocks into them, and sends one row per pair. A column without spread has
+    no correlation.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    parts = []
-    for at in range(0, len(pairs), PAIRS_PER_PASS):
-        some = pairs[at:at + PAIRS_PER_PASS]
-        row = df.agg(*[F.round(F.corr(F.col(a).cast("double"), F.col(b).cast("double")), 6)
-                       .alias(f"r{k}") for k, (a, b) in enumerate(some)])
-        parts.append(row.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{k}").alias("r"))
-            for k, (a, b) in enumerate(some)]))))
-    half = reduce(DataFrame.unionAll, parts)
-    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
-        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    return half.select("r", F.explode(both).alias("p")).select(
-        F.col("p.a").alias("column_a"), F.col("p.b").alias("column_b"),
-        F.col("r").alias("correlation"))
+    names = list(columns)
+    width = len(names)
+
+    def run(batches):
+        total = tuple(np.zeros((width, width)) for _ in range(4))
+        for batch in batches:
+            if batch.num_rows:
+                block = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                total = _merge(total, _co_moments(block.astype(float)))
+        i, j = np.triu_indices(width)
+        n, mean, square, product = total
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v) for v in (i.astype(np.int32), j.astype(np.int32), n[i, j], mean[i, j],
+                                   mean[j, i], square[i, j], square[j, i], product[i, j])],
+            ["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    parts = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(names)]) \
+        .mapInArrow(run, "i int, j int, n double, x double, y double, xx double, yy double, "
+                         "xy double").where("n > 0")
+    pair = Window.partitionBy("i", "j")  # a row per task
+    rows = parts.withColumns({
+        "mx": F.sum(F.col("n") * F.col("x")).over(pair) / F.sum("n").over(pair),
+        "my": F.sum(F.col("n") * F.col("y")).over(pair) / F.sum("n").over(pair)})
+    dx, dy = F.col("x") - F.col("mx"), F.col("y") - F.col("my")
+    sums = rows.groupBy("i", "j").agg(F.sum(F.col("xx") + F.col("n") * dx * dx).alias("xx"),
+                                      F.sum(F.col("yy") + F.col("n") * dy * dy).alias("yy"),
+                                      F.sum(F.col("xy") + F.col("n") * dx * dy).alias("xy"))
+    r = F.when((F.col("xx") > 0) & (F.col("yy") > 0),
+               F.col("xy") / F.sqrt(F.col("xx")) / F.sqrt(F.col("yy")))
+    grid = df.sparkSession.createDataFrame(
+        [(a, b, min(i, j), max(i, j)) for i, a in enumerate(names) for j, b in enumerate(names)],
+        "column_a string, column_b string, i int, j int")
+    found = sums.select("i", "j", F.round(F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)), 6)
+                        .alias("correlation"))
+    return grid.join(found, ["i", "j"], "left").select("column_a", "column_b", "correlation")
 
 
 def scaling_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:

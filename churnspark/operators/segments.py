@@ -328,14 +328,22 @@ def scan_k(scaled: DataFrame, features: Sequence[str], key: str, ks: Sequence[in
 
 
 def project_2d(scaled: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """First two principal components of the scaled columns, plus explained variance."""
+    """First two principal components of the scaled columns, plus explained variance.
+
+    A component is turned so that its largest loading (the first of equal ones) is positive.
+    """
     assembled = VectorAssembler(inputCols=[_z(c) for c in features], outputCol="_v") \
         .transform(scaled)
     model = PCA(k=2, inputCol="_v", outputCol="_pc").fit(assembled)
     explained = float(sum(model.explainedVariance))
+    loadings = model.pc.toArray()
+    size = np.abs(loadings)
+    first = (size >= size.max(axis=0) - 1e-9).argmax(axis=0)
+    turn = [1.0 if loadings[at, i] >= 0 else -1.0 for i, at in enumerate(first)]
     pc = vector_to_array("_pc")
     return model.transform(assembled).select(
-        *keep, pc[0].alias("PC1"), pc[1].alias("PC2"), F.lit(explained).alias("explained_variance"))
+        *keep, (pc[0] * turn[0]).alias("PC1"), (pc[1] * turn[1]).alias("PC2"),
+        F.lit(explained).alias("explained_variance"))
 
 
 def segment_state(model: PipelineModel) -> dict[str, dict[str, float]]:

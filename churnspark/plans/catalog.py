@@ -675,7 +675,7 @@ def feature_names(spark, sf):
     stats = grouping.scaling_check(done.part("train"), done.features)
     order = {name: i for i, name in enumerate(done.features, 1)}
     return stats.select(C.map_values("column_name", order).alias("position"), "column_name",
-                        "mean", "std")
+                        (F.col("mean") + 0.0).alias("mean"), (F.col("std") + 0.0).alias("std"))
 
 
 @query

@@ -9,7 +9,7 @@ from churnspark.functions import playbook
 from churnspark.functions.columns import HIGH, LOW, MID
 from churnspark.operators import segments
 from churnspark.plans import catalog as Q
-from churnspark.plans import model_checks, round_trips
+from churnspark.plans import model_checks, round_trips, serving_checks
 from churnspark.plans.workspace import CENTRES, RARE_MIN, ROLES
 
 SEG = list(ROLES.segment_features)
@@ -633,6 +633,9 @@ SELECT count(*) AS n, round(avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greates
     sql["formula_importance"] = _formula_importance()
     sql["k_scan_fixed"] = _k_scan({k: CENTRES[:k] for k in range(1, len(CENTRES) + 1)})
     sql["k_scan_one"] = _k_scan({1: [[None] * len(SEG)]})
+    actions = ", ".join(f"({_text(k)}, {_text(v)})" for k, v in playbook.GRADE_ACTION.items())
+    sql.update(serving_checks.oracle_queries(SPLIT, _RARE, _GROUPED, SEGMENTED, _GRADE, actions,
+                                             _metrics))
     sql.update(model_checks.oracle_queries(SNAP, SPLIT, _RARE, _GROUPED))
     return {k: sql[k] for k in Q.QUERIES if k in sql}
 

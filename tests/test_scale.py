@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnspark.functions.columns import hash_order
+from churnspark.operators import grouping
 from churnspark.operators.evaluation import gain_at, gain_curve, ranked_scores, roc_curve
 from churnspark.operators.scale import exact_quantiles, hash_cutoffs, prefix_sum
 from churnspark.operators.splitting import allocate, seeded_sample, stratified_split
@@ -134,3 +135,29 @@ def test_reduced_roc_keeps_the_curve(scores):
     full = {(r.fpr, r.tpr) for r in roc_curve(df, "p", "y").collect()}
     less = {(r.fpr, r.tpr) for r in roc_curve(df, "p", "y", True, rows_per_bucket=10).collect()}
     assert less <= full and (0.0, 0.0) in less and (1.0, 1.0) in less
+
+
+def test_co_moments_of_blocks_merge(spark):
+    """Gaps in any pattern, a column without spread and one without values, large offsets."""
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame(rng.normal(size=(500, 4)), columns=list("abcd"))
+    pdf["b"] = pdf.a + pdf.b + 1e6
+    pdf["e"], pdf["f"] = 3.0, None
+    pdf = pdf.astype(float).mask(rng.random(pdf.shape) < 0.2)
+    names = list(pdf.columns)
+    table = grouping.correlation_matrix(spark.createDataFrame(pdf).repartition(5), names)
+    got = {(r.column_a, r.column_b): r.correlation for r in table.collect()}
+    want = pdf.corr()
+    assert len(got) == 36
+    for a in names:
+        for b in names:
+            if "e" in (a, b) or "f" in (a, b):
+                assert got[a, b] is None
+            else:
+                assert got[a, b] == pytest.approx(want.loc[a, b], abs=2e-6)
+
+
+def test_correlations_take_one_scan(spark):
+    wide = spark.range(50).select(*[F.sin(F.col("id") * i).alias(f"c{i}") for i in range(1, 40)])
+    plan = grouping.correlation_matrix(wide, wide.columns)._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Range (") == 1
