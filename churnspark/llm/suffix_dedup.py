@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnspark.llm.common import stored, texts_of
 from churnspark.llm.suffix_arrays import anchors, classes
@@ -306,11 +307,11 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(cut, pa.string())], ["doc", "cut"])
 
-    whole = docs.select(F.struct(*docs.columns).alias("doc"))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
     keyed = whole.withColumn("key", F.xxhash64(F.coalesce("doc.text", F.lit(""))))
     new = (keyed.join(_spans_by_text(docs, width), "key", "left")
            .select("doc", F.coalesce("doc.text", F.lit("")).alias("text"), "spans")
-           .mapInArrow(run, f"doc {whole.schema['doc'].dataType.simpleString()}, cut string"))
+           .mapInArrow(run, T.StructType([whole.schema["doc"], T.StructField("cut", T.StringType())])))
     text = F.coalesce("cut", "doc.text")
     return new.select(*(
         text.alias(c) if c == "text"

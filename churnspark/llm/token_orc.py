@@ -93,7 +93,9 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
         run, "doc_id long, file string, block long, within long, n_tokens long, ids_crc32 long")
     totals = (rows.select("n_tokens", file.alias("file"), block.alias("block"))
               .groupBy("file", "block").agg(F.sum("n_tokens").alias("total")))
-    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    # Files are numbered part-0, part-1 ...; as text, part-100000 would come before part-99999.
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    before = Window.orderBy(number, "block").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("file", "block", F.coalesce(F.sum("total").over(before), F.lit(0))
                           .alias("base"))
     return each.join(bases, ["file", "block"]).select(
