@@ -25,6 +25,8 @@ CLASSES = ((8, 20, 1), (20, 400, 2), (400, 1600, 3), (1600, 6400, 4), (6400, 25_
            (25_600, 102_400, 6), (102_400, 409_600, 7), (409_600, None, 8))
 #: Lines below so many characters take part only if they hold a letter or digit.
 SHORT = 20
+#: So many ids of lines (8 bytes each) are sent to all tasks; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 A_WORD = r"[\p{L}\p{N}]"
 
 Classes = Sequence[tuple[int, int | None, int]]
@@ -78,8 +80,9 @@ def _places(classes: Classes, at: int) -> list[tuple[int, ...]]:
     return out
 
 
-def _entry(line: Column, n: Column, place: Column) -> Column:
-    """(k, probe) for one place, null if the line has none there."""
+def _entry(wide: Column, n: Column, place: Column) -> Column:
+    """(k, probe) for one place, null if the line has none there; ``wide`` has four bytes for
+    each character, so that a substring is found without counting characters."""
     parts, length = place["edits"] + 1, n - place["longer"]
     size, rest = F.floor(length / parts).cast("int"), length % parts
     long = place["segment"] >= parts - rest  # the last segments take what is left over
@@ -87,7 +90,7 @@ def _entry(line: Column, n: Column, place: Column) -> Column:
     at, size = start + place["shift"], size + F.when(long, 1).otherwise(0)
     fits = (length >= place["low"]) & (length < place["high"]) & (at >= 0) & (at + size <= n)
     return F.when(fits, F.struct(
-        F.xxhash64(length, place["segment"], F.substr(line, at + 1, size)).alias("k"),
+        F.xxhash64(length, place["segment"], F.substr(wide, at * 4 + 1, size * 4)).alias("k"),
         place["probe"].alias("probe")))
 
 
@@ -104,9 +107,10 @@ def _keys(lines: DataFrame, classes: Classes) -> DataFrame:
             dict(zip(names, place, strict=True)) for place in _places(classes, i)])), kind)
         own = (F.col("n") >= low) & (F.lit(True) if high is None else F.col("n") < high)
         wanted = F.when(own, table) if wanted is None else wanted.when(own, table)
-    found = F.filter(F.transform(wanted, lambda p: _entry(F.col("line"), F.col("n"), p)),
+    found = F.filter(F.transform(wanted, lambda p: _entry(F.col("wide"), F.col("n"), p)),
                      lambda e: e.isNotNull())
-    return (lines.select("id", F.explode(found).alias("e"))
+    return (lines.select("id", "n", F.encode("line", "UTF-32").alias("wide"))
+            .select("id", F.explode(found).alias("e"))
             .select("e.k", F.call_function("shiftleft", F.col("id"), F.lit(1))
                     .bitwiseOR(F.col("e.probe").cast("long")).alias("code")))
 
@@ -216,7 +220,9 @@ def near_lines(lines: DataFrame, classes: Classes = CLASSES) -> DataFrame:
            .withColumn("held", F.min("probe").over(one))
            .where("low <> high AND asked AND NOT held").select("k", "id", "probe"))
     met = stored(met, "line-keys")
-    wanted = met.select("id").distinct()
+    wanted = stored(met.select("id").distinct(), "line-wanted")
+    if wanted.count() <= BROADCAST_IDS:  # else both sides are shuffled
+        wanted = F.broadcast(wanted)
     chars = F.filter(F.split("line", ""), lambda c: c != "")
     texts = stored(lines.select("id", "line", "n").join(wanted, "id", "left_semi")
                    .groupBy("id", "line", "n").agg(F.count("*").alias("copies"))
