@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Ranges of keys whose summed row hashes are compared, and how many of them are compared on their own.
+LEAVES = 4096
+FEW_LEAVES = 256
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
@@ -31,16 +36,52 @@ def extra_columns(wide: DataFrame, narrow: DataFrame) -> list[str]:
     return [c for c in wide.columns if c not in narrow.columns]
 
 
+def _hash_sums(df: DataFrame, key: str, shared: Sequence[str], name: str) -> DataFrame:
+    """Rows and summed row hashes per range of the keys' hashes."""
+    row = F.xxhash64(key, *shared).cast("decimal(20,0)")
+    return df.groupBy(_leaf(key).alias("leaf")).agg(
+        F.count("*").alias(f"n_{name}"), F.sum(row).alias(f"sum_{name}"))
+
+
+def _leaf(key: str) -> Column:
+    """Range of the key's hash, one of ``LEAVES``; -1 for keys that are NULL, which match nothing."""
+    return F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(key), F.lit(LEAVES))) \
+        .cast("int")
+
+
+def differing_leaves(a: DataFrame, b: DataFrame, key: str,
+                     shared: Sequence[str]) -> tuple[list[int], int]:
+    """Key ranges in which the tables differ, and the rows (of ``a``) in all others."""
+    sums = _hash_sums(a, key, shared, "a").join(_hash_sums(b, key, shared, "b"), "leaf", "full")
+    nodes = sums.collect()  # LEAVES + 1 rows at most
+
+    far = [r.leaf for r in nodes if r.leaf < 0 or r.n_a != r.n_b or r.sum_a != r.sum_b]
+    return far, sum(r.n_a for r in nodes if r.leaf not in set(far))
+
+
 def variant_consistency(a: DataFrame, b: DataFrame, key: str, shared: Sequence[str]) -> DataFrame:
-    """Key join of two variants with one mismatch count per shared column.
+    """Rows, unmatched rows, and one mismatch count per shared column of two variants.
 
-    Keys found on one side only are counted in ``unmatched``.
+    Keys found on one side only are counted in ``unmatched``. Both tables are first reduced to sums
+    of row hashes per key range; only rows of ranges whose sums differ are joined row by row, so
+    equal tables are not joined at all.
     """
-    left = a.select(key, F.lit(1).alias("_l"), *[F.col(c).alias(f"l_{c}") for c in shared])
-    right = b.select(key, F.lit(1).alias("_r"), *[F.col(c).alias(f"r_{c}") for c in shared])
+    far, equal = differing_leaves(a, b, key, shared)
+    fields = ["n", "unmatched", *(f"mismatch_{c}" for c in shared)]
+    if not far:
+        return a.sparkSession.createDataFrame(
+            [(equal, *[0] * (len(fields) - 1))], ", ".join(f"`{f}` long" for f in fields))
+
+    def rows(df: DataFrame, mark: str) -> DataFrame:
+        # a few leaves are named one by one; of many, all rows are joined
+        some = df.where(_leaf(key).isin(far)) if len(far) <= FEW_LEAVES else df
+        return some.select(key, F.lit(1).alias(f"_{mark}"),
+                           *[F.col(c).alias(f"{mark}_{c}") for c in shared])
+
     both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
-    return left.join(right, key, "full").agg(
-        F.count("*").alias("n"), F.count_if(~both).alias("unmatched"),
+    rest = equal if len(far) <= FEW_LEAVES else 0
+    return rows(a, "l").join(rows(b, "r"), key, "full").agg(
+        (F.count("*") + rest).alias("n"), F.count_if(~both).alias("unmatched"),
         *[F.count_if(both & ~F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}"))).alias(f"mismatch_{c}")
           for c in shared])
 

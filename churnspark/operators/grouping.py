@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from churnspark.functions.columns import HIGH, LOW, MID, risk_band
 from churnspark.operators.scale import rows_from_aggregates
 
+#: Squares about the mean, as a share of the squared mean, that are rounding of a constant.
+NO_SPREAD = 1e-26
+
 
 def rate_by(df: DataFrame, category: str, label: Column) -> DataFrame:
     """Mean of a 0/1 label per category; rows without a category are left out."""
@@ -165,14 +168,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     dx, dy = F.col("x") - F.col("mx"), F.col("y") - F.col("my")
     sums = rows.groupBy("i", "j").agg(F.sum(F.col("xx") + F.col("n") * dx * dx).alias("xx"),
                                       F.sum(F.col("yy") + F.col("n") * dy * dy).alias("yy"),
-                                      F.sum(F.col("xy") + F.col("n") * dx * dy).alias("xy"))
-    r = F.when((F.col("xx") > 0) & (F.col("yy") > 0),
-               F.col("xy") / F.sqrt(F.col("xx")) / F.sqrt(F.col("yy")))
+                                      F.sum(F.col("xy") + F.col("n") * dx * dy).alias("xy"),
+                                      (F.sum("n") * F.max("mx") * F.max("mx")).alias("x0"),
+                                      (F.sum("n") * F.max("my") * F.max("my")).alias("y0"))
+    spread = (F.col("xx") > NO_SPREAD * F.col("x0")) & (F.col("yy") > NO_SPREAD * F.col("y0"))
+    r = F.when(spread, F.col("xy") / F.sqrt(F.col("xx")) / F.sqrt(F.col("yy")))
     grid = df.sparkSession.createDataFrame(
         [(a, b, min(i, j), max(i, j)) for i, a in enumerate(names) for j, b in enumerate(names)],
         "column_a string, column_b string, i int, j int")
-    found = sums.select("i", "j", F.round(F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)), 6)
-                        .alias("correlation"))
+    bounded = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+    found = sums.select("i", "j", F.round(bounded, 6).alias("correlation"))
     return grid.join(found, ["i", "j"], "left").select("column_a", "column_b", "correlation")
 
 

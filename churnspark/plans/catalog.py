@@ -663,8 +663,13 @@ def feature_variants(spark, sf):
 @query
 def prepared_features(spark, sf):
     done = W.prepared(spark, sf)
-    return done.table.select(ID, LABEL, "split", *[
-        F.round(F.col(f"`{c}`"), 6).alias(c) for c in done.features
+    return shown_features(done.table, done.features)
+
+
+def shown_features(table: DataFrame, features: list[str]) -> DataFrame:
+    """Numbers and the flags of two categories, rounded."""
+    return table.select(ID, LABEL, "split", *[
+        F.round(F.col(f"`{c}`"), 6).alias(c) for c in features
         if c in R.numeric or c.startswith(("credit_rating", "handset_web_capable"))])
 
 

@@ -629,13 +629,13 @@ SELECT count(*) AS n, round(avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greates
     sql["churn_rate_by_region"] = (
         f"WITH {LAB} SELECT {region} AS region, count(*) AS n, round(avg(y), 6) AS churn_rate "
         "FROM lab WHERE service_area IS NOT NULL GROUP BY 1")
-    sql.update(round_trips.oracle_queries(SNAP, SPLIT, SCORE, NAMED, sql["metrics_long"]))
     sql["formula_importance"] = _formula_importance()
     sql["k_scan_fixed"] = _k_scan({k: CENTRES[:k] for k in range(1, len(CENTRES) + 1)})
     sql["k_scan_one"] = _k_scan({1: [[None] * len(SEG)]})
     actions = ", ".join(f"({_text(k)}, {_text(v)})" for k, v in playbook.GRADE_ACTION.items())
     sql.update(serving_checks.oracle_queries(SPLIT, _RARE, _GROUPED, SEGMENTED, _GRADE, actions,
                                              _metrics))
+    sql.update(round_trips.oracle_queries(SNAP, SPLIT, SCORE, NAMED, sql))
     sql.update(model_checks.oracle_queries(SNAP, SPLIT, _RARE, _GROUPED))
     return {k: sql[k] for k in Q.QUERIES if k in sql}
 

@@ -14,6 +14,7 @@ from churnspark.operators.preparation import (
     RARE_BELOW, FeatureCleanerModel, build_preparation, feature_names)
 from churnspark.operators.splitting import stratified_split
 from churnspark.sources import sinks
+from churnspark.sources.publish import publish
 
 LABEL = "label"
 
@@ -65,7 +66,7 @@ def prepare_all(df: DataFrame, roles: Roles, folder: str, min_count: int = RARE_
         prepared.model.write().overwrite().save(f"{folder}/preparation/{variant}")
         prepared.table = spark.read.parquet(f"{folder}/interim/{variant}")
         done[variant] = prepared
-    sinks.promote(spark, f"{folder}/interim/{final}", f"{folder}/processed")
+    publish(spark, f"{folder}/interim/{final}", f"{folder}/processed")
     sinks.write_document(
         sinks.feature_schema_document(done[final].table, LABEL, roles, done[final].rare_regions),
         f"{folder}/feature_schema")

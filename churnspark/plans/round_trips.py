@@ -13,10 +13,9 @@ from churnspark.plans import workspace as W
 from churnspark.plans.prepare import LABEL
 from churnspark.plans.segment import SegmentBundle, run_segmentation
 from churnspark.plans.serve import Bundle, score_customers
-from churnspark.sources import sinks, tables
+from churnspark.sources import publish, sinks, tables
 
 ID = W.ROLES.id
-SAMPLE = [ID, W.ROLES.area, W.ROLES.price, "monthly_revenue"]
 NO_VALUE = "n.a."
 
 
@@ -40,8 +39,8 @@ def _schema(df: DataFrame) -> T.StructType:
 
 @catalog.query
 def csv_encoded(spark, sf):
-    """Another encoding and separator, with a text that needs the encoding."""
-    df = W.snapshot(spark, sf).select(*SAMPLE).withColumn(
+    """All columns in another encoding and separator, with a text that needs the encoding."""
+    df = W.snapshot(spark, sf).withColumn(
         "note", F.concat(F.lit("café; "), F.col(ID).cast("string")))
     path = _once(spark, sf, "csv_encoded", lambda p: df.write.mode("overwrite").csv(
         p, header=True, sep=";", encoding="iso-8859-1"))
@@ -50,8 +49,8 @@ def csv_encoded(spark, sf):
 
 @catalog.query
 def csv_na_token(spark, sf):
-    """One explicit token for missing values; other usual tokens stay texts."""
-    df = W.snapshot(spark, sf).select(*SAMPLE)
+    """All columns with one explicit token for missing values; other usual tokens stay texts."""
+    df = W.snapshot(spark, sf)
     path = _once(spark, sf, "csv_na_token", lambda p: df.write.mode("overwrite").csv(
         p, header=True, nullValue=NO_VALUE))
     return tables.read_csv(spark, path, _schema(df), na_tokens=(NO_VALUE,))
@@ -59,10 +58,11 @@ def csv_na_token(spark, sf):
 
 @catalog.query
 def feature_list_of_header(spark, sf):
-    """Feature names and order as the header of the stored file gives them."""
-    csv_na_token(spark, sf)
-    header = tables.read_csv(spark, _path(spark, sf, "csv_na_token"))
-    names = tables.feature_list(header, W.ROLES.price, [ID])
+    """Names and order of all features, as the header of the stored feature table gives them."""
+    done = W.prepared(spark, sf).table
+    path = _once(spark, sf, "feature_table", lambda p: sinks.write_table(done, p, "csv"))
+    header = tables.read_csv(spark, path)
+    names = tables.feature_list(header, LABEL, [ID, "split"])
     return header.agg(F.count("*").alias("n_rows")).select(
         F.posexplode(F.array(*map(F.lit, names))).alias("position", "column_name"), "n_rows")
 
@@ -76,25 +76,48 @@ def metrics_read_back(spark, sf):
 
 @catalog.query
 def split_variants_written(spark, sf):
-    """Rows and label rate per variant and split, from the folders of each split."""
+    """The whole feature tables of both variants by split: columns, rows, values and label rate as
+    each split's folder gives them."""
     parts = []
     for variant in VARIANTS:
         done = W.prepared(spark, sf, variant)
         path = _once(spark, sf, f"variant_{variant}",
-                     lambda p, t=done.table: sinks.write_by_split(t.select(ID, LABEL, "split"), p))
-        parts += [tables.read_split(spark, path, s).select(F.lit(variant).alias("variant"),
-                                                           F.lit(s).alias("split"), LABEL)
-                  for s in ("train", "val", "test")]
-    return tables.union_parts(parts).groupBy("variant", "split").agg(
-        F.count("*").alias("n_rows"), F.round(F.avg(LABEL), 6).alias("churn_rate"))
+                     lambda p, t=done.table: sinks.write_by_split(t, p))
+        for s in ("train", "val", "test"):
+            table = tables.read_split(spark, path, s)
+            features = [F.col(f"`{c}`") for c in tables.feature_list(table, LABEL, [ID, "split"])]
+            parts.append(table.agg(
+                F.count("*").alias("n_rows"), F.round(F.avg(LABEL), 6).alias("churn_rate"),
+                sum((F.count(c) for c in features), F.lit(0)).cast("bigint").alias("n_values"))
+                .select(F.lit(variant).alias("variant"), F.lit(s).alias("split"),
+                        F.lit(len(features)).cast("bigint").alias("n_features"), "*"))
+    return tables.union_parts(parts)
 
 
 @catalog.query
 def variant_promoted(spark, sf):
+    """The whole feature table of the chosen variant, read as the published version."""
     split_variants_written(spark, sf)
     source = _path(spark, sf, f"variant_{VARIANTS[-1]}")
-    path = _once(spark, sf, "promoted", lambda p: sinks.promote(spark, source, p))
-    return spark.read.parquet(path).select(ID, F.col(LABEL).cast("int").alias("y"), "split")
+
+    def write(path: str) -> None:
+        publish.publish(spark, source, path)
+
+    table = publish.read_published(spark, _once(spark, sf, "promoted", write))
+    return catalog.shown_features(table, W.prepared(spark, sf, VARIANTS[-1]).features)
+
+
+@catalog.query
+def publication_manifest(spark, sf):
+    """Rows and row hashes of the published parts, recomputed from the files of the version."""
+    variant_promoted(spark, sf)
+    target = _path(spark, sf, "promoted")
+    stored = {p["part"]: p for p in publish.manifest(spark, target)["parts"]}
+    table = publish.read_published(spark, target)
+    seen = publish.parts_of(table, "split")
+    return spark.createDataFrame(
+        [(p["part"], p["n_rows"], p == stored[p["part"]]) for p in seen],
+        "split string, n_rows long, as_published boolean")
 
 
 @catalog.query
@@ -227,21 +250,21 @@ _WEIGHTED = """w AS (SELECT CASE WHEN handset_web_capable = 'Yes' THEN 1.0::DOUB
     / (SELECT count(*) FROM train WHERE y = 1) ELSE 1.0 END AS boost FROM train)"""
 
 
-def oracle_queries(SNAP: str, SPLIT: str, SCORE: str, NAMED: str, metrics: str) -> dict[str, str]:
+def oracle_queries(SNAP: str, SPLIT: str, SCORE: str, NAMED: str, sql: dict[str, str]) -> dict[str, str]:
     """Twins; the arguments are table expressions shared with the other twins."""
-    sample = ", ".join(SAMPLE)
     share = (f"WITH {SPLIT}, {_WEIGHTED} SELECT x, count(*) AS n, "
              "round(sum(balanced * y) / sum(balanced), {d}) AS p FROM w GROUP BY x")
     return {
-        "csv_encoded": f"WITH {SNAP} SELECT {sample}, 'caf' || chr(233) || '; ' || CAST({ID} AS VARCHAR) AS note FROM snap",
-        "csv_na_token": f"WITH {SNAP} SELECT {sample} FROM snap",
-        "feature_list_of_header": f"""WITH {SNAP}, v(position, column_name) AS (
-  VALUES (0, 'service_area'), (1, 'monthly_revenue'))
-SELECT CAST(position AS INTEGER) AS position, column_name, (SELECT count(*) FROM snap) AS n_rows FROM v""",
-        "metrics_read_back": metrics,
-        "split_variants_written": f"""WITH {SPLIT}, v(variant) AS (VALUES {', '.join(f"('{x}')" for x in VARIANTS)})
-SELECT variant, split, count(*) AS n_rows, round(avg(y), 6) AS churn_rate FROM v, spl GROUP BY variant, split""",
-        "variant_promoted": f"WITH {SPLIT} SELECT {ID}, CAST(y AS INTEGER) AS y, split FROM spl",
+        "csv_encoded": f"WITH {SNAP} SELECT *, 'caf' || chr(233) || '; ' || CAST({ID} AS VARCHAR) AS note FROM snap",
+        "csv_na_token": f"WITH {SNAP} SELECT * FROM snap",
+        "feature_list_of_header": f"""WITH named AS ({sql['feature_names']}), {SNAP}
+SELECT CAST(position - 1 AS INTEGER) AS position, column_name, (SELECT count(*) FROM snap) AS n_rows FROM named""",
+        "metrics_read_back": sql["metrics_long"],
+        "split_variants_written": f"""SELECT variant, split, n_features, n_rows, churn_rate,
+  n_features * n_rows AS n_values FROM ({sql['feature_variants']})""",
+        "variant_promoted": sql["prepared_features"],
+        "publication_manifest": f"""WITH {SPLIT} SELECT split, count(*) AS n_rows, true AS as_published
+FROM spl GROUP BY split""",
         "document_read_back": f"""WITH {SNAP} SELECT count(*) AS customers, count(service_area) AS with_area,
   min({ID}) AS first, max({ID}) AS last FROM snap""",
         "columns_by_type": f"""WITH {SNAP} SELECT column_name, (SELECT count(*) FROM snap) AS n_rows

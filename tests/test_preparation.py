@@ -8,6 +8,7 @@ from churnspark.contracts import SNAPSHOT, TELECOM, VARIANTS, raw_schema
 from churnspark.operators import expectations, preparation
 from churnspark.plans import workspace as W
 from churnspark.plans.prepare import LABEL, prepare_all, prepare_variant
+from churnspark.sources.publish import read_published
 
 
 @pytest.fixture(scope="module")
@@ -92,7 +93,7 @@ def test_zero_range_and_zero_std_scale_by_one(spark):
 def test_whole_preparation_job(spark, sf, tmp_path):
     made = prepare_all(W.snapshot(spark, sf), SNAPSHOT, str(tmp_path), min_count=4)
     assert set(made) == set(VARIANTS)
-    processed = spark.read.parquet(str(tmp_path / "processed"))
+    processed = read_published(spark, str(tmp_path / "processed"))
     assert processed.count() == W.snapshot(spark, sf).count()
     schema = spark.read.json(str(tmp_path / "feature_schema")).first()
     assert schema.split.train_rows + schema.split.val_rows + schema.split.test_rows \

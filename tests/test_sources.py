@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from churnspark.contracts import SNAPSHOT, raw_schema
 from churnspark.functions import columns as C
 from churnspark.operators import expectations
-from churnspark.sources import sinks, tables
+from churnspark.sources import publish, sinks, tables
 
 SCHEMA = "id long, amount double, name string"
 
@@ -57,11 +57,58 @@ def test_feature_list_needs_no_data(spark):
 
 
 def test_promotion_refuses_what_is_absent(spark, tmp_path):
+    target = str(tmp_path / "out")
     with pytest.raises(FileNotFoundError):
-        sinks.promote(spark, str(tmp_path / "no"), str(tmp_path / "out"))
+        publish.publish(spark, str(tmp_path / "no"), target)
+    with pytest.raises(FileNotFoundError):
+        publish.read_published(spark, target)
     spark.range(4).write.parquet(str(tmp_path / "yes"))
-    sinks.promote(spark, str(tmp_path / "yes"), str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+    publish.publish(spark, str(tmp_path / "yes"), target)
+    assert publish.read_published(spark, target).count() == 4
+    assert publish.manifest(spark, target)["previous"] is None
+
+
+@pytest.mark.parametrize("broken", ["_switch", "parts_of", "_write_text"])
+def test_a_killed_promotion_keeps_the_old_version(spark, tmp_path, monkeypatch, broken):
+    old, new, target = (str(tmp_path / x) for x in ("old", "new", "out"))
+    table = spark.range(6).select("id", F.when(F.col("id") < 2, "test").otherwise("train")
+                                  .alias("split"))
+    table.write.parquet(old)
+    table.union(table).write.parquet(new)
+    first = publish.publish(spark, old, target)
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, broken, killed)
+        with pytest.raises(RuntimeError):
+            publish.publish(spark, new, target)
+    assert publish.current_version(spark, target) == first
+    assert publish.read_published(spark, target).count() == 6
+    second = publish.publish(spark, new, target)
+    assert publish.read_published(spark, target).count() == 12
+    found = publish.manifest(spark, target)
+    assert (found["version"], found["previous"]) == (second, first)
+    assert {p["part"]: p["n_rows"] for p in found["parts"]} == {"test": 4, "train": 8}
+
+
+def test_equal_tables_are_not_joined(spark):
+    a = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("x"),
+                                 F.when(F.col("id") % 5 > 0, "t").alias("y"))
+    same = expectations.variant_consistency(a, a.repartition(3), "k", ["x", "y"])
+    assert "Join" not in same._jdf.queryExecution().optimizedPlan().toString()
+    assert tuple(same.first()) == (3000, 0, 0, 0)
+    changed = a.withColumn("x", F.when(F.col("k") == 17, 100.0).otherwise(F.col("x"))) \
+        .withColumn("y", F.when(F.col("k") == 18, "u").otherwise(F.col("y"))).where("k <> 19")
+    extra = changed.union(spark.createDataFrame(
+        [(None, 1.0, "t"), (5000, 1.0, None)], "k long, x double, y string"))
+    far, equal = expectations.differing_leaves(a, extra, "k", ["x", "y"])
+    assert 4 <= len(far) <= 6 and equal < 3000
+    found = expectations.variant_consistency(a, extra, "k", ["x", "y"])
+    assert tuple(found.first()) == (3002, 3, 1, 1)
+    none = expectations.variant_consistency(a, a.where("false"), "k", ["x"])
+    assert tuple(none.first()) == (3000, 3000, 0)
 
 
 def test_documents(spark, tmp_path):
