@@ -11,7 +11,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -280,6 +283,70 @@ def build_preparation(roles: Roles, min_count: int = RARE_BELOW) -> Pipeline:
     ])
 
 
+ENCODED = "oh_"  # prefix of encoded category columns, absent from feature names
+
+
+def build_sparse_preparation(roles: Roles, min_count: int = RARE_BELOW,
+                             output: str = "features") -> Pipeline:
+    """``build_preparation`` into one sparse vector, for categories of very many levels.
+
+    The numbers stand first, then a block per category with its Train levels in order; a row holds
+    one entry per category, an unseen level none. Names travel as attributes of the vector.
+    """
+    encoded = [f"{ENCODED}{c}" for c in roles.categorical]
+    indexed = [f"ix_{c}" for c in roles.categorical]
+    return Pipeline(stages=[
+        FeatureCleaner.for_roles(roles, min_count),
+        MedianFill(inputCols=list(roles.median_fill)),
+        ConstantFill(inputCols=list(roles.zero_fill), value=0.0),
+        PopulationScaler(inputCols=list(roles.numeric)),
+        *sparse_levels(roles.categorical, indexed, encoded),
+        VectorAssembler(inputCols=[*roles.median_fill, *roles.zero_fill, *encoded],
+                        outputCol=output)])
+
+
+def sparse_levels(columns: Sequence[str], indexed: Sequence[str], encoded: Sequence[str]) -> list:
+    """Stages that fill gaps with the mode and encode every Train level as a place of a sparse
+    vector; the slot that the encoder drops is the one of unseen levels."""
+    return [
+        ModeFill(inputCols=list(columns)),
+        StringIndexer(inputCols=list(columns), outputCols=list(indexed),
+                      stringOrderType="alphabetAsc", handleInvalid="keep"),
+        OneHotEncoder(inputCols=list(indexed), outputCols=list(encoded), dropLast=True)]
+
+
+def vector_feature_names(df: DataFrame, column: str = "features") -> list[str]:
+    """Names of a vector's places, in order, from its attributes; no data is read."""
+    attrs = df.schema[column].metadata["ml_attr"]["attrs"]
+    found = sorted((a for kind in attrs.values() for a in kind), key=lambda a: a["idx"])
+    return [a["name"].removeprefix(ENCODED) for a in found]
+
+
+def level_table(spark, model, columns: Sequence[str]) -> DataFrame:
+    """(column_name, level, position): learned levels of a sparse encoding, positions from 0."""
+    indexer = next(s for s in model.stages if isinstance(s, StringIndexerModel))
+    rows = [(c, level, i) for c, levels in zip(columns, indexer.labelsArray, strict=True)
+            for i, level in enumerate(levels)]
+    return spark.createDataFrame(rows, "column_name string, level string, position int")
+
+
+def vector_means(df: DataFrame, column: str = "features") -> DataFrame:
+    """(position from 1, column_name, mean, std) of every place of a vector, in one pass.
+
+    The spread is that of the population.
+    """
+    names = vector_feature_names(df, column)
+    found = df.agg(Summarizer.metrics("mean", "variance", "count").summary(F.col(column))
+                   .alias("s")).select(vector_to_array("s.mean").alias("m"),
+                                       vector_to_array("s.variance").alias("v"), "s.count")
+    row = found.first()
+    n = row["count"]
+    return df.sparkSession.createDataFrame(
+        [(i, name, m, (v * (n - 1) / n) ** 0.5) for i, (name, m, v) in enumerate(
+            zip(names, row.m, row.v, strict=True), 1)],
+        "position int, column_name string, mean double, std double")
+
+
 def _stage(model, kind):
     return next(s for s in model.stages if isinstance(s, kind))
 

@@ -134,7 +134,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """Exact percentiles with linear interpolation, NULLs left out.
 
     A column of at most ``small_column`` values uses the built-in exact
-    ``percentile``, whose buffer is then bounded; larger ones are bracketed.
+    ``percentile``, whose buffer is then bounded; larger ones are bracketed. Both take the same
+    two order statistics through the same arithmetic.
     """
     columns, probs = list(columns), list(probs)
     rows = df.count()  # no column holds more values than this
@@ -204,7 +205,9 @@ def _bracketed_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                 missed.append(t)
                 continue
             lo, hi = pick[math.floor(rank)], pick[math.ceil(rank)]
-            values[t] = lo + (hi - lo) * (rank - math.floor(rank))
+            # the built-in's own arithmetic, so that both ways agree to the last bit
+            values[t] = lo if lo == hi else (
+                (math.ceil(rank) - rank) * lo + (rank - math.floor(rank)) * hi)
         if not missed:
             break
         for t in missed:  # a sketch missed its bound: rank the whole column instead

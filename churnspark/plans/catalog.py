@@ -683,6 +683,16 @@ def feature_names(spark, sf):
                         (F.col("mean") + 0.0).alias("mean"), (F.col("std") + 0.0).alias("std"))
 
 
+@query
+def sparse_feature_names(spark, sf):
+    """Names read from the attributes of the sparse feature vector, with Train mean and spread."""
+    train = W.train_table(spark, sf)
+    table = preparation.build_sparse_preparation(R, W.RARE_MIN).fit(train).transform(train)
+    found = preparation.vector_means(table.select("features"))
+    return found.select("position", "column_name", (F.round("mean", 6) + 0.0).alias("mean"),
+                        (F.round("std", 6) + 0.0).alias("std"))
+
+
 @query
 def feature_schema(spark, sf):
     done = W.prepared(spark, sf)

@@ -635,6 +635,7 @@ SELECT count(*) AS n, round(avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greates
     actions = ", ".join(f"({_text(k)}, {_text(v)})" for k, v in playbook.GRADE_ACTION.items())
     sql.update(serving_checks.oracle_queries(SPLIT, _RARE, _GROUPED, SEGMENTED, _GRADE, actions,
                                              _metrics))
+    sql["sparse_feature_names"] = sql["feature_names"]
     sql.update(round_trips.oracle_queries(SNAP, SPLIT, SCORE, NAMED, sql))
     sql.update(model_checks.oracle_queries(SNAP, SPLIT, _RARE, _GROUPED))
     return {k: sql[k] for k in Q.QUERIES if k in sql}

@@ -1,7 +1,8 @@
 """Learn on Train only, apply anywhere, store and load."""
 
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from churnspark.contracts import SNAPSHOT, TELECOM, VARIANTS, raw_schema
@@ -126,3 +127,35 @@ def test_telecom_roles_run_end_to_end(spark):
     assert done.features[:31] == list(roles.median_fill)
     assert done.features[31:33] == ["AgeHH1", "AgeHH2"]
     assert "ServiceArea_Region_Other" in done.features
+
+
+def test_a_hundred_thousand_levels(spark):
+    """Levels are places of one sparse vector, not columns; unseen levels have no entry."""
+    n = 100_000
+    train = spark.range(n).select(F.format_string("v%06d", F.col("id")).alias("c"),
+                                  F.lit("x").alias("d"))
+    stages = [*preparation.sparse_levels(["c", "d"], ["ix_c", "ix_d"], ["oh_c", "oh_d"]),
+              VectorAssembler(inputCols=["oh_c", "oh_d"], outputCol="features")]
+    model = Pipeline(stages=stages).fit(train)
+    levels = preparation.level_table(spark, model, ["c", "d"])
+    assert levels.count() == n + 1
+    assert levels.where("position = 77 AND column_name = 'c'").first().level == "v000077"
+    some = spark.createDataFrame([("v000077", "x"), ("unseen", "y"), (None, "x")],
+                                 "c string, d string")
+    out = model.transform(some)
+    names = preparation.vector_feature_names(out)
+    assert len(names) == n + 1 and names[77] == "c_v000077" and names[-1] == "d_x"
+    got = [(r.features.size, list(r.features.indices)) for r in out.select("features").collect()]
+    assert got == [(n + 1, [77, n]), (n + 1, []), (n + 1, [0, n])]
+
+
+def test_sparse_vector_equals_wide_columns(spark, sf):
+    split = W.split_table(spark, sf)
+    train = split.where("split = 'train'")
+    wide = prepare_variant(split, SNAPSHOT, "without_retention", 4)
+    sparse = preparation.build_sparse_preparation(SNAPSHOT, 4).fit(train).transform(split)
+    assert preparation.vector_feature_names(sparse) == wide.features
+    a = {r.customer_id: list(r.features.toArray())
+         for r in sparse.select("customer_id", "features").collect()}
+    for r in wide.table.collect():
+        assert [r[c] for c in wide.features] == pytest.approx(a[r.customer_id])

@@ -161,3 +161,14 @@ def test_correlations_take_one_scan(spark):
     wide = spark.range(50).select(*[F.sin(F.col("id") * i).alias(f"c{i}") for i in range(1, 40)])
     plan = grouping.correlation_matrix(wide, wide.columns)._jdf.queryExecution().executedPlan()
     assert plan.toString().count("Range (") == 1
+
+
+def test_both_quantile_ways_agree_to_the_last_bit(spark):
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame({"a": rng.normal(size=997) * 1e3, "b": rng.integers(0, 7, 997) / 3,
+                        "c": rng.lognormal(size=997)})
+    pdf.loc[pdf.index % 5 == 0, "c"] = None
+    df = spark.createDataFrame(pdf).repartition(3)
+    probs = [0.0, 0.01, 0.1, 0.25, 1 / 3, 0.5, 0.75, 0.99, 1.0]
+    assert exact_quantiles(df, list("abc"), probs) == exact_quantiles(
+        df, list("abc"), probs, small_column=0)
