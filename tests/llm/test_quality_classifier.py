@@ -69,3 +69,68 @@ def test_odd_rows(spark, odd_docs, no_docs):
     everything = qc.resample(odd_docs, labels.where("false"))
     assert everything.where("n_ngrams > 0 AND NOT kept").count() == 0
     assert qc.resample(no_docs, labels).count() == 0
+
+
+def plain_resample(rows, labels, hashes):
+    """(doc_id, log_ratio, draw, kept) of (doc_id, text) rows, with dictionaries and sorting."""
+    good = {d for d, q, _ in labels if d is not None and q == 1}
+    known = {}
+    for d, q, _ in labels:
+        if d is not None and q is not None:
+            known[d] = max(q, known.get(d, q))
+    grams = [next(qc.ngram_buckets([(t or "").encode()])).tolist() for _, t in rows]
+    raw, target = {}, {}
+    for (d, _), found in zip(rows, grams):
+        for b in found:
+            raw[b] = raw.get(b, 0) + 1
+            target[b] = target.get(b, 0) + (d in good)
+    total, mass = sum(raw.values()) + qc.BUCKETS, sum(target.values()) + qc.BUCKETS
+
+    def ratio(b):
+        if mass == qc.BUCKETS:
+            return 0.0
+        return (math.log((target.get(b, 0) + 1) / mass) - math.log((raw.get(b, 0) + 1) / total))
+
+    out = []
+    for (d, _), found, h in zip(rows, grams, hashes):
+        log_ratio = sum(ratio(b) for b in found)
+        mean = log_ratio / len(found) if found else None
+        u = (h % (1 << 52) + 0.5) / (1 << 52)
+        out.append((d, log_ratio, mean, None if mean is None else
+                    qc.WEIGHT_NGRAMS * mean - math.log(-math.log(u))))
+    judged = [(mean, known[d]) for d, _, mean, _ in out if mean is not None and d in known]
+    n = {q: sum(k == q for _, k in judged) for q in (0, 1)}
+    drawn = sorted((r[3] for r in out if r[3] is not None), reverse=True)
+    k = len(drawn)
+    if n[0] and n[1]:
+        cuts = [i / qc.CUT_BANDS for i in range(-qc.CUT_BANDS * qc.CUT_REACH,
+                                                qc.CUT_BANDS * qc.CUT_REACH + 3)]
+        errors = [sum(m < c and q == 1 for m, q in judged) / n[1]
+                  + sum(m >= c and q != 1 for m, q in judged) / n[0] for c in cuts]
+        best = [c for c, e in zip(cuts, errors) if e <= min(errors) + 1e-12]
+        cut = best[len(best) // 2]
+        k = sum(r[2] is not None and r[2] >= cut for r in out)
+    least = drawn[k - 1] if k else math.inf
+    return [(d, s, draw, draw is not None and draw >= least) for d, s, _, draw in out]
+
+
+def test_whole_result_equals_brute_force(spark, documents, odd_docs):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select(
+        "doc_id", "quality", "toxic")
+    some = labels.collect()
+    for docs in (documents, odd_docs):
+        rows = docs.select("doc_id", "text", F.xxhash64(
+            F.lit(0), "doc_id", F.coalesce("text", F.lit(""))).alias("h")).collect()
+        want = plain_resample([(r.doc_id, r.text) for r in rows], [tuple(r) for r in some],
+                              [r.h for r in rows])
+        got = qc.resample(docs, labels).collect()
+
+        def key(r):
+            return repr(r[0]), round(r[1], 6), repr(r[3])
+
+        a = sorted(((r.doc_id, r.log_ratio, r.draw, r.kept) for r in got), key=key)
+        b = sorted(want, key=key)
+        assert len(a) == len(b)
+        for x, y in zip(a, b):
+            assert x[0] == y[0] and x[3] == y[3] and math.isclose(x[1], y[1], abs_tol=1e-9)
+            assert (x[2] is None and y[2] is None) or math.isclose(x[2], y[2], abs_tol=1e-6)
