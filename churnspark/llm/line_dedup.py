@@ -115,6 +115,10 @@ def _keys(lines: DataFrame, classes: Classes) -> DataFrame:
                     .bitwiseOR(F.col("e.probe").cast("long")).alias("code")))
 
 
+def chars_of(line: str) -> Column:
+    return F.filter(F.split(line, ""), lambda c: c != "")
+
+
 def signature(chars: Column) -> Column:
     """64 parities of hashed neighbouring characters; an edit changes four of them at most."""
     return F.aggregate(
@@ -223,11 +227,10 @@ def near_lines(lines: DataFrame, classes: Classes = CLASSES) -> DataFrame:
     wanted = stored(met.select("id").distinct(), "line-wanted")
     if wanted.count() <= BROADCAST_IDS:  # else both sides are shuffled
         wanted = F.broadcast(wanted)
-    chars = F.filter(F.split("line", ""), lambda c: c != "")
+    chars = chars_of("line")
     texts = stored(lines.select("id", "line", "n").join(wanted, "id", "left_semi")
                    .groupBy("id", "line", "n").agg(F.count("*").alias("copies"))
-                   .select("id", "n", chars.alias("chars"), signature(chars).alias("bits")),
-                   "line-texts")
+                   .select("id", "n", "line", signature(chars).alias("bits")), "line-texts")
     known = met.join(texts.select("id", "n", "bits"), "id")
     held = known.where("NOT probe").select("k", F.col("id").alias("u"), F.col("bits").alias("bu"),
                                            edits_of(F.col("n"), classes).alias("edits"))
@@ -235,16 +238,19 @@ def near_lines(lines: DataFrame, classes: Classes = CLASSES) -> DataFrame:
     close = F.bit_count(F.col("bu").bitwiseXOR(F.col("bv"))) <= 4 * F.col("edits")
     pairs = stored(held.join(asked, (held.k == asked.k) & (held.u != asked.v) & close)
                    .select("u", "v", "edits").distinct(), "line-pairs")
-    # The characters come from the stored table: an expression for them would be evaluated again
-    # in every step of the distance once the filter below is pushed under it.
-    both = (pairs.join(texts.select(F.col("id").alias("u"), F.col("chars").alias("shorter")), "u")
-            .join(texts.select(F.col("id").alias("v"), F.col("chars").alias("longer")), "v"))
+    both = (pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("short")), "u")
+            .join(texts.select(F.col("id").alias("v"), F.col("line").alias("long")), "v"))
+    # Most pairs hold a moved or replaced word and are far apart: the built-in distance, which gives
+    # up at the limit, clears those before the rest are verified.
+    likely = stored(both.where(F.call_function("levenshtein", "short", "long", "edits") >= 0)
+                    .select("u", "v", "edits", chars_of("short").alias("shorter"),
+                            chars_of("long").alias("longer")), "line-likely")
     within = None  # probes come from the line that is not the shorter one
     for edits in sorted({c[2] for c in classes}):
         distance = edit_distance(F.col("longer"), F.col("shorter"), edits)
         own = F.col("edits") == edits
         within = F.when(own, distance) if within is None else within.when(own, distance)
-    return both.where(within <= F.col("edits")).select("u", "v")
+    return likely.where(within <= F.col("edits")).select("u", "v")
 
 
 def repeated_lines(docs: DataFrame, classes: Classes = CLASSES, min_chars: int = 1) -> DataFrame:
