@@ -231,26 +231,30 @@ def near_lines(lines: DataFrame, classes: Classes = CLASSES) -> DataFrame:
     texts = stored(lines.select("id", "line", "n").join(wanted, "id", "left_semi")
                    .groupBy("id", "line", "n").agg(F.count("*").alias("copies"))
                    .select("id", "n", "line", signature(chars).alias("bits")), "line-texts")
-    known = met.join(texts.select("id", "n", "bits"), "id")
-    held = known.where("NOT probe").select("k", F.col("id").alias("u"), F.col("bits").alias("bu"),
-                                           edits_of(F.col("n"), classes).alias("edits"))
-    asked = known.where("probe").select("k", F.col("id").alias("v"), F.col("bits").alias("bv"))
+    known = met.join(texts, "id")
+    held = known.where("NOT probe").select(
+        "k", F.col("id").alias("u"), F.col("bits").alias("bu"), F.col("line").alias("short"),
+        edits_of(F.col("n"), classes).alias("edits"))
+    asked = known.where("probe").select("k", F.col("id").alias("v"), F.col("bits").alias("bv"),
+                                        F.col("line").alias("long"))
     close = F.bit_count(F.col("bu").bitwiseXOR(F.col("bv"))) <= 4 * F.col("edits")
-    pairs = stored(held.join(asked, (held.k == asked.k) & (held.u != asked.v) & close)
+    # Most pairs that meet hold a moved or replaced word and are far apart. The built-in distance,
+    # which gives up at the limit, clears them inside the join, so they are never listed.
+    likely = F.call_function("levenshtein", "short", "long", "edits") >= 0
+    pairs = stored(held.join(asked, (held.k == asked.k) & (held.u != asked.v) & close & likely)
                    .select("u", "v", "edits").distinct(), "line-pairs")
-    both = (pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("short")), "u")
-            .join(texts.select(F.col("id").alias("v"), F.col("line").alias("long")), "v"))
-    # Most pairs hold a moved or replaced word and are far apart: the built-in distance, which gives
-    # up at the limit, clears those before the rest are verified.
-    likely = stored(both.where(F.call_function("levenshtein", "short", "long", "edits") >= 0)
-                    .select("u", "v", "edits", chars_of("short").alias("shorter"),
-                            chars_of("long").alias("longer")), "line-likely")
+    # The characters come from a stored table: an expression for them would be evaluated again in
+    # every step of the distance.
+    both = stored(pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("short")), "u")
+                  .join(texts.select(F.col("id").alias("v"), F.col("line").alias("long")), "v")
+                  .select("u", "v", "edits", chars_of("short").alias("shorter"),
+                          chars_of("long").alias("longer")), "line-likely")
     within = None  # probes come from the line that is not the shorter one
     for edits in sorted({c[2] for c in classes}):
         distance = edit_distance(F.col("longer"), F.col("shorter"), edits)
         own = F.col("edits") == edits
         within = F.when(own, distance) if within is None else within.when(own, distance)
-    return likely.where(within <= F.col("edits")).select("u", "v")
+    return both.where(within <= F.col("edits")).select("u", "v")
 
 
 def repeated_lines(docs: DataFrame, classes: Classes = CLASSES, min_chars: int = 1) -> DataFrame:
