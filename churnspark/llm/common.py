@@ -18,9 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share."""
-    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that all executors share, under this application's own."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes every table that this application's operators wrote on the way.
+
+    Results are read from such tables, so call it when the last of them was read or written
+    elsewhere.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
