@@ -88,3 +88,34 @@ def test_counts(odd_docs, no_docs, documents, head):
         got = token_counts.count_tokens(docs, BYTE_BPE, head_size=head)
         assert tuples(got) == sorted(want, key=repr)
     assert token_counts.count_tokens(no_docs, BYTE_BPE).count() == 0
+
+
+def test_files_are_summed_up_by_number(spark, tmp_path):
+    """As text, part-100000 comes before part-99999."""
+    path = str(tmp_path / "orc")
+    docs = spark.createDataFrame([(i, f"document {i} " * (i + 1)) for i in range(30)],
+                                 "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        token_orc.write_tokens(docs, path, BYTE_BPE)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = tuples(token_orc.digests(spark, path))
+    names = {"part-00001": "part-99999", "part-00002": "part-100000"}
+    found = sorted(f for f in tmp_path.joinpath("orc").iterdir() if f.name.startswith("part-"))
+    assert len(found) == 3
+    for f in found:
+        number = f.name[:10]
+        if number in names:
+            f.rename(f.with_name(names[number] + f.name[10:]))
+    for crc in tmp_path.joinpath("orc").glob(".*.crc"):
+        crc.unlink()
+    got = tuples(token_orc.digests(spark, path))
+    assert got == want
+    ends = 0
+    for _, start, n, _ in sorted(got):
+        assert start == ends
+        ends += n
