@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import SPACES, WORD, texts_of
+from churnspark.llm.common import SPACES, WORD, stored, texts_of
 
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -115,6 +115,11 @@ def ledger(docs: DataFrame) -> DataFrame:
     return measure(docs).withColumn("failed", failed)
 
 
+def write_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger, written to the shared folder: policies and ablations read it, not the texts."""
+    return stored(ledger(docs), "rule-ledger")
+
+
 def apply_policy(entries: DataFrame, mask: int) -> DataFrame:
     """Adds base_failed and kept; ``mask`` holds the rules of the policy."""
     return (entries.withColumn("base_failed", F.col("failed").bitwiseAND(F.lit(BASE)) != 0)
@@ -188,3 +193,11 @@ f AS (SELECT *,
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   failed::BIGINT AS failed, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM f
 """
+
+#: Twin of ``ablation`` for the current policy, which has all rules.
+ABLATION_ORACLE = f"""
+WITH r(rule, bit) AS (VALUES {', '.join(f"('{name}', {bit}::BIGINT)" for name, bit in BIT.items())}),
+q AS ({ORACLE})
+SELECT rule, count(*) FILTER (WHERE failed & bit <> 0) AS failing,
+  count(*) FILTER (WHERE failed = bit) AS failing_alone FROM r, q GROUP BY rule
+"""

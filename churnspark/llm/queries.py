@@ -32,7 +32,7 @@ def op1_suffix_array_dedup(spark, sf):
 
 @query
 def op2_quality_rules(spark, sf):
-    entries = quality_rules.ledger(table(spark, sf, "documents"))
+    entries = quality_rules.write_ledger(table(spark, sf, "documents"))
     return quality_rules.apply_policy(entries, quality_rules.POLICIES[quality_rules.CURRENT]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed",
         "base_failed", "kept")
@@ -41,6 +41,16 @@ def op2_quality_rules(spark, sf):
 ORACLE_SQL["op2_quality_rules"] = quality_rules.ORACLE
 
 
+@query
+def quality_rule_ablation(spark, sf):
+    """What each rule of op2's current policy costs, from the stored ledger."""
+    entries = quality_rules.write_ledger(table(spark, sf, "documents"))
+    return quality_rules.ablation(entries, quality_rules.POLICIES[quality_rules.CURRENT])
+
+
+ORACLE_SQL["quality_rule_ablation"] = quality_rules.ABLATION_ORACLE
+
+
 @query
 def op3_best_fit_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), WORD_BPE)
