@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.functions.columns import hash_order
-from churnspark.operators import trees
+from churnspark.operators import forest, trees
 from churnspark.operators.evaluation import evaluate
 from churnspark.operators.preparation import MedianFill, MissingFlags, RobustScale, _Columns
 
@@ -49,9 +49,6 @@ class ModelSettings:
     forest_leaf: int = 8
     forest_depth: int = 30  # the limit of Spark ML; the compared forest has none
     forest_bootstrap: bool = True
-    forest_memory_mb: int = 1024  # per task, for split statistics of deep trees
-    forest_parallelism: int = 24  # trees fitted side by side
-    forest_rows_per_task: int = 50_000
     boosting_rate: float = 0.06
     boosting_rounds: int = 300
     boosting_depth: int = 5  # level-wise stand-in for 31 leaves
@@ -181,46 +178,15 @@ def fit_forest(table: DataFrame, label: str, key: str, settings: ModelSettings):
     """A forest whose trees have bootstraps and class weights of their own, voting together.
 
     Row draws are Poisson variables from a hash of tree and ``key``; within a tree's bootstrap a row of
-    class c weighs draws * n / (2 n_c), n and n_c being that bootstrap's draws. Trees are fitted
-    side by side. A bootstrap without rows (tiny tables) gives no tree.
+    class c weighs draws * n / (2 n_c), n and n_c being that bootstrap's draws. All trees grow in
+    the same jobs. A bootstrap without rows (tiny tables) gives no tree.
     """
     s = settings
-    # The many small jobs of a fit cost more than their rows if those lie in many partitions.
-    parts = -(-table.count() // s.forest_rows_per_task) or 1
-    known = table.coalesce(parts).withMetadata(
-        label, {"ml_attr": {"type": "nominal", "vals": ["0", "1"]}}).persist()
-
-    def learner(tree: int) -> RandomForestClassifier:
-        return RandomForestClassifier(
-            numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt",
-            minInstancesPerNode=s.forest_leaf, maxDepth=s.forest_depth, weightCol="tree_weight",
-            seed=s.seed + tree, maxMemoryInMB=s.forest_memory_mb, featuresCol="features",
-            labelCol=label)
-
-    if s.forest_bootstrap:
-        totals: dict[int, dict[int, int]] = {}
-        for r in trees.bootstrap_totals(table, label, key, s.forest_trees, s.seed).collect():
-            totals.setdefault(r.tree, {})[int(r[label])] = r.n_draws  # two rows a tree
-    else:
-        n = {int(r[label]): r["count"] for r in table.groupBy(label).count().collect()}
-        totals = dict.fromkeys(range(s.forest_trees), n)
-
-    def fit(tree: int):
-        by_class = totals[tree]
-        weight = F.lit(None).cast("double")
-        for y, n in by_class.items():
-            weight = F.when(F.col(label) == y, F.lit(sum(by_class.values()) / (2 * n))) \
-                .otherwise(weight)
-        drawn = trees.draws(s.seed, tree, key) if s.forest_bootstrap else F.lit(1)
-        own = known.withColumn("draws", drawn).where("draws > 0").select(
-            "features", label, (F.col("draws") * weight).alias("tree_weight"))
-        return learner(tree).fit(own)
-
-    try:
-        with ThreadPool(s.forest_parallelism) as pool:
-            return trees.joined_forest(pool.map(fit, sorted(totals), chunksize=1))
-    finally:
-        known.unpersist()
+    learner = RandomForestClassifier(
+        numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt",
+        minInstancesPerNode=s.forest_leaf, maxDepth=s.forest_depth, weightCol="tree_weight",
+        seed=s.seed, featuresCol="features", labelCol=label)
+    return forest.grow_forest(table, label, key, learner, s.forest_trees, s.forest_bootstrap)
 
 
 def build_model(name: str, features: Sequence[str], label: str, train_rows: int,

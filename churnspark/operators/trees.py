@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.ml.classification import (
-    DecisionTreeClassificationModel, GBTClassificationModel, RandomForestClassificationModel)
+    DecisionTreeClassificationModel, GBTClassificationModel)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,19 +53,6 @@ def some_trees(model: GBTClassificationModel, keep: Sequence[int]) -> GBTClassif
     return _wrapped(java, made, GBTClassificationModel)
 
 
-def joined_forest(models: Sequence[RandomForestClassificationModel]
-                  ) -> RandomForestClassificationModel:
-    """One forest that votes with the trees of all models."""
-    java = models[0]._java_obj
-    trees = [t for m in models for t in m._java_obj.trees()]
-    jvm = SparkContext._active_spark_context._jvm
-    made = jvm.org.apache.spark.ml.classification.RandomForestClassificationModel(
-        f"{java.uid()}-{uuid4().hex[:8]}",
-        _array(lambda j: j.org.apache.spark.ml.classification.DecisionTreeClassificationModel,
-               trees), java.numFeatures(), 2)
-    return _wrapped(java, made, RandomForestClassificationModel, numTrees=len(trees))
-
-
 def node_table(spark: SparkSession, model) -> DataFrame:
     """tree, id, prediction, stats, raw_count, left, feature, threshold: one row per node.
 
@@ -184,6 +171,12 @@ def draws(seed: int, tree: Column | int, key: Column | str) -> Column:
                F.when(number >= POISSON[0], 1).otherwise(0))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows that many trees will read, dealt to all cores if they lie in fewer partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(4 * cores, key)
+
+
 def bootstrap_totals(df: DataFrame, label: str, key: str, n_trees: int, seed: int) -> DataFrame:
     """tree, label, n_rows, n_draws: rows drawn for each tree and their draws, by class."""
     each = df.select(F.col(label).alias("y"), F.col(key).alias("k"),

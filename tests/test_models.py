@@ -7,12 +7,14 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from churnspark.contracts import SNAPSHOT
 from churnspark.functions import columns as C
 from churnspark.functions.playbook import GRADE_ACTION
-from churnspark.operators import certificates, evaluation, importance, models, segments, trees
+from churnspark.operators import (
+    certificates, evaluation, forest, importance, models, segments, trees)
 from churnspark.plans import serve
 from churnspark.plans import workspace as W
 from churnspark.plans.prepare import LABEL
@@ -127,6 +129,27 @@ def test_forest_votes_with_trees_of_their_own_bootstraps(spark):
     assert np.allclose(got, sum(votes) / 6)
 
 
+def test_jobs_of_a_forest_do_not_grow_with_its_trees(spark):
+    df, sc = noisy(spark, 300), spark.sparkContext
+    sc.setJobGroup("forest_jobs", "")
+    models.fit_model(models.FOREST, df, ["a", "b"], "y", "id", models.ModelSettings(forest_trees=90))
+    sc.setJobGroup("others", "")
+    assert len(sc.statusTracker().getJobIdsForGroup("forest_jobs")) < 90
+
+
+def test_forest_of_nodes_beyond_a_task_is_whole(spark):
+    df = models.Assemble(inputCols=["a", "b"]).transform(noisy(spark, 900))
+    learner = RandomForestClassifier(maxDepth=9, minInstancesPerNode=8, seed=42, labelCol="y",
+                                     featuresCol="features", weightCol="tree_weight")
+    # nodes of more than 50 rows are split by summed histograms
+    grown = forest.grow_forest(df, "y", "id", learner, 7, True, task_cells=100)
+    settings = models.ModelSettings(forest_trees=7)
+    rows = certificates.forest_leaves(PipelineModel(stages=[grown]), df, "y", "id",
+                                      settings).collect()
+    assert len(rows) == 14 and all(r.n_bad_leaves == r.n_small_leaves == 0 for r in rows)
+    assert max(t.depth for t in grown.trees) > 4
+
+
 def test_tree_index_gives_the_same_importance(spark):
     df = noisy(spark, 600).withColumn("c", F.lit(1.0)).withColumn("d", F.col("id") % 5 * 1.0)
     features = ["a", "b", "c", "d"]
