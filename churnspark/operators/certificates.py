@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from churnspark.operators import models, trees
 from churnspark.operators.preparation import MissingFlagsModel
 from churnspark.operators.scale import rows_from_aggregates
+from churnspark.session import cut_lineage
 
 INTERCEPT = "(intercept)"
 #: Largest difference between a stored and a recomputed figure, as a share of the larger one.
@@ -87,9 +88,9 @@ def _leaf_stats(rows: DataFrame, label: str) -> DataFrame:
         F.sum(F.when(y == 1, w).otherwise(0.0)).alias("w1"), F.count("*").alias("n_rows"))
 
 
-def _per_class(rows: DataFrame, label: str, *more) -> DataFrame:
+def _per_class(rows: DataFrame, label: str) -> DataFrame:
     return rows.groupBy("tree", label).agg(
-        F.count("*").alias("n_rows"), F.round(F.sum("w"), 4).alias("weight"), *more)
+        F.count("*").alias("n_rows"), F.round(F.sum("w"), 4).alias("weight"))
 
 
 def tree_leaves(model: PipelineModel, train: DataFrame, label: str, weight: str,
@@ -112,18 +113,29 @@ def forest_leaves(model: PipelineModel, train: DataFrame, label: str, key: str,
     n_draws. Rows are multiplied by the trees on the way to the aggregates only."""
     fit = _learner(model)
     s = settings
+    train = trees.spread(train, key)  # each row is work for all trees
     ready = _assembled(model, train, fit)
-    totals = trees.bootstrap_totals(train, label, key, s.forest_trees, s.seed)
+    totals = cut_lineage(trees.bootstrap_totals(train, label, key, s.forest_trees, s.seed))
     sums = totals.groupBy("tree").agg(F.sum("n_draws").alias("all_draws"))
     weights = totals.join(sums, "tree").select("tree", label, (
         F.col("all_draws") / (2 * F.col("n_draws"))).alias("class_weight"))  # two rows a tree
-    rows = (_routed(fit, ready, [key, label])
-            .withColumn("n", trees.draws(s.seed, F.col("tree"), key)).where("n > 0")
-            .join(F.broadcast(weights), ["tree", label])
-            .select("tree", "leaf", label, "n", (F.col("n") * F.col("class_weight")).alias("w")))
-    checked = _compared(_leaf_stats(rows, label), trees.leaf_table(
-        trees.node_table(train.sparkSession, fit)), s.forest_leaf)
-    return _per_class(rows, label, F.sum("n").alias("n_draws")).join(checked, "tree")
+    # One pass routes the rows; two rows a leaf are left of it.
+    cells = cut_lineage(
+        _routed(fit, ready, [key, label])
+        .withColumn("n", trees.draws(s.seed, F.col("tree"), key)).where("n > 0")
+        .join(F.broadcast(weights), ["tree", label])
+        .groupBy("tree", "leaf", label).agg(
+            F.count("*").alias("n_rows"), F.sum("n").alias("n_draws"),
+            F.sum(F.col("n") * F.col("class_weight")).alias("w")))
+    y, w = F.col(label), F.col("w")
+    seen = cells.groupBy("tree", "leaf").agg(
+        F.sum(F.when(y == 0, w).otherwise(0.0)).alias("w0"),
+        F.sum(F.when(y == 1, w).otherwise(0.0)).alias("w1"), F.sum("n_rows").alias("n_rows"))
+    checked = _compared(seen, trees.leaf_table(trees.node_table(train.sparkSession, fit)),
+                        s.forest_leaf)
+    return cells.groupBy("tree", label).agg(
+        F.sum("n_rows").alias("n_rows"), F.round(F.sum("w"), 4).alias("weight"),
+        F.sum("n_draws").alias("n_draws")).join(checked, "tree")
 
 
 def boosted_leaves(model: PipelineModel, rows: DataFrame, label: str, weight: str) -> DataFrame:
