@@ -75,7 +75,10 @@ def key_buckets(df: DataFrame, key: str, tie: str | None = None,
     small = df.sparkSession.createDataFrame(
         hot_rows, df.select(key, F.array(tie).alias("_cuts")).schema)
     df = df.join(F.broadcast(small), key, "left")
-    below = F.size(F.filter("_cuts", lambda b: b < F.col(tie)))
+    # Binary search for the cuts below, as every row would else walk through all of them.
+    steps = [1 << i for i in reversed(range(parts.bit_length()))]
+    below = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(
+        F.get("_cuts", at + step - 1) < F.col(tie), at + step).otherwise(at))
     sub = F.when(F.col("_cuts").isNull(), F.lit(parts)).otherwise(below)
     return df.withColumn("_sub", sub).drop("_cuts"), len(splits) - 1
 

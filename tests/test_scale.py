@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from churnspark.functions.columns import hash_order
 from churnspark.operators import grouping
 from churnspark.operators.evaluation import gain_at, gain_curve, ranked_scores, roc_curve
-from churnspark.operators.scale import exact_quantiles, hash_cutoffs, prefix_sum
+from churnspark.operators.scale import exact_quantiles, hash_cutoffs, key_buckets, prefix_sum
 from churnspark.operators.splitting import allocate, seeded_sample, stratified_split
 
 
@@ -172,3 +172,14 @@ def test_both_quantile_ways_agree_to_the_last_bit(spark):
     probs = [0.0, 0.01, 0.1, 0.25, 1 / 3, 0.5, 0.75, 0.99, 1.0]
     assert exact_quantiles(df, list("abc"), probs) == exact_quantiles(
         df, list("abc"), probs, small_column=0)
+
+
+def test_tied_text_keys_find_their_bucket_by_binary_search(spark):
+    df = spark.range(2_000).select(F.lit(0.5).alias("k"), F.format_string("C%05d", "id").alias("tie"))
+    placed, _ = key_buckets(df, "k", "tie", rows_per_bucket=50)
+    assert "filter(_cuts" not in placed._jdf.queryExecution().analyzed().toString()
+    parts = placed.groupBy("_bucket", "_sub").agg(
+        F.count("*").alias("n"), F.min("tie").alias("lo"), F.max("tie").alias("hi")) \
+        .orderBy("_bucket", "_sub").collect()
+    assert len(parts) > 20 and sum(r.n for r in parts) == 2_000
+    assert all(a.hi < b.lo for a, b in zip(parts, parts[1:]))
