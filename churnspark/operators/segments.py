@@ -91,7 +91,8 @@ def fit_kmeans(vectors: DataFrame, k: int = 5, seed: int = 42, n_init: int = 20,
     Runs are independent Spark jobs, so several are submitted at a time.
     """
     def run(number: int) -> tuple[float, int, KMeansModel]:
-        model = KMeans(k=k, seed=seed + number, maxIter=max_iter, tol=tol).fit(vectors)
+        model = KMeans(k=k, seed=seed + number, maxIter=max_iter, tol=tol,
+                       solver="block").fit(vectors)
         return model.summary.trainingCost, number, model
 
     with ThreadPool(min(parallelism, n_init)) as pool:
@@ -305,7 +306,8 @@ def scan_k(scaled: DataFrame, features: Sequence[str], key: str, ks: Sequence[in
 
     def run(start: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
         k, number = start
-        model = KMeans(k=k, seed=seed + number, maxIter=300, tol=1e-4).fit(vectors)
+        model = KMeans(k=k, seed=seed + number, maxIter=300, tol=1e-4,
+                       solver="block").fit(vectors)
         return k, model.summary.trainingCost, number, model
 
     starts = [(k, number) for k in ks for number in range(n_init if k > 1 else 1)]

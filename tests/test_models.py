@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from churnspark.contracts import SNAPSHOT
@@ -401,3 +402,14 @@ def test_statistics_cover_all_rows_of_a_bounded_fit(spark, monkeypatch):
         rows.append([r.features for r in model.transform(gap).orderBy("k").collect()])
     assert seen == [2000, 2000]
     assert rows[0] == rows[1]
+
+
+def test_kmeans_runs_over_blocks_of_rows(spark):
+    df = noisy(spark, 600).select("id", F.col("a").alias("z_a"), F.col("b").alias("z_b"))
+    vectors = segments.segment_vectors(df, ["a", "b"]).persist()
+    model, cost = segments.fit_kmeans(vectors, k=3, n_init=2)
+    assert model.getSolver() == "block"
+    by_rows = min(KMeans(k=3, seed=seed, maxIter=300, tol=1e-4, solver="row").fit(vectors)
+                  .summary.trainingCost for seed in (42, 43))
+    vectors.unpersist()
+    assert cost == pytest.approx(by_rows, rel=1e-9)
