@@ -167,8 +167,10 @@ def draws(seed: int, tree: Column | int, key: Column | str) -> Column:
     tree = F.lit(tree) if isinstance(tree, int) else tree
     text = F.concat(F.lit(f"forest{seed}:"), tree.cast("string"), F.lit(":"), key.cast("string"))
     number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / 2 ** 32
-    return sum((F.when(number >= p, 1).otherwise(0) for p in POISSON[1:]),
-               F.when(number >= POISSON[0], 1).otherwise(0))
+    # One element through a lambda: the hash is computed once, not for every chance.
+    return F.get(F.transform(F.array(number), lambda u: sum(
+        (F.when(u >= p, 1).otherwise(0) for p in POISSON[1:]),
+        F.when(u >= POISSON[0], 1).otherwise(0))), F.lit(0))
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
