@@ -154,7 +154,8 @@ def fit_boosting(table: DataFrame, label: str, settings: ModelSettings) -> list:
     With early stopping, rows marked ``holdout`` are kept out of the fit; their loss after every
     round is read off the fitted trees in one pass. The model ends at the first round after which
     ``stop_patience`` rounds gained no more than ``stop_tolerance``, at every size. As a round never depends on later ones,
-    fits of 40, 80, 160 ... rounds are tried until that round is among them.
+    fits of 40, 80, 160 ... rounds are tried until that round is among them; rounds that the
+    losses show to be needed are not left to a later fit (``trees.expected_rounds``).
     """
     s = settings
     if not s.early_stopping:
@@ -168,7 +169,9 @@ def fit_boosting(table: DataFrame, label: str, settings: ModelSettings) -> list:
             losses, s.stop_patience, s.stop_tolerance)
         if stop is not None or rounds >= s.boosting_rounds:
             break
-        rounds = min(2 * rounds, s.boosting_rounds)
+        expected = 0 if losses is None else trees.expected_rounds(
+            losses, s.stop_patience, s.stop_tolerance)
+        rounds = int(min(max(2 * rounds, expected), s.boosting_rounds))
     kept = rounds if stop is None else stop
     return [trees.some_trees(model, range(kept)),
             RoundLosses(losses=(losses or [])[:kept + 1], rounds=kept)]

@@ -6,6 +6,7 @@ on, what its leaves say, and how many rows stand behind them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from uuid import uuid4
 
@@ -54,10 +55,11 @@ def some_trees(model: GBTClassificationModel, keep: Sequence[int]) -> GBTClassif
 
 
 def node_table(spark: SparkSession, model) -> DataFrame:
-    """tree, id, prediction, stats, raw_count, left, feature, threshold: one row per node.
+    """tree, id, prediction, stats, raw_count, left, right, feature, threshold, categories: one
+    row per node.
 
-    ``stats`` are the weighted class totals of a classification tree; ``left`` and ``feature`` are
-    -1 in leaves. Node numbers ascend as the tree is walked left first. The table is written by the
+    ``stats`` are the weighted class totals of a classification tree; ``left``, ``right`` and
+    ``feature`` are -1 in leaves, ``categories`` is -1 where a split is a threshold. Node numbers ascend as the tree is walked left first. The table is written by the
     model itself to the shared folder, so its size is not bounded by the driver.
     """
     path = f"{shared_folder(spark)}/churnspark/{spark.sparkContext.applicationId}/nodes-{uuid4().hex}"
@@ -70,8 +72,9 @@ def node_table(spark: SparkSession, model) -> DataFrame:
         F.col("treeID").alias("tree"), node["id"].alias("id"),
         node["prediction"].alias("prediction"), node["impurityStats"].alias("stats"),
         node["rawCount"].alias("raw_count"), node["leftChild"].alias("left"),
-        node["split"]["featureIndex"].alias("feature"),
-        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"))
+        node["rightChild"].alias("right"), node["split"]["featureIndex"].alias("feature"),
+        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+        node["split"]["numCategories"].alias("categories"))
 
 
 def leaf_table(nodes: DataFrame) -> DataFrame:
@@ -108,6 +111,54 @@ def leaf_values(spark: SparkSession, model: GBTClassificationModel) -> np.ndarra
     return out
 
 
+class BlockTrees:
+    """A boosted model's nodes as arrays, to walk all trees for a block of rows. Leaves lead to
+    themselves, so a walk of ``depth`` steps ends in one."""
+
+    def __init__(self, rows: Sequence, weights: Sequence[float]):
+        place = {(r.tree, r.id): i for i, r in enumerate(rows)}
+        inner = [r.left >= 0 for r in rows]
+        self.feature = np.array([r.feature if i else 0 for r, i in zip(rows, inner)], np.int32)
+        self.threshold = np.array([r.threshold if i else 0.0 for r, i in zip(rows, inner)])
+        self.left, self.right = (np.array(
+            [place[r.tree, child] if i else n
+             for n, (r, i, child) in enumerate(zip(rows, inner, children))], np.int32)
+            for children in ([r.left for r in rows], [r.right for r in rows]))
+        self.value = np.array([r.prediction * weights[r.tree] for r in rows])
+        self.roots = np.array([place[tree, 0] for tree in range(len(weights))], np.int32)
+        self.depth, at = 0, self.roots
+        while len(at := at[self.left[at] != at]):
+            self.depth, at = self.depth + 1, np.concatenate([self.left[at], self.right[at]])
+
+    def values(self, x: np.ndarray, keep: Sequence[int] | None = None) -> np.ndarray:
+        """Weighted prediction of each kept tree (all by default) for each row."""
+        roots = self.roots if keep is None else self.roots[list(keep)]
+        flat, starts = x.ravel(), (np.arange(len(x)) * x.shape[1])[:, None]
+        at = np.broadcast_to(roots, (len(x), len(roots)))
+        for _ in range(self.depth):
+            here = flat[starts + self.feature[at]]
+            at = np.where(here <= self.threshold[at], self.left[at], self.right[at])
+        return self.value[at]
+
+
+def block_trees(nodes: DataFrame, weights: Sequence[float]) -> BlockTrees:
+    """The nodes of a boosted model (rounds x 2^(depth + 1) at most) on the driver."""
+    return BlockTrees(nodes.select("tree", "id", "prediction", "left", "right", "feature",
+                                   "threshold").collect(), weights)
+
+
+def slices(batches, rows: int = 1000):
+    """The batches in blocks of ``rows``, as a block of all trees is that many times wider."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy().astype(np.int64).reshape(-1, width)
 
@@ -154,6 +205,20 @@ def stop_round(losses: Sequence[float], patience: int, tolerance: float) -> int
     return None
 
 
+def expected_rounds(losses: Sequence[float], patience: int, tolerance: float) -> float:
+    """Rounds until ``patience`` rounds gain no more than ``tolerance``, if the gains go on to
+    shrink as in the last rounds; ``inf`` if they do not shrink, 0 if too few are known."""
+    last = len(losses) - 1
+    if last < 2 * patience:
+        return 0
+    before, gain = (losses[at - patience] - losses[at] for at in (last - patience, last))
+    if gain <= tolerance:
+        return last
+    if before <= gain:
+        return math.inf
+    return last + patience * math.log(gain / tolerance) / math.log(before / gain)
+
+
 # ---- bootstraps ---------------------------------------------------------------------------
 
 #: Distribution of a Poisson variable of mean 1: chances of at most 0, 1, 2 ... draws.

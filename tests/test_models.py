@@ -413,3 +413,38 @@ def test_kmeans_runs_over_blocks_of_rows(spark):
                   .summary.trainingCost for seed in (42, 43))
     vectors.unpersist()
     assert cost == pytest.approx(by_rows, rel=1e-9)
+
+
+def test_importance_goes_through_each_table_once(spark, monkeypatch):
+    """The steps do not grow with the features, and blocks give the library's margins."""
+    df = noisy(spark, 400).selectExpr("*", "IF(id % 7 = 0, NULL, a * b) AS c", "id % 5 + 0.5 AS d")
+    features = ["a", "b", "c", "d"]
+    settings = models.ModelSettings(boosting_rounds=9, boosting_depth=4, early_stopping=False)
+    model = models.fit_model(models.BOOSTING, df, features, "y", "id", settings)
+    before, boosted = PipelineModel(stages=model.stages[:-1]), model.stages[-1]
+    rows = before.transform(df).select("features")
+    block = trees.block_trees(trees.node_table(spark, boosted), boosted.treeWeights)
+    found = block.values(np.array([r.features.toArray() for r in rows.collect()]))
+    want = [r.rawPrediction[1] for r in boosted.transform(rows).collect()]
+    assert found.shape == (400, 9) and found.sum(axis=1) == pytest.approx(want, abs=1e-12)
+    scored = []
+    monkeypatch.setattr(PipelineModel, "transform",
+                        lambda self, table, own=PipelineModel.transform: (
+                            scored.append(1), own(self, table))[1])
+    got = {r.feature: r for r in importance.boosted_importance(
+        df, features, "y", "id", model).collect()}
+    assert len(scored) == 1
+    monkeypatch.undo()
+    for r in importance.permutation_importance(
+            df, features, "y", "id", lambda t, keep: models.score(model, t, keep)).collect():
+        assert got[r.feature].importance_mean == pytest.approx(r.importance_mean, abs=1e-9)
+
+
+def test_rounds_are_fitted_again_only_if_the_losses_leave_it_open():
+    falling = [1 + 0.99 ** n for n in range(41)]  # 0.1 a round: far from a tolerance of 1e-7
+    assert trees.expected_rounds(falling, 10, 1e-7) > 1000
+    assert trees.expected_rounds([1 - n / 64 for n in range(41)], 10, 1e-7) == float("inf")
+    near = [1 + 0.5 ** n for n in range(21)]
+    assert 20 < trees.expected_rounds(near, 10, 1e-7) < 40
+    assert trees.expected_rounds(near[:15], 10, 1e-7) == 0
+    assert trees.expected_rounds([1.0] * 30, 10, 1e-7) == 29
