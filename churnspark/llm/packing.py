@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import stored, texts_of
-from churnspark.llm.tokens import encoder
+from churnspark.llm.tokens import encoder, text_groups
 
 CAPACITY = 2048
 BLOCK = 20_000
@@ -31,10 +31,10 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, e
         codec = encoder(tokenizer_path, drop_spaces=True)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at, n_rows in text_groups(batch.column(1)):
+                some = batch.slice(at, n_rows)
                 rows = ([], [], [], [], [], [])
-                raws = codec.encode(some.column(1).to_pylist())
+                raws = codec.encode(some.column(1))
                 for doc, raw in zip(some.column(0).to_pylist(), raws, strict=True):
                     raw += end
                     for n, start in enumerate(range(0, len(raw), 4 * capacity)):

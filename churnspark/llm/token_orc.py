@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import texts_of
-from churnspark.llm.tokens import encoder
+from churnspark.llm.tokens import encoder, text_groups
 
 ROW_INDEX_STRIDE = 1000
 STRIPE_BYTES = 32 << 20
@@ -37,9 +37,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         codec = encoder(tokenizer_path)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
-                raw = [ids + end for ids in codec.encode(some.column(1).to_pylist())]
+            for at, n_rows in text_groups(batch.column(1)):
+                some = batch.slice(at, n_rows)
+                raw = [ids + end for ids in codec.encode(some.column(1))]
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array([len(r) // 4 for r in raw], pa.int64()),
                      _arrays(raw)], ["doc_id", "n_tokens", "ids"])

@@ -7,9 +7,10 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space other than space, tab and line ends, or what some library takes for it: texts
 #: that hold any are encoded whole.
@@ -36,7 +37,31 @@ def byte_letters() -> dict[int, str]:
     table.update((b, chr(256 + i)) for i, b in enumerate(sorted(set(range(256)) - table.keys())))
     return table
 LONG_PIECE = 64
-GROUP_CHARS = 1 << 20
+GROUP_BYTES = 4 << 20
+PACK = [struct.Struct(f"<{n}I").pack for n in range(2 * LONG_PIECE + 1)]
+
+
+def text_offsets(texts: pa.Array) -> np.ndarray:
+    """Where each text of a string column without nulls starts in its buffer, and the last ends."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)
+    return offsets[texts.offset:texts.offset + len(texts) + 1]
+
+
+def text_groups(texts: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of slices of about ``limit`` bytes, or of one longer text."""
+    at, ends = 0, text_offsets(texts)[1:] if len(texts) else []
+    while at < len(texts):
+        start = int(ends[at - 1]) if at else int(text_offsets(texts)[0])
+        to = max(at + 1, int(np.searchsorted(ends, start + limit, side="right")))
+        yield at, to - at
+        at = to
+
+
+def strings(texts: pa.Array) -> list[str]:
+    """The texts of a string column without nulls: as one text that is split, which is faster."""
+    whole = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts)
+    out = pc.binary_join(whole, "\0")[0].as_py().split("\0")
+    return out if len(out) == len(texts) else texts.to_pylist()
 
 
 class PieceEncoder:
@@ -61,6 +86,33 @@ class PieceEncoder:
             return [text]
         return text.split() if self.drop_spaces else PIECE.findall(text)
 
+    def piece_column(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """All pieces of the texts in order, by distinct ones, and each text's first piece.
+
+        Cut in the bytes: white space is a byte of its own there.
+        """
+        offsets = text_offsets(texts)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        ends = (offsets - offsets[0]).astype(np.int64)
+        space = (data == 32) | (data == 10) | (data == 9) | (data == 13)
+        first = np.zeros(len(data), bool)
+        first[1:] = space[1:] & ~space[:-1]
+        whole = np.flatnonzero(pc.match_substring_regex(texts, ODD_SPACE.pattern)
+                               .to_numpy(zero_copy_only=False))
+        for text in whole:
+            first[ends[text]:ends[text + 1]] = False
+            space[ends[text]:ends[text + 1]] = False
+        first[ends[:-1][ends[:-1] < ends[1:]]] = True
+        starts = np.flatnonzero(first)
+        at = np.searchsorted(starts, ends)
+        if self.drop_spaces:
+            starts = (np.cumsum(~space) - ~space)[starts]
+            data = data[~space]
+        cuts = np.append(starts, len(data)).astype(np.int32)
+        found = pa.Array.from_buffers(pa.string(), len(starts), [
+            None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))])
+        return found.dictionary_encode(), at
+
     def encode_pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
         """Ids of each piece as little-endian unsigned 32-bit numbers.
 
@@ -73,8 +125,12 @@ class PieceEncoder:
         for piece in pieces:
             if PLAIN.fullmatch(piece) and len(piece) <= LONG_PIECE:
                 text = piece.lower() if self.drop_spaces else piece
-                ids = [t.id for t in tokenize(text.encode().decode("latin-1").translate(letters))]
-                out[piece] = struct.pack(f"<{len(ids)}I", *ids)
+                if not text.isascii():
+                    text = text.encode().decode("latin-1").translate(letters)
+                elif text[0] == " ":
+                    text = letters[32] + text[1:]
+                ids = [t.id for t in tokenize(text)]
+                out[piece] = PACK[len(ids)](*ids)
             elif "<|" in piece or len(piece) > 4096 or self.separator is None:
                 ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
                 out[piece] = np.asarray(ids, dtype="<u4").tobytes()
@@ -91,38 +147,55 @@ class PieceEncoder:
             out.update((p, raw[a:b]) for p, a, b in zip(some, starts, ends, strict=True))
         return out
 
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        group: list[list[str]] = []
-        chars = 0
-        for text in texts:
-            group.append(self.pieces(text))
-            chars += len(text)
-            if chars >= GROUP_CHARS:
-                yield from self._joined(group)
-                group, chars = [], 0
-        yield from self._joined(group)
-
-    def _joined(self, group: list[list[str]]) -> Iterator[bytes]:
-        get = self.known.get
-        found = [list(map(get, pieces)) for pieces in group]
-        gaps = [[i for i, ids in enumerate(row) if ids is None] if None in row else ()
-                for row in found]
-        fresh = {pieces[i] for pieces, gap in zip(group, gaps, strict=True) for i in gap}
-        if len(self.known) + len(fresh) > self.limit:
+    def encode(self, texts: Iterable[str] | pa.Array) -> Iterator[bytes]:
+        """Ids of each text, as little-endian unsigned 32-bit numbers."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(list(texts), pa.string())
+        if column.type != pa.string():
+            column = column.cast(pa.string())
+        for at, rows in text_groups(column):
+            yield from self._joined(column.slice(at, rows))
+
+    def _joined(self, texts: pa.Array) -> Iterator[bytes]:
+        pieces, at = self.piece_column(texts)
+        distinct = strings(pieces.dictionary)
+        found = list(map(self.known.get, distinct))
+        if None in found:
+            self._fill(distinct, found)
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(lengths) - lengths
+        places = pieces.indices.to_numpy()
+        each = lengths[places]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        ids = np.repeat(starts[places] - ends[:-1], each)
+        ids += np.arange(len(ids))
+        raw = np.frombuffer(b"".join(found), "<u4")[ids].tobytes()
+        cuts = (4 * ends[at]).tolist()
+        for start, end in zip(cuts, cuts[1:]):
+            yield raw[start:end]
+
+    def _fill(self, pieces: list[str], found: list[bytes | None]) -> None:
+        """Puts the ids of the pieces that the store does not hold into ``found`` and the store."""
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        if len(self.known) + len(gaps) > self.limit:
             self.known.clear()
-        # A comma or full stop after a letter is always cut off by the library's split.
-        ending = {p for p in fresh if p[-1:] in MARKS and LATIN_LETTER.match(p[-2:-1])}
-        whole = (fresh - ending | {p[:-1] for p in ending} | MARKS) - self.known.keys()
-        self.known.update(self.encode_pieces(whole))
-        for piece in ending:
-            self.known[piece] = self.known[piece[:-1]] + self.known[piece[-1]]
-        for pieces, row, gap in zip(group, found, gaps, strict=True):
-            for i in gap:
-                row[i] = self.known[pieces[i]]
-            yield b"".join(row)
-        for piece in fresh | whole:
+        known, whole, ending, overlong = self.known, set(MARKS), [], []
+        for i in gaps:
+            piece = pieces[i]
+            # A comma or full stop after a letter is always cut off by the library's split.
+            if piece[-1:] in MARKS and LATIN_LETTER.match(piece[-2:-1]):
+                ending.append(piece)
+                whole.add(piece[:-1])
+            else:
+                whole.add(piece)
             if len(piece) > LONG_PIECE:
-                del self.known[piece]
+                overlong += piece, piece[:-1]
+        known.update(self.encode_pieces([p for p in whole if p not in known]))
+        for piece in ending:
+            known[piece] = known[piece[:-1]] + known[piece[-1]]
+        for i in gaps:
+            found[i] = known[pieces[i]]
+        for piece in overlong:
+            known.pop(piece, None)
 
 
 @lru_cache(maxsize=4)

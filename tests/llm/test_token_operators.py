@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 from churnspark.llm import bpe_codec, token_counts, token_orc
 from churnspark.llm.common import scratch
 from churnspark.llm.queries import BYTE_BPE, RANKS, WORD_BPE
-from churnspark.llm.tokens import PieceEncoder
+from churnspark.llm.tokens import PieceEncoder, text_groups
 from conftest_llm import ODD, tuples
 
 
@@ -119,3 +120,30 @@ def test_files_are_summed_up_by_number(spark, tmp_path):
     for _, start, n, _ in sorted(got):
         assert start == ends
         ends += n
+
+
+@pytest.mark.parametrize("path,words", [(BYTE_BPE, False), (WORD_BPE, True)])
+def test_blocks_of_texts_give_the_librarys_ids(path, words):
+    """Columns are cut in their bytes: slices, empty texts, zeros, odd spaces, texts of no group."""
+    texts = ["skipped", "", "a b. c,\n", " \t ", "x\0y \0", "naïve café 你好  .",
+             "w" * 90 + ". " + "w" * 90, "", "\n\nA\r\n b", "one <|endoftext|> two", "end. "]
+    own, library = PieceEncoder(path, words, limit=7), Tokenizer.from_file(path)
+    want = [np.asarray(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            for t in texts]
+    column = pa.array(texts, pa.string()).slice(1)
+    assert list(own.encode(column)) == list(own.encode(column.cast(pa.large_string()))) == want[1:]
+    assert all(len(p) <= 64 for p in own.known)
+    assert list(own.encode([])) == [] and list(own.encode(["", ""])) == [b"", b""]
+    assert list(text_groups(column, 12)) == [(0, 3), (3, 1), (4, 1), (5, 1), (6, 2), (8, 1), (9, 1)]
+
+
+def test_pieces_are_looked_up_once_a_block():
+    own, seen = PieceEncoder(BYTE_BPE), []
+
+    class Known(dict):
+        def get(self, piece, default=None):
+            seen.append(piece)
+            return super().get(piece, default)
+    own.known = Known()
+    assert len(list(own.encode(["the same words again " * 500] * 20))) == 20
+    assert len(seen) == len(set(seen))
