@@ -80,18 +80,17 @@ def _places(classes: Classes, at: int) -> list[tuple[int, ...]]:
     return out
 
 
-def _entry(wide: Column, n: Column, place: Column) -> Column:
-    """(k, probe) for one place, null if the line has none there; ``wide`` has four bytes for
-    each character, so that a substring is found without counting characters."""
-    parts, length = place["edits"] + 1, n - place["longer"]
+def _entry(place: Column) -> tuple[Column, Column]:
+    """Whether a line of n characters has such a place, and the key found there; ``wide`` has four
+    bytes for each character, so that a substring is found without counting characters."""
+    n, parts = F.col("n"), place["edits"] + 1
+    length = n - place["longer"]
     size, rest = F.floor(length / parts).cast("int"), length % parts
     long = place["segment"] >= parts - rest  # the last segments take what is left over
     start = place["segment"] * size + F.greatest(F.lit(0), place["segment"] - (parts - rest))
     at, size = start + place["shift"], size + F.when(long, 1).otherwise(0)
     fits = (length >= place["low"]) & (length < place["high"]) & (at >= 0) & (at + size <= n)
-    return F.when(fits, F.struct(
-        F.xxhash64(length, place["segment"], F.substr(wide, at * 4 + 1, size * 4)).alias("k"),
-        place["probe"].alias("probe")))
+    return fits, F.xxhash64(length, place["segment"], F.substr("wide", at * 4 + 1, size * 4))
 
 
 def _keys(lines: DataFrame, classes: Classes) -> DataFrame:
@@ -101,18 +100,20 @@ def _keys(lines: DataFrame, classes: Classes) -> DataFrame:
     """
     names = ("edits", "low", "high", "longer", "segment", "shift", "probe")
     kind = "array<struct<" + ",".join(f"{c}:int" for c in names) + ">>"
-    wanted = None
+    # Places are dealt out before their keys are made: that runs as compiled code, a function over
+    # an array would not. The table is chosen by the length of ``wide``, so that ``wide`` is made
+    # before the places are dealt out, once a line.
+    wanted, n = None, F.floor(F.length("wide") / 4)
     for i, (low, high, _) in enumerate(classes):
         table = F.from_json(F.lit(json.dumps([
             dict(zip(names, place, strict=True)) for place in _places(classes, i)])), kind)
-        own = (F.col("n") >= low) & (F.lit(True) if high is None else F.col("n") < high)
+        own = (n >= low) & (F.lit(True) if high is None else n < high)
         wanted = F.when(own, table) if wanted is None else wanted.when(own, table)
-    found = F.filter(F.transform(wanted, lambda p: _entry(F.col("wide"), F.col("n"), p)),
-                     lambda e: e.isNotNull())
+    fits, key = _entry(F.col("place"))
     return (lines.select("id", "n", F.encode("line", "UTF-32").alias("wide"))
-            .select("id", F.explode(found).alias("e"))
-            .select("e.k", F.call_function("shiftleft", F.col("id"), F.lit(1))
-                    .bitwiseOR(F.col("e.probe").cast("long")).alias("code")))
+            .select("id", "n", "wide", F.explode(wanted).alias("place")).where(fits)
+            .select(key.alias("k"), F.call_function("shiftleft", F.col("id"), F.lit(1))
+                    .bitwiseOR(F.col("place.probe").cast("long")).alias("code")))
 
 
 def chars_of(line: str) -> Column:
