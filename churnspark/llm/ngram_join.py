@@ -31,6 +31,8 @@ TILE = 2048
 #: Partners of a set that are looked at in each search of large shards; last, all.
 BEST_FIRST = (4, 32, None)
 SEEN = 200_000
+#: Bits of a bitmap for each of its values, and in all.
+BITS, MOST_BITS = 64, 1 << 27
 #: Shingles of lowest hash that a set of n puts into shards, and how many of them two linked
 #: sets share at least, whatever the other's size. Similarity 0.8: a link leaves out n / 5 of
 #: either set at most, and the smaller set has 4 / 5 of the larger one's shingles at least.
@@ -273,32 +275,64 @@ def _tree_pairs(members: DataFrame, best: int | None = None, tiled: bool = False
             .sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct())
 
 
+def _among(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``column``, a 64-bit hash, may be a value of ``wanted``'s only column.
+
+    All rows with such a value stay; about one in ``BITS`` of the others does too. Tasks get a
+    bitmap of the values, of 16 MB at most (beyond two million values, more other rows stay), so
+    what is not asked for is not shuffled.
+    """
+    least = BITS * max(1, wanted.count())
+    size = min(MOST_BITS, 1 << (least - 1).bit_length())
+    place = F.pmod(F.col(column), F.lit(size).cast("long"))
+    bits = (wanted.toDF(column)
+            .select(F.bitmap_bucket_number(place).alias("piece"),
+                    F.bitmap_bit_position(place).alias("bit"))
+            .repartition("piece").groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    byte = "cast(conv(hex(substring(bits, cast(bit div 8 AS int) + 1, 1)), 16, 10) AS int)"
+    return (rows.withColumn("piece", F.bitmap_bucket_number(place))
+            .withColumn("bit", F.bitmap_bit_position(place))
+            .join(F.broadcast(bits), "piece")
+            .where(f"getbit({byte}, cast(bit % 8 AS int)) = 1").select(*rows.columns))
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, n, shingles) of the wanted (id, text_hash)."""
+    """(id, n, shingles) of the wanted text_hash, and of few others.
+
+    Sets are made where the texts are read, and a task gives each once; texts are not shuffled.
+    """
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
-                found = list(shingle_sets([t.encode() for t in some.column(1).to_pylist()]))
+                found = list(shingle_sets([t.encode() for t in
+                                           batch.slice(at, 500).column(0).to_pylist()]))
                 names = [int.from_bytes(hashlib.blake2b(f.tobytes(), digest_size=8).digest(),
                                         "little", signed=True) for f in found]
-                keep = [n == w for n, w in zip(names, some.column(0).to_pylist(), strict=True)]
+                new = []
+                for i, name in enumerate(names):
+                    if name not in seen:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(name)
+                        new.append(i)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array([len(f) for f in found], pa.int64()),
-                     pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
-                    ["id", "n", "shingles"]).filter(pa.array(keep))
+                    [pa.array([names[i] for i in new], pa.int64()),
+                     pa.array([len(found[i]) for i in new], pa.int64()),
+                     pa.array([found[i].view(np.int64) for i in new], pa.list_(pa.int64()))],
+                    ["id", "n", "shingles"])
 
     texts = texts_of(docs).select(F.xxhash64("text").alias("text_hash"), "text")
-    return (texts.join(wanted, "text_hash").select("id", "text")
+    return (_among(texts, "text_hash", wanted).select("text")
             .mapInArrow(run, "id long, n long, shingles array<long>").dropDuplicates(["id"]))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets overlap enough, counted on the sets themselves."""
-    one = sets.select(F.col("id").alias("a"), F.col("n").alias("na"),
-                      F.col("shingles").alias("sa"))
-    two = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"),
-                      F.col("shingles").alias("sb"))
+    one = _among(sets, "id", pairs.select("a")).select(
+        F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+    two = _among(sets, "id", pairs.select("b")).select(
+        F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     return (pairs.join(one, "a").join(two, "b")
             .where("9L * size(array_intersect(sa, sb)) >= 4L * (na + nb)").select("a", "b"))
 
@@ -310,12 +344,12 @@ def _spanning(pairs: DataFrame, roots: DataFrame | None, sets: DataFrame) -> Dat
     ends are not connected by then. Pairs inside a component need no check, so a group of near
     copies costs as many checks as it has members.
     """
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = stored(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
     known = merged(roots, _verified(first, sets).toDF("u", "v"))
-    open_pairs = (pairs.join(known.toDF("a", "root_a"), "a", "left")
-                  .join(known.toDF("b", "root_b"), "b", "left")
-                  .where("root_a IS NULL OR root_b IS NULL OR root_a <> root_b")
-                  .select("a", "b").join(first, ["a", "b"], "left_anti"))
+    open_pairs = stored(pairs.join(known.toDF("a", "root_a"), "a", "left")
+                        .join(known.toDF("b", "root_b"), "b", "left")
+                        .where("root_a IS NULL OR root_b IS NULL OR root_a <> root_b")
+                        .select("a", "b").join(first, ["a", "b"], "left_anti"), "open-pairs")
     return merged(known, _verified(open_pairs, sets).toDF("u", "v"))
 
 
@@ -371,7 +405,7 @@ def join(docs: DataFrame) -> SetJoin:
                                                       "left_semi"))
     one_each = stored(wanted.groupBy("id").agg(F.first("counts").alias("counts"),
                                                F.min("text_hash").alias("text_hash")), "wanted")
-    sets = stored(_sets(docs, one_each.select("id", "text_hash")), "sets")
+    sets = stored(_sets(docs, one_each.select("text_hash")), "sets")
     members = shards.join(one_each.select("id", "counts"), "id")
     small = _tree_pairs(members.where(F.col("k") <= STAR_ABOVE))
     large = shards.where(F.col("k") > STAR_ABOVE)

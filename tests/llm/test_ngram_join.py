@@ -127,3 +127,38 @@ def test_keep_one_judges_rows(spark):
     assert sum(g in ends for g in got) == 1
     assert sorted((g for g in got if g not in ends), key=repr) == sorted(
         [(1, a + " more"), (5, b), (None, d), (7, e), (8, None), (8, ""), (None, None)], key=repr)
+
+
+def test_only_wanted_rows_are_shuffled(spark, monkeypatch):
+    """What no pair asks for stays where it is read; what is asked for is whole."""
+    rng = random.Random(9)
+    ids = ([rng.randrange(-1 << 63, 1 << 63) for _ in range(20_000)]
+           + [0, 1, -1, -1 << 63, (1 << 63) - 1])
+    rows = spark.createDataFrame([(i, str(i)) for i in ids], "id long, text string")
+    wanted = ids[::400] + ids[-5:]
+    asked = spark.createDataFrame([(i,) for i in wanted * 2], "x long")
+    found = ngram_join._among(rows, "id", asked)
+    assert found.columns == rows.columns
+    got = [r.id for r in found.collect()]
+    assert set(wanted) <= set(got) and len(got) == len(set(got)) <= len(wanted) + 1_000
+    assert ngram_join._among(rows, "id", asked.where("false")).count() == 0
+    monkeypatch.setattr(ngram_join, "MOST_BITS", 64)  # full: nothing is held back, nothing is lost
+    assert set(wanted) <= {r.id for r in ngram_join._among(rows, "id", asked).collect()}
+
+
+def test_texts_are_not_shuffled_for_their_sets(spark):
+    texts = variants(3, 300, 1) * 2 + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    some = docs.where("doc_id < 20").select(F.xxhash64("text").alias("text_hash"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = ngram_join._sets(docs, some)
+        plan = sets._jdf.queryExecution().executedPlan().toString()
+        found = {r.id: (r.n, len(set(r.shingles))) for r in sets.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(text_hash" not in plan and "SortMergeJoin" not in plan
+    names = {r.id for r in ngram_join._points(docs.where("doc_id < 20")).collect()}
+    assert names <= set(found) and len(found) < 60
+    assert all(n == m for n, m in found.values())
