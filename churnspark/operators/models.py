@@ -57,7 +57,7 @@ class ModelSettings:
     stop_patience: int = 10  # rounds in a row without a gain end the fit
     stop_tolerance: float = 1e-7  # gain of the hold-out loss that counts
     first_rounds: int = 40  # rounds of the first fit; doubled while the loss still falls
-    max_fit_rows: int = 20_000_000  # fits use a sample by hash beyond; trees are on the driver
+    max_fit_rows: int | None = None  # fits take all rows; a caller may ask for a trial on fewer
 
 
 def with_weights(train: DataFrame, label: str, key: str,
@@ -218,8 +218,11 @@ def build_model(name: str, features: Sequence[str], label: str, train_rows: int,
 
 
 def bounded_sample(train: DataFrame, key: str, settings: ModelSettings) -> tuple[DataFrame, int]:
-    """At most about ``max_fit_rows`` rows, those whose key hashes lowest, and the row count."""
+    """All rows and their count; if the caller has set ``max_fit_rows``, about so many, those whose
+    key hashes lowest. No job and no query sets it."""
     rows = train.count()
+    if settings.max_fit_rows is None:
+        return train, rows
     digits = 8
     share = min(1.0, settings.max_fit_rows / max(rows, 1))
     limit = int(share * 16 ** digits)
@@ -239,8 +242,8 @@ def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str],
     """Fit several models side by side on one Train.
 
     Gaps are learned and filled once for all models; the learners share one persisted table of
-    vectors, the logistic model one of scaled vectors. Medians, scaling and class weights come
-    from all rows; only the learners take the bounded sample.
+    vectors, the logistic model one of scaled vectors. Medians, scaling, class weights and
+    learners take all rows, unless the caller has set ``max_fit_rows`` for a trial of the learners.
     """
     names, cols = list(names), list(features)
     done: dict[str, object] = {}
@@ -252,7 +255,7 @@ def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str],
     weighted = with_weights(train.select(key, label, *cols), label, key, settings)
     fills = Pipeline(stages=[MissingFlags(inputCols=cols), MedianFill(inputCols=cols)]).fit(weighted)
     filled = fills.transform(weighted)
-    sample, rows = bounded_sample(filled, key, settings)
+    table, rows = bounded_sample(filled, key, settings)
     pipelines = {n: build_model(n, cols, label, rows, settings).getStages()[2:] for n in learners}
     scaled = any(n == LOGISTIC for n in learners)
     plain = [n for n in learners if n != LOGISTIC]
@@ -261,9 +264,9 @@ def fit_models(names: Iterable[str], train: DataFrame, features: Sequence[str],
 
     def vectors(stages) -> tuple[list, DataFrame]:
         chain = Pipeline(stages=stages).fit(filled)
-        table = chain.transform(sample).select("features", *kept).persist()
-        tables.append(table)
-        return chain.stages, table
+        ready = chain.transform(table).select("features", *kept).persist()
+        tables.append(ready)
+        return chain.stages, ready
 
     try:
         shared = vectors([Assemble(inputCols=cols)]) if plain else None

@@ -193,6 +193,14 @@ def test_fits_use_a_bounded_sample(spark):
     assert models.bounded_sample(df, "k", models.ModelSettings())[0].count() == 5000
 
 
+def test_fits_take_all_rows_at_any_size(spark):
+    """Queries, jobs and callers that set no bound fit on the whole table, 20 million rows or more."""
+    df = spark.range(20_500_000).withColumnRenamed("id", "k")
+    for settings in (models.ModelSettings(), W.SETTINGS):
+        every, rows = models.bounded_sample(df, "k", settings)
+        assert rows == every.count() == 20_500_000
+
+
 def test_the_majority_model_can_be_stored(spark, tmp_path):
     from churnspark.plans.serve import Bundle, score_customers
     df = spark.createDataFrame([(1, 0.5, 1), (2, 0.1, 1), (3, 0.2, 0)], "id int, a double, y int")
