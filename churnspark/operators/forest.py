@@ -6,8 +6,10 @@ tree by the same histograms. So no task holds more than ``TASK_CELLS`` feature v
 whatever the table's size, and the number of jobs does not depend on the number of trees.
 
 Splits follow Spark ML's forest: at most 32 bins a feature, Gini impurity, ceil(sqrt(features))
-features a node, leaves of a least number of rows, sibling leaves of one prediction merged. The
-grown nodes are stored as Spark ML stores a forest, and read back as its model.
+features a node, leaves of a least number of rows, sibling leaves of one prediction merged. Grown
+trees are stored as arrays, one row a tree. A forest of few nodes is written as Spark ML stores one
+and read back as its model, which lies on the driver whole; a larger one stays in its files
+(``StoredForest``) and rows are sent to the trees.
 """
 
 from __future__ import annotations
@@ -15,28 +17,41 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from uuid import uuid4
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import keyword_only
+from pyspark.ml import Transformer
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter)
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.operators.trees import POISSON, spread
-from churnspark.session import shared_folder
+from churnspark.operators.trees import POISSON, node_table, spread
+from churnspark.session import cut_lineage, shared_folder
 
 BINS = 32
 TASK_CELLS = 16_000_000  # feature values of one node in one task
 SHUFFLE_BYTES = 64_000_000  # of one task that grows trees
 LEAST_GAIN = 1e-12
+NODES_AT_ONCE = 512
 
-NODES = ("tree int, root long, id int, left int, right int, feature int, bin int, gain double, "
-         "w0 double, w1 double, n long")
+DRIVER_NODES = 200_000  # of a forest that is read as Spark ML's model
+GROUP_NODES = 1_000_000  # of the trees that a task sends rows through
+
+#: Arrays of a tree's nodes, numbered left first: a left child follows its parent, -1 as right
+#: child marks a leaf.
+ARRAYS = {"right": "<i4", "feature": "<i4", "bin": "u1", "w0": "<f8", "w1": "<f8", "n": "<i8",
+          "gain": "<f8"}
+PACKED = "tree int, size long, " + ", ".join(f"{c} binary" for c in ARRAYS)
+PIECES = PACKED + ", root long, inner boolean, m0 double, m1 double"
 
 
 def bin_bounds(table: DataFrame, width: int) -> list[np.ndarray]:
@@ -75,30 +90,40 @@ def bin_bounds(table: DataFrame, width: int) -> list[np.ndarray]:
     return bounds
 
 
+def bins_of(x: np.ndarray, bounds: Sequence[np.ndarray]) -> np.ndarray:
+    """The bin of each value, a byte; ``x`` has a column for each of ``bounds``."""
+    out = np.empty(x.shape, np.uint8)
+    for i, b in enumerate(bounds):
+        out[:, i] = np.searchsorted(b, x[:, i], side="left")
+    return out
+
+
+def draws_of(seed: int, tree: int, keys: Sequence[bytes]) -> np.ndarray:
+    """How often each row is drawn for a tree: Poisson, from a hash of seed, tree and key."""
+    begun = hashlib.md5(f"forest{seed}:{tree}:".encode())
+    digits = []
+    for key in keys:
+        whole = begun.copy()
+        whole.update(key)
+        digits.append(whole.digest()[:4])
+    return np.searchsorted(np.array(POISSON), np.frombuffer(b"".join(digits), ">u4") / 2 ** 32,
+                           side="right").astype(np.uint8)
+
+
 def binned_rows(table: DataFrame, label: str, key: str, bounds: Sequence[np.ndarray], n_trees: int,
                 seed: int, bootstrap: bool) -> DataFrame:
     """y, ``bins`` (a byte a feature) and ``drawn`` (a byte a tree: how often it draws the row)."""
     width = len(bounds)
 
     def run(batches):
-        chances = np.array(POISSON)
-        hashes = [hashlib.md5(f"forest{seed}:{t}:".encode()) for t in range(n_trees)]
         for batch in batches:
             n = batch.num_rows
-            x = batch.column(2).flatten().to_numpy().reshape(n, width)
-            bins = np.empty((n, width), np.uint8)
-            for i, b in enumerate(bounds):
-                bins[:, i] = np.searchsorted(b, x[:, i], side="left")
+            bins = bins_of(batch.column(2).flatten().to_numpy().reshape(n, width), bounds)
             drawn = np.ones((n, n_trees), np.uint8)
-            if bootstrap:  # trees.draws
-                for i, k in enumerate(batch.column(0).to_pylist()):
-                    text, digits = k.encode(), []
-                    for begun in hashes:
-                        whole = begun.copy()
-                        whole.update(text)
-                        digits.append(whole.digest()[:4])
-                    number = np.frombuffer(b"".join(digits), ">u4") / 2 ** 32
-                    drawn[i] = np.searchsorted(chances, number, side="right")
+            if bootstrap:
+                keys = [k.encode() for k in batch.column(0).to_pylist()]
+                for t in range(n_trees):
+                    drawn[:, t] = draws_of(seed, t, keys)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array([r.tobytes() for r in bins], pa.binary()),
                  pa.array([r.tobytes() for r in drawn], pa.binary())], ["y", "bins", "drawn"])
@@ -177,6 +202,20 @@ def _best_splits(hist: np.ndarray, weights: np.ndarray, leaf: int):
     return slot, cut, flat[at, best], left[slot, at, cut, 2]
 
 
+def _splits(bins, y, drawn, node, features, weights, leaf: int):
+    """Slot of the feature, last bin of the left child and gain of every node, some nodes at a time:
+    their histograms are many times larger than the few rows of a small node."""
+    order = np.argsort(node, kind="stable")
+    begins = np.arange(0, len(features), NODES_AT_ONCE)
+    edges = np.searchsorted(node[order], np.append(begins, len(features)))
+    parts = []
+    for begin, a, b in zip(begins, edges[:-1], edges[1:], strict=True):
+        own, some = order[a:b], features[begin:begin + NODES_AT_ONCE]
+        parts.append(_best_splits(_histograms(bins[own], y[own], drawn[own], node[own] - begin,
+                                              some), weights, leaf)[:3])
+    return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+
 def _grow(bins, y, drawn, weights, depth: int, leaf: int, seed: int, tree: int, root: int):
     """Nodes of one subtree of at most ``depth`` levels of splits, numbered left first."""
     width = bins.shape[1]
@@ -198,7 +237,7 @@ def _grow(bins, y, drawn, weights, depth: int, leaf: int, seed: int, tree: int,
         bins, y, drawn, node = bins[keep], y[keep], drawn[keep], place[node[keep]]
         ids = np.flatnonzero(open_)
         features = _node_features(seed, tree, root, len(ids), width, len(levels))
-        slot, cut, gain, _ = _best_splits(_histograms(bins, y, drawn, node, features), weights, leaf)
+        slot, cut, gain = _splits(bins, y, drawn, node, features, weights, leaf)
         good = gain > LEAST_GAIN
         chosen = features[np.arange(len(ids)), slot]
         at = ids[good]
@@ -231,7 +270,7 @@ def _numbered(levels: list[dict]) -> dict[str, np.ndarray]:
             inner = left >= 0
             own[inner] += size[left[inner]] + size[left[inner] + 1]
         level["size"] = size = own
-    out = {k: [] for k in ("id", "left", "right", "feature", "bin", "gain", "w0", "w1", "n")}
+    out = {k: [] for k in ("id", "right", "feature", "bin", "gain", "w0", "w1", "n")}
     kept, ids = np.array([0]), np.array([0])
     for i, level in enumerate(levels):
         left = level["left"][kept]
@@ -239,7 +278,7 @@ def _numbered(levels: list[dict]) -> dict[str, np.ndarray]:
         after = np.full(len(kept), -1)
         if inner.any():
             after[inner] = ids[inner] + 1 + levels[i + 1]["size"][left[inner]]
-        for k, v in (("id", ids), ("left", np.where(inner, ids + 1, -1)), ("right", after)):
+        for k, v in (("id", ids), ("right", after)):
             out[k].append(v)
         for k in ("feature", "bin", "gain", "w0", "w1", "n"):
             out[k].append(level[k][kept])
@@ -247,7 +286,8 @@ def _numbered(levels: list[dict]) -> dict[str, np.ndarray]:
         ids = np.concatenate([ids[inner] + 1, after[inner]])
         if not len(kept):
             break
-    return {k: np.concatenate(v) for k, v in out.items()}
+    order = np.argsort(np.concatenate(out.pop("id")))
+    return {k: np.concatenate(v)[order] for k, v in out.items()}
 
 
 def _nodes_of(bins, splits: Sequence[tuple]) -> np.ndarray:
@@ -325,7 +365,7 @@ def _grow_top(rows: DataFrame, totals: Mapping, weights: Mapping, width: int, de
 
 def _grow_rest(rows: DataFrame, top: Mapping, totals: Mapping, weights: Mapping, width: int,
                depth: int, leaf: int, seed: int) -> DataFrame:
-    """``NODES`` of the subtrees whose rows fit one task, numbered from 0 each."""
+    """``PIECES``: the subtrees whose rows fit one task, numbered from 0 each, and their roots."""
     splits = {t: [(at, *s[:2]) for at, s in sorted(nodes.items()) if s[0] >= 0]
               for t, nodes in top.items()}
     settled = {t: [at for at, s in nodes.items() if s[0] < 0] for t, nodes in top.items()}
@@ -355,27 +395,28 @@ def _grow_rest(rows: DataFrame, top: Mapping, totals: Mapping, weights: Mapping,
         t, root = int(part["tree"].iloc[0]), int(part["root"].iloc[0])
         found = _grow(column("bins").reshape(-1, width), column("y"), column("drawn"), weights[t],
                       depth + 1 - root.bit_length(), leaf, seed, t, root)
-        return pd.DataFrame({"tree": t, "root": root, **found})
+        return pd.DataFrame([{**_packed(t, found), "root": root, "inner": found["right"][0] >= 0,
+                              "m0": found["w0"][0], "m1": found["w1"][0]}])
 
     size = sum(n for _, n in totals.values()) * (width + 2)
     cores = rows.sparkSession.sparkContext.defaultParallelism
     parts = max(4 * cores, math.ceil(size / SHUFFLE_BYTES))
     return (rows.select("y", "bins", "drawn").mapInArrow(
         deal, "tree int, root long, bins binary, y binary, drawn binary")
-        .repartition(parts, "tree", "root").groupBy("tree", "root").applyInPandas(grow, NODES))
+        .repartition(parts, "tree", "root").groupBy("tree", "root").applyInPandas(grow, PIECES))
 
 
 def _joined_nodes(top: Mapping[int, tuple], roots: Mapping[int, tuple]) -> tuple[list, dict]:
     """Numbered nodes of one tree's top, and the number at which each subtree begins.
 
-    ``roots`` has size, left and weights of every subtree's root.
+    ``roots`` has size, whether it is split, and weights of every subtree's root.
     """
     def says(w0, w1):
         return w1 > w0
 
     shape = {}  # heap number -> size, is a leaf, its prediction
-    for at, (size, left, w0, w1) in roots.items():
-        shape[at] = size, left < 0, says(w0, w1)
+    for at, (size, inner, w0, w1) in roots.items():
+        shape[at] = size, not inner, says(w0, w1)
     merged = dict(top)
     for at in sorted(top, reverse=True):
         feature, _, _, w0, w1, n = top[at]
@@ -393,21 +434,49 @@ def _joined_nodes(top: Mapping[int, tuple], roots: Mapping[int, tuple]) -> tuple
             starts[at] = number
             continue
         feature, cut, gain, w0, w1, n = merged[at]
-        left = right = -1
+        right = -1
         if feature >= 0:
-            left, right = number + 1, number + 1 + shape[2 * at][0]
-            todo += [(2 * at, left), (2 * at + 1, right)]
-        rows.append((number, left, right, feature, cut, gain, w0, w1, n))
+            right = number + 1 + shape[2 * at][0]
+            todo += [(2 * at, number + 1), (2 * at + 1, right)]
+        rows.append((number, (right, max(feature, 0), max(cut, 0), w0, w1, n, gain)))
     return rows, starts
 
 
+def _packed(tree: int, arrays: Mapping[str, np.ndarray]) -> dict:
+    """A row of ``PACKED``."""
+    inner = arrays["right"] >= 0
+    arrays = {**arrays, "feature": np.where(inner, arrays["feature"], 0),
+              "bin": np.where(inner, arrays["bin"], 0)}
+    return {"tree": tree, "size": len(inner),
+            **{c: arrays[c].astype(kind).tobytes() for c, kind in ARRAYS.items()}}
+
+
+def _whole(tree: int, upper: Sequence[tuple], starts: Mapping[int, int], pieces) -> dict:
+    """A row of ``PACKED``: the nodes of a tree's top, and its pieces from where they start."""
+    pieces = [p for p in pieces if p.root in starts]  # without those that became one leaf
+    size = len(upper) + sum(p.size for p in pieces)
+    out = {c: np.empty(size, kind) for c, kind in ARRAYS.items()}
+    for p in pieces:
+        start = starts[p.root]
+        for c, kind in ARRAYS.items():
+            values = np.frombuffer(getattr(p, c), kind)
+            if c == "right":
+                values = np.where(values >= 0, values + start, -1)
+            out[c][start:start + p.size] = values
+    for number, node in upper:
+        for c, value in zip(ARRAYS, node, strict=True):
+            out[c][number] = value
+    return _packed(tree, out)
+
+
 def grow_forest(table: DataFrame, label: str, key: str, learner: RandomForestClassifier,
-                n_trees: int, bootstrap: bool,
-                task_cells: int = TASK_CELLS) -> RandomForestClassificationModel:
+                n_trees: int, bootstrap: bool, task_cells: int = TASK_CELLS,
+                driver_nodes: int | None = None) -> "RandomForestClassificationModel | StoredForest":
     """A forest of ``n_trees`` trees by the learner's depth, least leaf and seed.
 
-    Row draws are ``trees.draws``; a row of class c weighs draws * n / (2 n_c) in its tree, n and
-    n_c being the tree's draws. A tree that draws no row is left out.
+    Row draws are ``draws_of``; a row of class c weighs draws * n / (2 n_c) in its tree, n and
+    n_c being the tree's draws. A tree that draws no row is left out. Forests of more than
+    ``driver_nodes`` nodes (``DRIVER_NODES`` by default) stay in files.
     """
     spark, seed = table.sparkSession, learner.getSeed()
     depth, leaf = learner.getMaxDepth(), learner.getMinInstancesPerNode()
@@ -425,26 +494,45 @@ def grow_forest(table: DataFrame, label: str, key: str, learner: RandomForestCla
             f"{path}/grown")
     finally:
         rows.unpersist()
-    grown = spark.read.schema(NODES).parquet(f"{path}/grown")
+    grown = spark.read.schema(PIECES).parquet(f"{path}/grown")
     roots: dict[int, dict[int, tuple]] = {t: {} for t in totals}
-    sizes = grown.groupBy("tree", "root").agg(F.count("*").alias("size"))
-    for r in grown.where("id = 0").join(sizes, ["tree", "root"]).collect():  # one row a subtree
-        roots[r.tree][r.root] = (r["size"], r.left, r.w0, r.w1)
-    upper, begin = [], []
+    for r in grown.select("tree", "root", "size", "inner", "m0", "m1").collect():  # one a subtree
+        roots[r.tree][r.root] = (r["size"], r.inner, r.m0, r.m1)
+    plan, nodes = {}, 0
     for place, t in enumerate(sorted(totals)):
-        own, starts = _joined_nodes(top[t], roots[t])
-        upper += [(place, *r) for r in own]
-        begin += [(t, root, place, start) for root, start in starts.items()]
-    starts = spark.createDataFrame(begin, "tree int, root long, place int, start int")
-    move = [F.when(F.col(c) >= 0, F.col(c) + F.col("start")).otherwise(-1).alias(c)
-            for c in ("left", "right")]
-    rest = ["feature", "bin", "gain", "w0", "w1", "n"]
-    nodes = grown.join(F.broadcast(starts), ["tree", "root"]).select(  # a row per subtree
-        F.col("place").alias("tree"), (F.col("id") + F.col("start")).alias("id"), *move, *rest)
-    nodes = nodes.unionByName(spark.createDataFrame(
-        upper, "tree int, id int, left int, right int, feature int, bin int, gain double, "
-               "w0 double, w1 double, n long"))
-    return _as_model(nodes, bounds, learner, len(totals), f"{path}/model")
+        upper, starts = _joined_nodes(top[t], roots[t])
+        plan[t] = (place, upper, starts)
+        nodes += len(upper) + sum(roots[t][at][0] for at in starts)
+
+    def join(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([_whole(*plan[int(part["tree"].iloc[0])], part.itertuples())])
+
+    whole = grown.groupBy("tree").applyInPandas(join, PACKED)
+    settled = [_whole(*own, ()) for t, own in plan.items() if not roots[t]]  # no split of the top
+    if settled:
+        whole = whole.unionByName(spark.createDataFrame(settled, PACKED))
+    whole.write.parquet(f"{path}/trees")
+    if nodes > (DRIVER_NODES if driver_nodes is None else driver_nodes):
+        return StoredForest(path=f"{path}/trees", bounds=[b.tolist() for b in bounds],
+                            numTrees=len(totals), nodes=nodes)
+    return _as_model(_node_rows(spark.read.schema(PACKED).parquet(f"{path}/trees")), bounds,
+                     learner, len(totals), f"{path}/model")
+
+
+def _node_rows(packed: DataFrame) -> DataFrame:
+    """tree, id, left, and ``ARRAYS``: one row a node; feature and bin are -1 in leaves."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                a = {c: np.frombuffer(row[c], kind) for c, kind in ARRAYS.items()}
+                leaf, ids = a["right"] < 0, np.arange(row["size"], dtype=np.int32)
+                kept = {c: np.where(leaf, -1, a[c]).astype(np.int32) for c in ("feature", "bin")}
+                yield pa.RecordBatch.from_pydict({
+                    "tree": np.full(len(ids), row["tree"], np.int32), "id": ids,
+                    "left": np.where(leaf, -1, ids + 1).astype(np.int32), **a, **kept})
+
+    return packed.mapInArrow(run, "tree int, id int, left int, right int, feature int, bin int, "
+                                  "w0 double, w1 double, n long, gain double")
 
 
 def _as_model(nodes: DataFrame, bounds: Sequence[np.ndarray], learner: RandomForestClassifier,
@@ -484,3 +572,208 @@ def _as_model(nodes: DataFrame, bounds: Sequence[np.ndarray], learner: RandomFor
                      F.lit(-1).alias("numCategories")).alias("split")).alias("nodeData"))
     stored.write.parquet(f"{path}/data")
     return RandomForestClassificationModel.load(path)
+
+
+# ---- forests in files --------------------------------------------------------------------------
+
+class _Tree:
+    """The nodes of one tree, to send blocks of rows through it."""
+
+    def __init__(self, row: Mapping):
+        right, feature, cut = (np.frombuffer(row[c], ARRAYS[c])
+                               for c in ("right", "feature", "bin"))
+        at = np.arange(len(right))
+        self.tree, self.leaf = row["tree"], right < 0
+        # both children of a leaf are the leaf
+        self.child = np.stack((np.where(self.leaf, at, at + 1),
+                               np.where(self.leaf, at, right)), axis=1).ravel()
+        self.feature, self.cut = feature.astype(np.intp), cut
+
+    def leaves(self, bins: np.ndarray) -> np.ndarray:
+        """Number of the node at which each row ends."""
+        flat, ends = bins.ravel(), np.zeros(len(bins), np.intp)
+        rows, starts = np.arange(len(bins)), np.arange(len(bins)) * bins.shape[1]
+        at = ends[rows]
+        while True:
+            for _ in range(3):
+                at = self.child[2 * at + (flat[starts + self.feature[at]] > self.cut[at])]
+            done = self.leaf[at]
+            ends[rows[done]] = at[done]
+            if done.all():
+                return ends
+            rows, starts, at = rows[~done], starts[~done], at[~done]
+
+
+class LeafCounts(_Tree):
+    """Rows and draws of each class that reached a tree's leaves, (leaf, class) in one array."""
+
+    def __init__(self, row: Mapping):
+        super().__init__(row)
+        self.place = np.cumsum(self.leaf) - 1
+        self.rows, self.draws = np.zeros((2, 2 * int(self.leaf.sum())), np.int64)
+
+    def add(self, bins: np.ndarray, y: np.ndarray, drawn: np.ndarray) -> None:
+        cell = 2 * self.place[self.leaves(bins)] + y
+        self.rows += np.bincount(cell, minlength=len(self.rows))
+        self.draws += np.bincount(cell, drawn, len(self.rows)).astype(np.int64)
+
+
+def packed_trees(spark: SparkSession, model) -> tuple[DataFrame, list[np.ndarray], int, int]:
+    """``PACKED`` rows of a forest, the thresholds of their bins, and the trees and nodes in all."""
+    if isinstance(model, StoredForest):
+        return (model.trees(spark), [np.array(b) for b in model.getOrDefault(model.bounds)],
+                model.getNumTrees, model.getOrDefault(model.nodes))
+    nodes = node_table(spark, model)
+    bounds = [np.empty(0)] * model.numFeatures
+    for r in nodes.where("left >= 0").groupBy("feature").agg(
+            F.sort_array(F.collect_set("threshold")).alias("cuts")).collect():  # one a feature
+        bounds[r.feature] = np.array(r.cuts)
+    if max(map(len, bounds), default=0) > 255:
+        raise ValueError("a feature has more than 255 thresholds")
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id")
+        stats = np.stack(part["stats"])
+        inner = part["left"].to_numpy() >= 0
+        feature, cut = part["feature"].to_numpy(), part["threshold"].to_numpy()
+        found = {"right": part["right"].to_numpy(), "feature": feature,
+                 "bin": np.array([np.searchsorted(bounds[f], c) if i else 0
+                                  for f, c, i in zip(feature, cut, inner)]),
+                 "w0": stats[:, 0], "w1": stats[:, 1], "n": part["raw_count"].to_numpy(),
+                 "gain": np.zeros(len(part))}
+        return pd.DataFrame([_packed(int(part["tree"].iloc[0]), found)])
+
+    packed = nodes.groupBy("tree").applyInPandas(pack, PACKED)
+    return packed, bounds, model.getNumTrees, model.totalNumNodes
+
+
+def over_trees(chunks: DataFrame, n_rows: int, packed: DataFrame, n_trees: int, n_nodes: int,
+               width: int, run: Callable[[list, Iterator], Iterator], schema: str) -> DataFrame:
+    """``run(trees, rows of chunks)`` for every pair of a block of chunks and a group of trees.
+
+    ``chunks`` hold many rows in one, their bins in ``x``. No task has more than ``TASK_CELLS``
+    feature values nor, beyond one tree, ``GROUP_NODES`` nodes; chunks are copied once a group,
+    trees once a block.
+    """
+    cores = chunks.sparkSession.sparkContext.defaultParallelism
+    groups = min(n_trees, max(4 * cores, math.ceil(n_nodes / GROUP_NODES)))
+    blocks = max(1, math.ceil(n_rows * width / TASK_CELLS))
+    def copied(times: int, part: Callable):
+        return F.explode(F.transform(F.sequence(F.lit(0), F.lit(times - 1)), part))
+
+    block = F.pmod(F.xxhash64("x"), F.lit(blocks)).cast("int")
+    trees = packed.withColumn("part", copied(
+        blocks, lambda i: F.pmod("tree", F.lit(groups)) + groups * i))
+    rows = chunks.withColumn("block", block).withColumn("part", copied(
+        groups, lambda i: i + groups * F.col("block"))).drop("block")
+    own, named = packed.columns, chunks.columns
+
+    def task(batches):
+        trees = []
+
+        def chunks_of():
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    row = batch.slice(at, 1).to_pylist()[0]
+                    if row["x"] is None:  # trees come first
+                        trees.append({c: row[c] for c in own})
+                    else:
+                        yield {c: row[c] for c in named}
+
+        yield from run(trees, chunks_of())
+
+    both = trees.unionByName(rows, allowMissingColumns=True)
+    return (both.repartitionById(groups * blocks, "part")
+            .sortWithinPartitions(F.col("x").isNotNull(), "tree").drop("part")
+            .mapInArrow(task, schema))
+
+
+class _ForestWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.trees(self.sparkSession).write.parquet(f"{path}/trees")
+
+
+class _ForestReader(DefaultParamsReader):
+    def load(self, path: str) -> "StoredForest":
+        return super().load(path)._set(path=f"{path}/trees")
+
+
+class StoredForest(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """A forest whose trees lie in files: tasks read some of them each and send all rows through.
+
+    The votes are counted when ``transform`` is called, and a row of the result is joined with its
+    votes, so a stream is scored batch by batch (``foreachBatch``).
+    """
+
+    path = Param(Params._dummy(), "path", "folder of the trees", TypeConverters.toString)
+    bounds = Param(Params._dummy(), "bounds", "thresholds of each feature",
+                   TypeConverters.toListListFloat)
+    numTrees = Param(Params._dummy(), "numTrees", "trees", TypeConverters.toInt)
+    nodes = Param(Params._dummy(), "nodes", "nodes of all trees", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, path=None, bounds=None, numTrees=0, nodes=0):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    @property
+    def getNumTrees(self) -> int:
+        return self.getOrDefault(self.numTrees)
+
+    def trees(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(PACKED).parquet(self.getOrDefault(self.path))
+
+    def write(self):
+        return _ForestWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _ForestReader(cls)
+
+    def _transform(self, dataset):
+        packed, bounds, n_trees, n_nodes = packed_trees(dataset.sparkSession, self)
+        width = len(bounds)
+        # numbers of rows hold only while the rows are the same, hence the checkpoint
+        rows = cut_lineage(dataset.withColumn("_row", F.monotonically_increasing_id()))
+
+        def chunk(batches):
+            for batch in batches:
+                x = batch.column(1).flatten().to_numpy().reshape(-1, width)
+                yield pa.RecordBatch.from_pydict({
+                    "rows": [batch.column(0).to_numpy().astype("<i8").tobytes()],
+                    "x": [bins_of(x, bounds).tobytes()]})
+
+        def votes(trees, chunks):
+            grown = []
+            for c in chunks:
+                if not grown:
+                    for t in trees:
+                        w0, w1 = (np.frombuffer(t[w], "<f8") for w in ("w0", "w1"))
+                        grown.append((_Tree(t), w1 / (w0 + w1)))
+                    trees.clear()
+                bins = np.frombuffer(c["x"], np.uint8).reshape(-1, width)
+                p = np.zeros(len(bins))
+                for tree, says in grown:
+                    p += says[tree.leaves(bins)]
+                yield pa.RecordBatch.from_pydict({
+                    "rows": [c["rows"]], "group": [min(t.tree for t, _ in grown)],
+                    "p": [p.tobytes()]}, pa.schema([("rows", pa.binary()), ("group", pa.int32()),
+                                                    ("p", pa.binary())]))
+
+        def total(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.sort_values("group")  # one order of the sum
+            p = sum(np.frombuffer(v) for v in part["p"]) / n_trees
+            return pd.DataFrame({"_row": np.frombuffer(part["rows"].iloc[0], "<i8"), "p": p})
+
+        chunks = rows.select("_row", vector_to_array("features")).mapInArrow(
+            chunk, "rows binary, x binary")
+        voted = cut_lineage(
+            over_trees(chunks, rows.count(), packed.select("tree", "right", "feature", "bin", "w0", "w1"),
+                       n_trees, n_nodes, width, votes, "rows binary, group int, p binary")
+            .groupBy("rows").applyInPandas(total, "_row long, p double"))
+        both = F.array(1 - F.col("p"), F.col("p"))
+        return rows.join(voted, "_row").withColumns({
+            "rawPrediction": array_to_vector(F.transform(both, lambda v: v * n_trees)),
+            "probability": array_to_vector(both),
+            "prediction": (F.col("p") > 0.5).cast("double")}).drop("_row", "p")

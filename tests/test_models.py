@@ -456,3 +456,25 @@ def test_rounds_are_fitted_again_only_if_the_losses_leave_it_open():
     assert 20 < trees.expected_rounds(near, 10, 1e-7) < 40
     assert trees.expected_rounds(near[:15], 10, 1e-7) == 0
     assert trees.expected_rounds([1.0] * 30, 10, 1e-7) == 29
+
+
+def test_no_forest_beyond_the_bound_reaches_the_driver(spark, monkeypatch):
+    """A fit and its scores load no node there: the parts that do are not called."""
+    df = noisy(spark, 400)
+    monkeypatch.setattr(forest, "DRIVER_NODES", 0)
+    for name in ("_as_model", "node_table"):
+        monkeypatch.setattr(forest, name, None)
+    model = models.fit_model(models.FOREST, df, ["a", "b"], "y", "id",
+                             models.ModelSettings(forest_trees=4))
+    assert models.score(model, df, ["id"]).where("p BETWEEN 0 AND 1").count() == 400
+
+
+def test_splits_of_some_nodes_at_a_time_are_those_of_all_at_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 32, (4000, 9), dtype=np.uint8)
+    y, drawn = rng.integers(0, 2, 4000, dtype=np.uint8), rng.integers(1, 4, 4000, dtype=np.uint8)
+    args = (bins, y, drawn, np.array([1.1, 0.9]), 12, 4, 42, 3, 1)
+    whole = forest._grow(*args)
+    monkeypatch.setattr(forest, "NODES_AT_ONCE", 3)
+    some = forest._grow(*args)
+    assert len(whole["n"]) > 100 and all((whole[c] == some[c]).all() for c in forest.ARRAYS)
