@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -17,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.operators import models, trees
+from churnspark.operators.forest import (
+    ARRAYS, LeafCounts, bins_of, draws_of, over_trees, packed_trees)
 from churnspark.operators.preparation import MissingFlagsModel
 from churnspark.operators.scale import rows_from_aggregates
-from churnspark.session import cut_lineage
 
 INTERCEPT = "(intercept)"
 #: Largest difference between a stored and a recomputed figure, as a share of the larger one.
@@ -110,32 +112,71 @@ def tree_leaves(model: PipelineModel, train: DataFrame, label: str, weight: str,
 def forest_leaves(model: PipelineModel, train: DataFrame, label: str, key: str,
                   settings: models.ModelSettings) -> DataFrame:
     """``tree_leaves`` of every tree of a forest, over its own bootstrap and class weights, with
-    n_draws. Rows are multiplied by the trees on the way to the aggregates only."""
+    n_draws. Rows go to the trees in blocks; what is left of them are counts of a tree's leaves."""
     fit = _learner(model)
     s = settings
-    train = trees.spread(train, key)  # each row is work for all trees
-    ready = _assembled(model, train, fit)
-    totals = cut_lineage(trees.bootstrap_totals(train, label, key, s.forest_trees, s.seed))
-    sums = totals.groupBy("tree").agg(F.sum("n_draws").alias("all_draws"))
-    weights = totals.join(sums, "tree").select("tree", label, (
-        F.col("all_draws") / (2 * F.col("n_draws"))).alias("class_weight"))  # two rows a tree
-    # One pass routes the rows; two rows a leaf are left of it.
-    cells = cut_lineage(
-        _routed(fit, ready, [key, label])
-        .withColumn("n", trees.draws(s.seed, F.col("tree"), key)).where("n > 0")
-        .join(F.broadcast(weights), ["tree", label])
-        .groupBy("tree", "leaf", label).agg(
-            F.count("*").alias("n_rows"), F.sum("n").alias("n_draws"),
-            F.sum(F.col("n") * F.col("class_weight")).alias("w")))
-    y, w = F.col(label), F.col("w")
-    seen = cells.groupBy("tree", "leaf").agg(
-        F.sum(F.when(y == 0, w).otherwise(0.0)).alias("w0"),
-        F.sum(F.when(y == 1, w).otherwise(0.0)).alias("w1"), F.sum("n_rows").alias("n_rows"))
-    checked = _compared(seen, trees.leaf_table(trees.node_table(train.sparkSession, fit)),
-                        s.forest_leaf)
-    return cells.groupBy("tree", label).agg(
-        F.sum("n_rows").alias("n_rows"), F.round(F.sum("w"), 4).alias("weight"),
-        F.sum("n_draws").alias("n_draws")).join(checked, "tree")
+    packed, bounds, n_trees, n_nodes = packed_trees(train.sparkSession, fit)
+    width = len(bounds)
+    ready = _assembled(model, train, fit).select(
+        F.col(key).cast("string"), F.col(label).cast("int"), vector_to_array("features"))
+
+    def chunk(batches):
+        for batch in batches:
+            x = batch.column(2).flatten().to_numpy().reshape(-1, width)
+            yield pa.RecordBatch.from_pydict({
+                "keys": [batch.column(0).to_pylist()],
+                "y": [batch.column(1).to_numpy().astype(np.uint8).tobytes()],
+                "x": [bins_of(x, bounds).tobytes()]})
+
+    def count(trees, chunks):
+        grown = []
+        for c in chunks:
+            if not grown:
+                grown += [LeafCounts(t) for t in trees]
+                trees.clear()
+            bins = np.frombuffer(c["x"], np.uint8).reshape(-1, width)
+            y, keys = np.frombuffer(c["y"], np.uint8), [k.encode() for k in c["keys"]]
+            for tree in grown:
+                drawn = draws_of(s.seed, tree.tree, keys)
+                mine = np.flatnonzero(drawn)
+                tree.add(bins[mine], y[mine], drawn[mine])
+        for tree in grown:
+            yield pa.RecordBatch.from_pydict(
+                {"tree": pa.array([tree.tree], pa.int32()), "rows": [tree.rows.tobytes()],
+                 "draws": [tree.draws.tobytes()]})
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        """Rows of each class, and the leaves that say something else or have too few rows."""
+        stored, seen = part[part["right"].notna()], part[part["rows"].notna()]
+        if seen.empty or stored.empty:
+            return pd.DataFrame(columns=["tree", "label", "n_rows", "weight", "n_draws",
+                                         "n_bad_leaves", "n_small_leaves"])
+        rows, draws = (sum(np.frombuffer(v, np.int64) for v in seen[c]).reshape(-1, 2)
+                       for c in ("rows", "draws"))
+        leaf = np.frombuffer(stored["right"].iloc[0], ARRAYS["right"]) < 0
+        said = np.stack([np.frombuffer(stored[w].iloc[0], ARRAYS[w])[leaf]
+                         for w in ("w0", "w1")], axis=1)
+        all_draws = draws.sum(axis=0)
+        weights = draws * np.divide(all_draws.sum(), 2 * all_draws, out=np.zeros(2),
+                                    where=all_draws > 0)
+        far = np.abs(weights - said) > CLOSE * np.maximum(np.maximum(weights, said), 1.0)
+        classes = np.flatnonzero(rows.sum(axis=0))
+        return pd.DataFrame({
+            "tree": part["tree"].iloc[0], "label": classes, "n_rows": rows.sum(axis=0)[classes],
+            "weight": weights.sum(axis=0)[classes], "n_draws": all_draws[classes],
+            "n_bad_leaves": far.any(axis=1).sum(),
+            "n_small_leaves": (rows.sum(axis=1) < s.forest_leaf).sum()})
+
+    chunks = ready.mapInArrow(chunk, "keys array<string>, y binary, x binary")
+    seen = over_trees(chunks, train.count(), packed.select("tree", "right", "feature", "bin"),
+                      n_trees, n_nodes, width, count, "tree int, rows binary, draws binary")
+    found = (packed.select("tree", "right", "w0", "w1").unionByName(seen, allowMissingColumns=True)
+             .groupBy("tree").applyInPandas(
+        compare, "tree int, label int, n_rows long, weight double, n_draws long, "
+                 "n_bad_leaves long, n_small_leaves long"))
+    return found.select(
+        "tree", F.col("label").cast(train.schema[label].dataType).alias(label), "n_rows",
+        F.round("weight", 4).alias("weight"), "n_draws", "n_bad_leaves", "n_small_leaves")
 
 
 def boosted_leaves(model: PipelineModel, rows: DataFrame, label: str, weight: str) -> DataFrame:

@@ -226,28 +226,7 @@ POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, k + 1, dtype=float))
                      for k in range(13)]).tolist()
 
 
-def draws(seed: int, tree: Column | int, key: Column | str) -> Column:
-    """How often a row is drawn for a tree: Poisson, from a hash of seed, tree and key."""
-    key = F.col(key) if isinstance(key, str) else key
-    tree = F.lit(tree) if isinstance(tree, int) else tree
-    text = F.concat(F.lit(f"forest{seed}:"), tree.cast("string"), F.lit(":"), key.cast("string"))
-    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / 2 ** 32
-    # One element through a lambda: the hash is computed once, not for every chance.
-    return F.get(F.transform(F.array(number), lambda u: sum(
-        (F.when(u >= p, 1).otherwise(0) for p in POISSON[1:]),
-        F.when(u >= POISSON[0], 1).otherwise(0))), F.lit(0))
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Rows that many trees will read, dealt to all cores if they lie in fewer partitions."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(4 * cores, key)
-
-
-def bootstrap_totals(df: DataFrame, label: str, key: str, n_trees: int, seed: int) -> DataFrame:
-    """tree, label, n_rows, n_draws: rows drawn for each tree and their draws, by class."""
-    each = df.select(F.col(label).alias("y"), F.col(key).alias("k"),
-                     F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-    drawn = each.withColumn("n", draws(seed, F.col("tree"), F.col("k"))).where("n > 0")
-    return drawn.groupBy("tree", F.col("y").alias(label)).agg(
-        F.count("*").alias("n_rows"), F.sum("n").alias("n_draws"))

@@ -458,6 +458,33 @@ def test_rounds_are_fitted_again_only_if_the_losses_leave_it_open():
     assert trees.expected_rounds([1.0] * 30, 10, 1e-7) == 29
 
 
+def test_a_forest_in_files_is_the_model_of_the_same_forest(spark, tmp_path):
+    """Beyond a number of nodes no forest is loaded on the driver: rows are sent to stored trees."""
+    df = models.Assemble(inputCols=["a", "b"]).transform(noisy(spark, 700)).cache()
+    learner = RandomForestClassifier(maxDepth=9, minInstancesPerNode=8, seed=42, labelCol="y",
+                                     weightCol="tree_weight")
+    whole, stored = (forest.grow_forest(df, "y", "id", learner, 7, True, 100, driver_nodes=n)
+                     for n in (10**6, 0))
+    assert isinstance(stored, forest.StoredForest) and stored.getNumTrees == 7
+    assert stored.getOrDefault(stored.nodes) == whole.totalNumNodes
+    PipelineModel(stages=[stored]).write().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m"))
+    assert again.stages[0].getOrDefault(again.stages[0].path).startswith(str(tmp_path))
+    cols = ["id", "rawPrediction", "probability", "prediction"]
+    want = whole.transform(df).orderBy("id").select(cols).collect()
+    settings = models.ModelSettings(forest_trees=7)
+    for model in (stored, again):
+        rows = model.transform(df)
+        assert rows.columns == df.columns + cols[1:]
+        for a, b in zip(rows.orderBy("id").select(cols).collect(), want, strict=True):
+            assert a.id == b.id and a.prediction == b.prediction
+            assert a.probability.toArray() == pytest.approx(b.probability.toArray(), abs=1e-12)
+            assert a.rawPrediction.toArray() == pytest.approx(b.rawPrediction.toArray(), abs=1e-11)
+    a, b = (sorted(certificates.forest_leaves(PipelineModel(stages=[m]), df, "y", "id", settings)
+                   .collect()) for m in (whole, stored))
+    assert a == b and len(a) == 14 and not any(r.n_bad_leaves or r.n_small_leaves for r in a)
+
+
 def test_no_forest_beyond_the_bound_reaches_the_driver(spark, monkeypatch):
     """A fit and its scores load no node there: the parts that do are not called."""
     df = noisy(spark, 400)
@@ -469,6 +496,28 @@ def test_no_forest_beyond_the_bound_reaches_the_driver(spark, monkeypatch):
     assert models.score(model, df, ["id"]).where("p BETWEEN 0 AND 1").count() == 400
 
 
+def test_certificate_of_a_forest_sees_leaves_that_say_otherwise(spark):
+    df = noisy(spark, 500)
+    settings = models.ModelSettings(forest_trees=4, forest_depth=5)
+    model = models.fit_model(models.FOREST, df, ["a", "b"], "y", "id", settings)
+    other = df.withColumn("y", F.when(F.col("id") % 3 == 0, 1 - F.col("y")).otherwise(F.col("y")))
+    few = df.where("id % 2 = 0")
+    for rows, bad, small in ((df, False, False), (other, True, False), (few, True, True)):
+        found = certificates.forest_leaves(model, rows, "y", "id", settings).collect()
+        assert {r.n_bad_leaves > 0 for r in found} == {bad}
+        assert any(r.n_small_leaves for r in found) == small
+
+
+def test_certificate_of_a_forest_goes_through_the_trees_by_blocks(spark, monkeypatch):
+    """No row is made for every row and tree."""
+    df = noisy(spark, 300)
+    settings = models.ModelSettings(forest_trees=4, forest_depth=3)
+    model = models.fit_model(models.FOREST, df, ["a", "b"], "y", "id", settings)
+    for owner, name in ((certificates, "_routed"), (trees, "leaves")):
+        monkeypatch.setattr(owner, name, None)
+    assert certificates.forest_leaves(model, df, "y", "id", settings).count() == 8
+
+
 def test_splits_of_some_nodes_at_a_time_are_those_of_all_at_once(monkeypatch):
     rng = np.random.default_rng(5)
     bins = rng.integers(0, 32, (4000, 9), dtype=np.uint8)
