@@ -28,7 +28,10 @@ LEAF = 32
 #: Shards of more members are first joined through their smallest member (see ``join``).
 STAR_ABOVE = 16
 TILE = 2048
-#: Partners of a set that are looked at in each search of large shards; last, all.
+TILE_SHINGLES = 2_000_000
+#: Hash groups of the second, finer bound within a tile.
+FINE = 1024
+#: Partners of a set that are looked at first, then, last of all in a tile.
 BEST_FIRST = (4, 32, None)
 SEEN = 200_000
 #: Bits of a bitmap for each of its values, and in all.
@@ -38,6 +41,8 @@ BITS, MOST_BITS = 64, 1 << 27
 #: either set at most, and the smaller set has 4 / 5 of the larger one's shingles at least.
 REGION = "least(n, n div 5 + 1 + n div 16)"
 SHARED = "(1 + ((4 * n + 4) div 5) div 16)"
+#: The same of all shingles of a set.
+WHOLE_SHARED = "((4 * n + 4) div 5)"
 
 
 def region_size(n: int) -> int:
@@ -101,27 +106,36 @@ def _recount(rows: DataFrame) -> DataFrame:
             .where("k > 1"))
 
 
-def _shards(points: DataFrame) -> DataFrame:
-    """(h, id, n): the rare shingles under which sets that may be linked meet.
+def _rarest(rows: DataFrame, shared: str) -> DataFrame:
+    """(h, id, n, k): each set's rarest shingles of ``rows`` (h, id, n; no row twice), so many that
+    two sets that share ``shared`` (an expression of n) of their shingles have one in common.
 
-    All sets put their shingles of lowest hash in; those nobody else has go, then sets that have
-    fewer left than any link needs, twice. Of what is left, each set keeps its rarest shingles,
-    as many as two linked sets cannot all differ in.
+    Shingles nobody else has go, then sets that have fewer left than ``shared``, twice.
     """
-    rows = (points.where("region IS NOT NULL").select("id", "n", F.explode("region").alias("h"))
-            .repartition("h").dropDuplicates(["h", "id"]))
     rows = stored(_recount(rows).select("h", "id", "n", "k"), "shared-shingles")
     of_set = Window.partitionBy("id")
     for _ in range(2):
-        rows = rows.withColumn("c", F.count("*").over(of_set)).where(f"c >= {SHARED}")
+        rows = rows.withColumn("c", F.count("*").over(of_set)).where(f"c >= {shared}")
         rows = stored(_recount(rows.select("h", "id", "n")).select("h", "id", "n", "k"),
                       "shared-shingles")
     ranked = (rows.withColumn("c", F.count("*").over(of_set))
               .withColumn("r", F.row_number().over(of_set.orderBy("k", "h"))))
-    kept = ranked.where(f"c >= {SHARED} AND r <= c - {SHARED} + 1").select("h", "id", "n")
+    kept = ranked.where(f"c >= {shared} AND r <= c - {shared} + 1").select("h", "id", "n")
     return stored(_recount(kept), "shards")
 
 
+def _shards(points: DataFrame) -> DataFrame:
+    """(h, id, n): the rare shingles under which sets that may be linked meet.
+
+    All sets put their shingles of lowest hash in; those nobody else has go, then sets that have
+    fewer left than any link needs, twice. Of what is left, each set keeps its rarest shingles,
+    as many as two linked sets cannot all differ in.
+    """
+    rows = (points.where("region IS NOT NULL").select("id", "n", F.explode("region").alias("h"))
+            .repartition("h").dropDuplicates(["h", "id"]))
+    return _rarest(rows, SHARED)
+
+
 class CountTree:
     """R-tree over points of group counts, packed by size and then by a widest coordinate."""
 
@@ -195,84 +209,161 @@ def leaf_pairs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left or empty), np.concatenate(right or empty)
 
 
-def _tree_pairs(members: DataFrame, best: int | None = None, tiled: bool = False) -> DataFrame:
-    """Pairs (a < b) within each shard, or each tile of one, that the tree lets through.
-
-    ``tiled``: members have tile, block and root; pairs of one root, and pairs of one block in a
-    tile of two, are left out. ``best``: only those that are among so many pairs of highest bound
-    for one of their ends.
-    """
-    keys = ["h", "tile"] if tiled else ["h"]
-    extra = ["block", "root"] if tiled else []
-
-    def nearest(i, j, sizes, counts):
-        if best is None or not len(i):
-            return i, j
-        bound = np.concatenate([shared_at_most(counts[i[k:k + 65_536]], counts[j[k:k + 65_536]])
-                                for k in range(0, len(i), 65_536)])
-        score = bound / (sizes[i] + sizes[j])
-        ends, pair = np.concatenate((i, j)), np.tile(np.arange(len(i)), 2)
-        by = np.lexsort((pair, -score[pair], ends))
-        first = np.concatenate(([True], np.diff(ends[by]) != 0))
-        begin = np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))
-        keep = np.unique(pair[by[np.arange(len(by)) - begin < best]])
-        return i[keep], j[keep]
-
-    def shards(batches):
-        """Tables of whole shards, and where each shard in them begins and ends."""
-        rest = None
-        for batch in batches:
-            part = pa.Table.from_batches([batch])
-            rest = part if rest is None else pa.concat_tables([rest, part])
-            key = [rest.column(k).to_numpy() for k in keys]
-            cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1
-            if len(cuts):
-                yield rest.slice(0, cuts[-1]), np.concatenate(([0], cuts))
-                rest = rest.slice(cuts[-1]).combine_chunks()
-        if rest is not None and rest.num_rows:
-            yield rest, np.array([0, rest.num_rows])
-
-    def allowed(table):
-        if not tiled:
-            return lambda i, j: (i, j)
-        block, root, tile = (table.column(c).to_numpy() for c in (*extra, "tile"))
-        mixed = tile // 65536 != tile % 65536
-
-        def wanted(i, j):
-            keep = (root[i] != root[j]) & (~mixed[i] | (block[i] != block[j]))
-            return i[keep], j[keep]
-
-        return wanted
-
+def _whole_shares(batches, keys: list[str]):
+    """Tables of whole shards (rows of equal ``keys``), and where each in them begins and ends."""
+    rest = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        rest = part if rest is None else pa.concat_tables([rest, part])
+        key = [rest.column(k).to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1
+        if len(cuts):
+            yield rest.slice(0, cuts[-1]), np.concatenate(([0], cuts))
+            rest = rest.slice(cuts[-1]).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest, np.array([0, rest.num_rows])
+
+
+def possible_pairs(cuts: np.ndarray, ids: np.ndarray, sizes: np.ndarray, counts: np.ndarray,
+                   wanted=lambda i, j: (i, j)) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted pairs within the shards that their trees let through."""
+    members = np.diff(cuts)
+    small = members <= LEAF  # trees of a single leaf, all at once
+    rows = np.flatnonzero(np.repeat(small, members))
+    i, j = leaf_pairs(members[small])
+    i, j = wanted(rows[i], rows[j])
+    low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+    by = np.lexsort((high, low))
+    new = np.concatenate((np.ones(min(1, len(by)), dtype=bool),
+                          (np.diff(low[by]) != 0) | (np.diff(high[by]) != 0)))
+    i, j = i[by[new]], j[by[new]]
+    keep = within_bound(sizes, counts, i, j)
+    found = [(i[keep], j[keep])]
+    for a, b in zip(cuts[:-1][~small], cuts[1:][~small], strict=True):
+        found += [wanted(a + x, a + y) for x, y in CountTree(sizes[a:b], counts[a:b]).pairs()]
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    return i, j
+
+
+def _tree_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a < b) within each shard that the tree lets through."""
     def run(batches):
-        for table, cuts in shards(batches):
+        for table, cuts in _whole_shares(batches, ["h"]):
             ids, sizes = table.column("id").to_numpy(), table.column("n").to_numpy()
             counts = np.frombuffer(b"".join(table.column("counts").to_pylist()),
                                    dtype="<u2").reshape(-1, GROUPS)
-            members, wanted = np.diff(cuts), allowed(table)
-            small = members <= LEAF  # trees of a single leaf, all at once
-            rows = np.flatnonzero(np.repeat(small, members))
-            i, j = leaf_pairs(members[small])
-            i, j = wanted(rows[i], rows[j])
-            low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-            by = np.lexsort((high, low))
-            new = np.concatenate((np.ones(min(1, len(by)), dtype=bool),
-                                  (np.diff(low[by]) != 0) | (np.diff(high[by]) != 0)))
-            i, j = i[by[new]], j[by[new]]
-            keep = within_bound(sizes, counts, i, j)
-            found = [(i[keep], j[keep])]
-            for a, b in zip(cuts[:-1][~small], cuts[1:][~small], strict=True):
-                found += [wanted(a + x, a + y) for x, y in
-                          CountTree(sizes[a:b], counts[a:b]).pairs()]
-            i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-            i, j = nearest(i, j, sizes, counts)
+            i, j = possible_pairs(cuts, ids, sizes, counts)
             if len(i):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))],
                     ["a", "b"])
 
-    return (members.select(*keys, "id", "n", "counts", *extra).repartition(*keys)
-            .sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct())
+    return (members.select("h", "id", "n", "counts").repartition("h").sortWithinPartitions("h")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def nearest(i: np.ndarray, j: np.ndarray, score: np.ndarray, best: int | None) -> np.ndarray:
+    """Which of the pairs are among the ``best`` of highest score for one of their ends."""
+    if best is None or not len(i):
+        return np.ones(len(i), dtype=bool)
+    ends, pair = np.concatenate((i, j)), np.tile(np.arange(len(i)), 2)
+    by = np.lexsort((pair, -score[pair], ends))
+    first = np.concatenate(([True], np.diff(ends[by]) != 0))
+    begin = np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))
+    keep = np.zeros(len(i), dtype=bool)
+    keep[pair[by[np.arange(len(by)) - begin < best]]] = True
+    return keep
+
+
+def _finely_bounded(sets: list[np.ndarray], sizes: np.ndarray, i: np.ndarray,
+                    j: np.ndarray) -> np.ndarray:
+    """``within_bound`` over ``FINE`` groups: over few groups long sets have much in common."""
+    used, place = np.unique(np.concatenate((i, j)), return_inverse=True)
+    counts = np.zeros((len(used), FINE), dtype=np.uint16)
+    for k, at in enumerate(used):
+        groups = np.bincount((sets[at] & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
+        counts[k] = MOST if groups.max() >= MOST else groups
+    out = np.zeros(len(i), dtype=bool)
+    for at in range(0, len(i), 4096):
+        a, b = place[:len(i)][at:at + 4096], place[len(i):][at:at + 4096]
+        least = np.minimum(counts[a], counts[b])
+        bound = least.sum(axis=1, dtype=np.int64)
+        out[at:at + 4096] = ((9 * bound >= 4 * (sizes[i[at:at + 4096]] + sizes[j[at:at + 4096]]))
+                             | (counts[a, 0] == MOST) | (counts[b, 0] == MOST))
+    return out
+
+
+def spanning_links(sets: list[np.ndarray], root: np.ndarray, i: np.ndarray, j: np.ndarray,
+                   score: np.ndarray, tries=BEST_FIRST) -> list[int]:
+    """Places of pairs that are links and connect all components that links among the pairs do.
+
+    Members of one ``root`` are connected. Likely partners are looked at first, and no pair whose
+    ends are connected by then.
+    """
+    _, label = np.unique(root, return_inverse=True)
+    above = np.arange(label.max(initial=-1) + 1)
+
+    def top(x):
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    links, rest = [], np.arange(len(i))
+    for best in tries:
+        tops = np.array([top(x) for x in range(len(above))], dtype=np.int64)[label]
+        rest = rest[tops[i[rest]] != tops[j[rest]]]
+        chosen = nearest(i[rest], j[rest], score[rest], best)
+        some, rest = rest[chosen], rest[~chosen]
+        for at in some[np.argsort(-score[some], kind="stable")]:
+            x, y = top(label[i[at]]), top(label[j[at]])
+            if x == y:
+                continue
+            one, two = sorted((sets[i[at]], sets[j[at]]), key=len)
+            place = two.searchsorted(one)
+            place[place == len(two)] = 0
+            if 9 * int((two[place] == one).sum()) >= 4 * (len(one) + len(two)):
+                above[max(x, y)] = min(x, y)
+                links.append(int(at))
+    return links
+
+
+def _tile_links(members: DataFrame) -> DataFrame:
+    """Links (u, v) between members of the tiles that connect all of a tile that links connect.
+
+    ``members`` have h, tile, block, id, n, root and shingles. Pairs of one root, and pairs of one
+    block in a tile of two, are left out. Sets lie beside the tile's members, so no table of pairs
+    is made and no set is sent for a pair.
+    """
+    tries = BEST_FIRST
+
+    def run(batches):
+        for table, cuts in _whole_shares(batches, ["h", "tile"]):
+            ids, sizes, block, root, tile = (
+                table.column(c).to_numpy() for c in ("id", "n", "block", "root", "tile"))
+            column = table.column("shingles").combine_chunks()
+            ends = column.offsets.to_numpy()
+            flat = column.values.to_numpy().view(np.uint64)
+            sets = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            counts = np.array([group_counts(found) for found in sets]).reshape(-1, GROUPS)
+            mixed = tile // 65536 != tile % 65536
+
+            def wanted(i, j):
+                keep = (root[i] != root[j]) & (~mixed[i] | (block[i] != block[j]))
+                return i[keep], j[keep]
+
+            i, j = possible_pairs(cuts, ids, sizes, counts, wanted)
+            keep = _finely_bounded(sets, sizes, i, j)
+            i, j = i[keep], j[keep]
+            score = np.concatenate([np.zeros(0)] + [
+                shared_at_most(counts[i[k:k + 65_536]], counts[j[k:k + 65_536]])
+                for k in range(0, len(i), 65_536)]) / (sizes[i] + sizes[j])
+            found = spanning_links(sets, root, i, j, score, tries)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[i[found]]), pa.array(ids[j[found]])], ["u", "v"])
+
+    return (members.select("h", "tile", "block", "id", "n", "root", "shingles")
+            .repartition("h", "tile").sortWithinPartitions("h", "tile")
+            .mapInArrow(run, "u long, v long").distinct())
 
 
 def _among(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
@@ -353,11 +444,30 @@ def _spanning(pairs: DataFrame, roots: DataFrame | None, sets: DataFrame) -> Dat
     return merged(known, _verified(open_pairs, sets).toDF("u", "v"))
 
 
-def _open_tiles(large: DataFrame, roots: DataFrame, points: DataFrame) -> DataFrame | None:
-    """Members of large shards that hold several components, dealt to tiles; null if none does.
+def _whole_shards(large: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Shards of all shingles of those sets that meet other components in large shards.
+
+    A region is a quarter of a set, so a passage that many texts quote lets them meet there. A
+    link takes four fifths of either set: of all shingles few sets have so many in common with
+    others, and each needs to be found under the rarest fifth of them only. Two linked sets that
+    are not connected yet share a large shard, hence both are among the sets here.
+    """
+    rooted = (large.select("h", "id").join(roots.toDF("id", "root"), "id", "left")
+              .withColumn("root", F.coalesce("root", "id")))
+    mixed = (rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+             .where("low <> high").select("h"))
+    meeting = stored(rooted.join(mixed, "h", "left_semi").select("id").distinct(), "meeting")
+    return _rarest(sets.join(meeting, "id", "left_semi")
+                   .select("id", "n", F.explode("shingles").alias("h")), WHOLE_SHARED)
+
+
+def _open_tiles(large: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """Members of shards that hold several components, with their sets, dealt to tiles; null if
+    no shard does.
 
     Shards that share a component are put together under one number ``h``, so a pair meets once
-    however many shards it shares. Tiles are pairs of blocks of about ``TILE`` members.
+    however many shards it shares. Tiles are pairs of blocks of about ``TILE`` members, or fewer
+    of ``TILE_SHINGLES`` shingles.
     """
     rooted = stored(large.select("h", "id", "n").join(roots.toDF("id", "root"), "id", "left")
                     .withColumn("root", F.coalesce("root", "id")), "rooted")
@@ -368,15 +478,17 @@ def _open_tiles(large: DataFrame, roots: DataFrame, points: DataFrame) -> DataFr
     if edges.isEmpty():
         return None
     joined = components(edges, "mixed").toDF("root", "shard")
-    members = (rooted.select("id", "n", "root").distinct().join(joined, "root")
-               .withColumnRenamed("shard", "h"))
-    blocks = F.ceil(F.col("m") / TILE).cast("int")
-    return (members.join(members.groupBy("h").agg(F.count("*").alias("m")), "h")
+    members = stored(rooted.select("id", "n", "root").distinct().join(joined, "root")
+                     .withColumnRenamed("shard", "h"), "members")
+    blocks = F.ceil(F.greatest(F.col("m") / TILE, F.col("all") / TILE_SHINGLES)).cast("int")
+    found = _among(sets, "id", members.select("id")).select("id", "shingles")
+    return (members.join(members.groupBy("h").agg(F.count("*").alias("m"), F.sum("n").alias("all")),
+                         "h")
             .withColumn("block", F.pmod(F.xxhash64("id"), blocks.cast("long")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .withColumn("tile", F.least("block", "other").cast("long") * 65536
                         + F.greatest("block", "other"))
-            .join(points.select("id", "counts"), "id"))
+            .join(found, "id"))
 
 
 @dataclass
@@ -392,12 +504,12 @@ def join(docs: DataFrame) -> SetJoin:
 
     Equal sets are one member ``id`` (a 64-bit hash of the set). Small shards give all pairs that
     their tree lets through; large ones first give the pairs with their smallest member. After
-    these are verified, large shards that hold sets of several components are searched by trees,
-    in tiles, for pairs across components: first for each set's few likeliest partners, last for
-    all that the bound lets through. Null texts, texts without words and empty tables
-    have no links; null doc_ids and repeated rows are members like others. Other columns are
-    ignored. No step holds a whole shard of unbounded size, and no pair list grows with the
-    square of a group of near copies.
+    these are verified, the sets that large shards hold of several components are put into shards
+    by all their shingles, and these are searched by trees, in tiles, for links across components:
+    first with each set's few likeliest partners, last with all that the bounds let through. Null
+    texts, texts without words and empty tables have no links; null doc_ids and repeated rows are
+    members like others. Other columns are ignored. No step holds a whole shard of unbounded size,
+    and no pair list grows with the square of a group of near copies.
     """
     points = stored(_points(docs), "points")
     shards = _shards(points)
@@ -411,16 +523,10 @@ def join(docs: DataFrame) -> SetJoin:
     large = shards.where(F.col("k") > STAR_ABOVE)
     stars = (large.join(large.groupBy("h").agg(F.min("id").alias("a")), "h")
              .where("a < id").select("a", F.col("id").alias("b")).distinct())
-    checked = stored(small.union(stars).distinct(), "pairs")
-    roots = _spanning(checked, None, sets)
-    for best in BEST_FIRST:
-        tiles = _open_tiles(large, roots, one_each)
-        if tiles is None:
-            break
-        more = stored(_tree_pairs(tiles, best, tiled=True)
-                      .join(checked, ["a", "b"], "left_anti"), "pairs")
-        roots = _spanning(more, roots, sets)
-        checked = checked.union(more)
+    roots = _spanning(stored(small.union(stars).distinct(), "pairs"), None, sets)
+    tiles = _open_tiles(_whole_shards(large, roots, sets), roots, sets)
+    if tiles is not None:
+        roots = merged(roots, _tile_links(tiles))
     return SetJoin(points.select("doc_id", "text_hash", "id", "n"), roots)
 
 

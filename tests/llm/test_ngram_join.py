@@ -162,3 +162,55 @@ def test_texts_are_not_shuffled_for_their_sets(spark):
     names = {r.id for r in ngram_join._points(docs.where("doc_id < 20")).collect()}
     assert names <= set(found) and len(found) < 60
     assert all(n == m for n, m in found.values())
+
+
+def test_texts_that_quote_one_passage_are_not_compared(spark, monkeypatch):
+    """A quoted passage makes many texts meet in large shards; only those that share four fifths of
+    their shingles with others are searched for links, and their sets are not sent pair by pair."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(20_000)]
+    passage = rng.sample(words, 40)
+    texts = [" ".join(passage + rng.sample(words, 60)) for _ in range(60)]
+    near = [" ".join(passage + rng.sample(words, 6)) for _ in range(20)]  # some of them are linked
+    rows = list(enumerate(texts + near + [texts[0] + " end"]))
+    tiled, checked, spanning = [], [], ngram_join._verified
+
+    def seen(*args, own=ngram_join._open_tiles):
+        tiles = own(*args)
+        tiled.append(0 if tiles is None else tiles.select("id").distinct().count())
+        return tiles
+
+    monkeypatch.setattr(ngram_join, "_open_tiles", seen)
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, sets: (
+        checked.append(pairs.count()), spanning(pairs, sets))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert tuples(ngram_join.groups(docs)) == plain(rows)
+    assert len(tiled) == 1 and tiled[0] <= 25
+    assert len(checked) == 2
+
+
+def test_links_of_a_tile_connect_what_all_pairs_connect():
+    rng = np.random.default_rng(7)
+    sets = []
+    for _ in range(30):
+        base = np.unique(rng.integers(0, 1 << 63, rng.integers(5, 1500)).astype(np.uint64))
+        sets += [np.unique(rng.choice(base, max(1, int(len(base) * f)), replace=False))
+                 for f in (1, 0.95, 0.9, 0.85)]
+    sizes, root = np.array([len(s) for s in sets]), np.arange(120)
+    root[40:44] = 40
+    i, j = np.triu_indices(120, 1)
+    i, j = i[root[i] != root[j]], j[root[i] != root[j]]
+    both = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    links = 9 * both >= 4 * (sizes[i] + sizes[j])
+    assert ngram_join._finely_bounded(sets, sizes, i, j)[links].all()
+    assert not ngram_join._finely_bounded(sets, sizes, i, j)[both == 0].any()
+
+    def groups(pairs):
+        label = root.copy()
+        for a, b in pairs:
+            label[label == label[a]] = label[b]
+        return {frozenset(np.flatnonzero(label == x).tolist()) for x in set(label.tolist())}
+
+    found = ngram_join.spanning_links(sets, root, i, j, both / (sizes[i] + sizes[j]))
+    assert links[found].all() and len(found) < links.sum()
+    assert groups([(i[k], j[k]) for k in found]) == groups(zip(i[links], j[links], strict=True))
